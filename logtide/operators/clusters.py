@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -37,6 +38,7 @@ CLUSTER_LABELS = {
 }
 OTHER = "other"
 K_RANGE = range(3, 13)
+ROWS_PER_TASK = 50_000
 DEFAULT_K = 4
 
 
@@ -53,25 +55,40 @@ def _vectors(scaled: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="_vector").transform(scaled)
 
 
-def _laid_out(scaled: DataFrame, columns: list[str], key: str, partitions: int) -> DataFrame:
-    """Vectors in partitions that depend on the keys only, so that a seed means the same on any input."""
+def _laid_out(scaled: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """Vectors in partitions that depend on the keys and their number only, never on the input's layout,
+    so that a seed means the same on any cluster."""
+    partitions = max(1, math.ceil(scaled.count() / ROWS_PER_TASK))
     vectors = _vectors(scaled, columns).select(key, "_vector")
     return vectors.repartition(partitions, key).sortWithinPartitions(key)
 
 
-def best_of(
-    vectors: DataFrame, k: int, restarts: int, seed: int, parallelism: int = 4
-) -> KMeansModel:
-    """The model with the least training cost over ``restarts`` seeds; ties go to the first seed."""
+def best_models(
+    vectors: DataFrame, ks: list[int], restarts: int, seed: int, parallelism: int = 8
+) -> dict[int, KMeansModel]:
+    """For every k the model with the least training cost over ``restarts`` seeds.
 
-    def fit(attempt: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + attempt, maxIter=100, featuresCol="_vector", predictionCol="_raw_id").fit(
-            vectors
-        )
+    Fits are independent, so their many short jobs share the cluster; ties go to the first seed.
+    """
 
-    with ThreadPool(max(1, min(parallelism, restarts))) as pool:
-        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(restarts))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    def fit(job: tuple[int, int]) -> KMeansModel:
+        k, attempt = job
+        return KMeans(
+            k=k, seed=seed + attempt, maxIter=100, featuresCol="_vector", predictionCol="_raw_id"
+        ).fit(vectors)
+
+    jobs = [(k, attempt) for k in ks for attempt in range(restarts)]
+    vectors.persist()
+    try:
+        with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+            models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), jobs)
+    finally:
+        vectors.unpersist()
+    best: dict[int, KMeansModel] = {}
+    for (k, _), model in zip(jobs, models):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
 
 def _hash_sample(table: DataFrame, key: str, size: int, seed: int) -> DataFrame:
@@ -80,53 +97,56 @@ def _hash_sample(table: DataFrame, key: str, size: int, seed: int) -> DataFrame:
     return table.withColumn("_order", order).orderBy("_order", key).limit(size).drop("_order")
 
 
-def silhouette_rows(
-    labelled: DataFrame,
-    columns: list[str],
-    key: str = "service_name",
-    label: str = "cluster_id",
-    sample_size: int = 1000,
-    seed: int = 42,
-) -> DataFrame:
-    """Euclidean silhouette of each row of a sample of at most ``sample_size`` rows, within the sample.
+def _sample_scores(points: DataFrame, key: str) -> DataFrame:
+    """Euclidean silhouette of each row of ``points(run, key, label, x)`` within its run.
 
-    The sample travels to the tasks as one array of that bounded size; no pairs of rows are built.
+    ``points`` must be a small sample: each run travels to its rows as one array of clusters, and no
+    pairs of rows are built.
     """
-    point = F.array(*[F.col(c).cast("double") for c in columns]).alias("x")
-    sample = materialize(
-        _hash_sample(labelled, key, sample_size, seed).select(key, F.col(label).alias("label"), point),
-        "sample",
-    )
-    clusters = sample.groupBy("label").agg(F.collect_list("x").alias("members"))
-    everyone = clusters.agg(F.collect_list(F.struct("label", "members"))).scalar()
+    clusters = points.groupBy("run", "label").agg(F.collect_list("x").alias("members"))
+    everyone = clusters.groupBy("run").agg(F.collect_list(F.struct("label", "members")).alias("_clusters"))
 
-    def to_member(member: Column) -> Column:
+    def distance(member: Column) -> Column:
         squares = F.zip_with(F.col("x"), member, lambda a, b: (a - b) * (a - b))
         return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, s: total + s))
 
     def to_cluster(cluster: Column) -> Column:
-        total = F.aggregate(cluster["members"], F.lit(0.0), lambda acc, m: acc + to_member(m))
+        total = F.aggregate(cluster["members"], F.lit(0.0), lambda acc, m: acc + distance(m))
         return F.struct(
             cluster["label"].alias("label"), total.alias("total"), F.size(cluster["members"]).alias("n")
         )
 
-    def over(clusters: Column, keep) -> Column:
-        return F.filter(clusters, keep)
-
-    own = F.element_at(over(F.col("_to"), lambda c: c["label"] == F.col("label")), 1)
+    own = F.element_at(F.filter("_to", lambda c: c["label"] == F.col("label")), 1)
     others = F.transform(
-        over(F.col("_to"), lambda c: c["label"] != F.col("label")), lambda c: c["total"] / c["n"]
+        F.filter("_to", lambda c: c["label"] != F.col("label")), lambda c: c["total"] / c["n"]
     )
-    inner, outer = F.col("_own")["total"] / F.nullif(F.col("_own")["n"] - 1, F.lit(0)), F.array_min("_others")
+    inner = F.col("_own")["total"] / F.nullif(F.col("_own")["n"] - 1, F.lit(0))
+    outer = F.array_min("_others")
     score = F.coalesce((outer - inner) / F.nullif(F.greatest(outer, inner), F.lit(0.0)), F.lit(0.0))
     return (
-        sample.withColumn("_clusters", everyone)
+        points.join(everyone, "run")
         .withColumn("_to", F.transform("_clusters", to_cluster))
         .withColumns({"_own": own, "_others": others})
-        .select(key, F.col("label").alias(label), score.alias("silhouette"))
+        .select("run", key, "label", score.alias("silhouette"))
     )
 
 
+def silhouette_rows(
+    labelled: DataFrame,
+    columns: list[str],
+    key: str = "service_name",
+    label: str = "cluster_id",
+    sample_size: int = 1000,
+    seed: int = 42,
+) -> DataFrame:
+    """Silhouette of each row of a sample of at most ``sample_size`` rows, within the sample."""
+    point = F.array(*[F.col(c).cast("double") for c in columns]).alias("x")
+    sample = _hash_sample(labelled, key, sample_size, seed)
+    points = sample.select(F.lit(0).alias("run"), key, F.col(label).alias("label"), point)
+    scores = _sample_scores(materialize(points, "sample"), key)
+    return scores.select(key, F.col("label").alias(label), "silhouette")
+
+
 def silhouette(
     labelled: DataFrame,
     columns: list[str],
@@ -158,19 +178,23 @@ def choose_k(
     seed: int = 42,
     k_range: range = K_RANGE,
     sample_size: int = 500,
-    partitions: int = 8,
 ) -> list[tuple[int, float]]:
-    """Silhouette of every k below the number of rows; the smallest k wins a tie."""
+    """Silhouette of every k below the number of rows, on one sample for all of them."""
     n = scaled.count()
-    vectors = _laid_out(scaled, columns, key, partitions)
-    z = [f"z_{c}" for c in columns]
-    scores = []
-    for k in (k for k in k_range if k < n):
-        model = best_of(vectors, k, restarts, seed, parallelism=restarts)
-        labelled = model.transform(_vectors(scaled, columns)).withColumnRenamed("_raw_id", "cluster_id")
-        score = silhouette(labelled, z, key, "cluster_id", sample_size, seed).first()[0]
-        scores.append((k, -1.0 if score is None else score))
-    return scores
+    ks = [k for k in k_range if k < n]
+    if not ks:
+        return []
+    models = best_models(_laid_out(scaled, columns, key), ks, restarts, seed)
+    sample = _vectors(_hash_sample(scaled, key, sample_size, seed), columns)
+    for k, model in models.items():
+        sample = model.transform(sample).withColumnRenamed("_raw_id", f"_label{k}")
+    runs = F.explode(F.array(*[F.struct(F.lit(k).alias("run"), F.col(f"_label{k}").alias("label")) for k in ks]))
+    point = F.array(*[F.col(f"z_{c}") for c in columns]).alias("x")
+    points = materialize(sample.select(runs.alias("r"), key, point).select("r.*", key, "x"), "sample")
+    scores = _sample_scores(points, key).groupBy("run").agg(
+        F.avg("silhouette").alias("s"), F.count_distinct("label").alias("labels")
+    )
+    return [(r["run"], r["s"] if r["labels"] > 1 else -1.0) for r in scores.orderBy("run").collect()]
 
 
 def best_k(scores: list[tuple[int, float]]) -> int:
@@ -199,16 +223,17 @@ def cluster_services(
     seed: int = 42,
     auto_k: bool = False,
     rank_by: str = "requests_per_hour",
-    partitions: int = 8,
     save_to: str | None = None,
 ) -> DataFrame:
-    """k-means over standardised columns; adds ``cluster_id`` and ``cluster_label``."""
+    """k-means over standardised columns; adds ``cluster_id`` and ``cluster_label``.
+
+    ``features`` is read twice: pass a stored table.
+    """
     columns = _present(features, columns)
-    features = materialize(features, "features")
     scaled = materialize(standardize(features, columns), "scaled")
     if auto_k:
-        k = best_k(choose_k(scaled, columns, key, seed=seed, partitions=partitions))
-    model = best_of(_laid_out(scaled, columns, key, partitions), k, restarts, seed)
+        k = best_k(choose_k(scaled, columns, key, seed=seed))
+    model = best_models(_laid_out(scaled, columns, key), [k], restarts, seed)[k]
     if save_to:
         save_model(model, moments(features, columns), save_to)
     return _finish(model.transform(_vectors(scaled, columns)), features.columns, rank_by)
@@ -230,7 +255,6 @@ def cluster_services_dbscan(
 ) -> DataFrame:
     """Density clusters over standardised columns; noise is -1 and gets the label ``other``."""
     columns = _present(features, columns)
-    features = materialize(features, "features")
     scaled = materialize(standardize(features, columns), "scaled")
     found = dbscan(scaled, [f"z_{c}" for c in columns], key, eps, min_samples)
     return found.withColumn("cluster_label", cluster_label(F.col("cluster_id"))).select(

@@ -42,14 +42,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     links = materialize(links.distinct(), "links")
     mark = _fingerprint(links)
     for _ in range(max_rounds):
-        links = materialize(_small_star(materialize(_large_star(links), "links")), "links")
+        if not mark[0]:
+            break
+        links = materialize(_small_star(_large_star(links)), "links")
         seen, mark = mark, _fingerprint(links)
         if mark == seen:
-            roots = links.select(F.col("v").alias("node"), F.col("v").alias("component"))
-            return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                roots.distinct()
-            )
-    raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+            break
+    else:
+        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+    roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
 def _fingerprint(links: DataFrame) -> tuple:

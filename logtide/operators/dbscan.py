@@ -175,26 +175,37 @@ def _linked_cells(core, near, dims, eps) -> DataFrame:
         )
     )
     pairs = materialize(pairs, "core-pairs")
-    links = pairs.where("full").select("u", "v")
-    groups = _label(boxes, links)
+    groups = _label(boxes.select("cell"), pairs.where("full").select("u", "v"))
     # point tests only between cells that are still apart
     apart = (
         pairs.where(~F.col("full"))
         .join(groups.select(F.col("cell").alias("u"), F.col("component").alias("cu")), "u")
         .join(groups.select(F.col("cell").alias("v"), F.col("component").alias("cv")), "v")
         .where(F.col("cu") != F.col("cv"))
-        .select("u", "v")
+        .select("u", "v", "cu", "cv")
+    )
+    apart = materialize(apart, "apart")
+    if apart.isEmpty():
+        return groups
+    # the second graph has one node per group found so far
+    met = apart.join(_touching(core, boxes, apart, dims, eps), ["u", "v"])
+    joined = _label(
+        groups.select(F.col("component").alias("cell")).distinct(),
+        met.select(F.col("cu").alias("u"), F.col("cv").alias("v")),
+    )
+    return materialize(
+        groups.withColumnRenamed("component", "group")
+        .join(joined.select(F.col("cell").alias("group"), "component"), "group")
+        .select("cell", "component"),
+        "components",
     )
-    more = _touching(core, boxes, apart, dims, eps)
-    return _label(boxes, materialize(links.unionByName(more), "core-links"))
 
 
-def _label(boxes: DataFrame, links: DataFrame) -> DataFrame:
+def _label(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Component of every node; a node without links is its own."""
     found = connected_components(links).withColumnRenamed("node", "cell")
     return materialize(
-        boxes.select("cell")
-        .join(found, "cell", "left")
-        .select("cell", F.coalesce("component", "cell").alias("component")),
+        nodes.join(found, "cell", "left").select("cell", F.coalesce("component", "cell").alias("component")),
         "components",
     )
 
@@ -263,13 +274,12 @@ def dbscan(
     merged = materialize(_merge_points(points, key, columns, eps), "points")
     cells = materialize(_cells(merged, dims, eps), "cells")
     near = materialize(_near_cells(cells, dims, eps), "near-cells")
-    sliced = materialize(_sliced(merged, cells), "points")
+    sliced = _sliced(merged, cells)
     core = materialize(_core_points(sliced, cells, near, dims, eps, min_samples), "core")
     linked = _linked_cells(core, near, dims, eps)
     first = core.join(linked, "cell").groupBy("component").agg(F.min("least_key").alias("first_key"))
-    # one row per cluster
-    ranked = materialize(_rank_in_order(first, "first_key"), "clusters")
-    labels = materialize(linked.join(ranked, "component").select("cell", "cluster_id"), "labels")
+    labels = linked.join(_rank_in_order(first, "first_key"), "component").select("cell", "cluster_id")
+    labels = materialize(labels, "labels")
     found = core.select("pid", "cell").join(labels, "cell").select("pid", "cluster_id").unionByName(
         _border_points(sliced, core, labels, near, dims, eps)
     )

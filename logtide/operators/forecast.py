@@ -20,6 +20,7 @@ log = logging.getLogger(__name__)
 
 SEASON = 24
 MIN_HOURS = 48
+MAX_FIT_TASKS = 2000
 STATES = (
     "alpha double, beta double, gamma double, phi double, level double, trend double, "
     "season array<double>, last_second long, resid_std double, sse double, hours int"
@@ -159,7 +160,8 @@ def fit_forecasts(
     hour = F.call_function("div", F.unix_seconds(F.col(bucket)), F.lit(3600).cast("bigint"))
     series = chosen.select(key, hour.alias("hour"), F.col(measure).cast("double").alias("value"))
     key_type = chosen.schema[key].dataType.simpleString()
-    return series.groupBy(key).applyInPandas(
+    # few rows but much work each: as many tasks as series, which size-based coalescing would undo
+    return series.repartition(min(top_n, MAX_FIT_TASKS), key).groupBy(key).applyInPandas(
         lambda rows: _fit_group(rows, key), f"{key} {key_type}, {STATES}"
     )
 

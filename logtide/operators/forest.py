@@ -81,6 +81,10 @@ def _grow(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
     return pd.DataFrame(nodes, columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
 
 
+def spark_cores(table: DataFrame) -> int:
+    return table.sparkSession.sparkContext.defaultParallelism
+
+
 def fit_forest(
     table: DataFrame,
     columns: list[str],
@@ -91,7 +95,8 @@ def fit_forest(
 ) -> DataFrame:
     """The forest as a node table, written once; fits a stored Parquet table as is."""
     rows = _tree_rows(table, key, columns, trees, sample, seed)
-    grown = rows.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, seed), NODE_SCHEMA)
+    tasks = min(trees, spark_cores(table))
+    grown = rows.repartition(tasks, "tree").groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, seed), NODE_SCHEMA)
     return materialize(grown, "forest")
 
 

@@ -1,9 +1,12 @@
 """Exact, interpolated percentiles that no single task has to hold.
 
-The built-in ``percentile`` keeps every distinct value of a group in one buffer, which fails on a
-service that owns a third of all rows. Here a bounded sketch first brackets each wanted rank, then
-only the values inside a bracket (about ``8 / accuracy`` of a group) are counted one by one; all
-other rows are reduced to a count per gap on the map side. The result is the exact percentile.
+The built-in ``percentile`` keeps every distinct value of a group in one buffer, and sketches of a hot
+group all meet in one task. So the built-in serves only tables whose largest group is known to be
+small. Otherwise the wanted ranks are found digit by digit: values are counted per coarse slice of the
+number line, then only those in a slice that holds a wanted rank are counted per fine slice, then per
+value. Every count is combined on the map side and spread over the cluster by slice, and what one task
+sorts is bounded whatever the data: the slices of a key, at most 2**22 fine slices, or the at most 2**22
+doubles that share a fine slice.
 """
 
 from __future__ import annotations
@@ -14,97 +17,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ACCURACY = 10_000
+# 52 bits of a double follow its power of two
+COARSE_BITS = 8
+FINE_BITS = 22
+INFINITE_SLICE = 2**40
+BUFFER_LIMIT = 10_000
 
 
-def _margins(accuracy: int) -> list[float]:
-    """Half-widths of the brackets on offer, narrowest first; the first is wider than the sketch's error."""
-    return [3.0 / accuracy, 0.02]
-
-
-def _bracket_bounds(quantiles: list[float], accuracy: int) -> list[float]:
-    return [
-        min(max(q + side * margin, 0.0), 1.0)
-        for margin in _margins(accuracy)
-        for q in quantiles
-        for side in (-1, 1)
-    ]
+def _slices(value: Column) -> tuple[Column, Column]:
+    """Coarse and fine slice of a double: power of two and leading bits, then the following bits.
 
+    Scaling by a power of two is exact, so both are monotone in the value even where the logarithm is
+    off by one near a power.
+    """
+    size, sign = F.abs(value), F.signum(value).cast("bigint")
+    power = F.floor(F.log2(size))
+    lead = (size / F.pow(F.lit(2.0), power) - 1) * float(2**COARSE_BITS)
+    coarse = (power + 1100) * 2**COARSE_BITS + F.floor(lead)
+    fine = F.floor((lead - F.floor(lead)) * float(2**FINE_BITS))
+    infinite = size == float("inf")
+    return (
+        F.when(value == 0, 0).otherwise(sign * F.when(infinite, INFINITE_SLICE).otherwise(coarse)),
+        F.when((value == 0) | infinite, 0).otherwise(sign * fine),
+    )
 
-def _brackets(quantiles: list[float], accuracy: int) -> list[tuple[Column, Column]]:
-    """Lower and upper value around every quantile.
 
-    The narrowest margin that still spans three ranks each way; small groups are kept whole, and a
-    bracket that touches an end of the group reaches it.
-    """
-    n, edges, out = F.col("_n"), F.col("_edges"), []
+def _ranks(quantiles: list[float]) -> dict[str, Column]:
+    """0-based ranks below and above each quantile among ``_n`` values."""
+    out = {}
     for i, q in enumerate(quantiles):
-        low, high = F.col("_lo"), F.col("_hi")
-        for m, margin in reversed(list(enumerate(_margins(accuracy)))):
-            at, enough = 2 * (m * len(quantiles) + i), n * margin >= 3
-            low = F.when(enough & (n * (q - margin) > 1), edges[at]).otherwise(
-                F.when(enough, F.col("_lo")).otherwise(low)
-            )
-            high = F.when(enough & (n * (1 - q - margin) > 1), edges[at + 1]).otherwise(
-                F.when(enough, F.col("_hi")).otherwise(high)
-            )
-        out.append((low, high))
+        position = F.lit(q) * (F.col("_n") - 1)
+        out[f"_r{2 * i}"], out[f"_r{2 * i + 1}"] = F.floor(position), F.ceil(position)
     return out
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-def _sketch(values: DataFrame, keys: list[str], quantiles: list[float], accuracy: int) -> DataFrame:
-    """One row per key: how many values, and the bracket of every quantile."""
-    sketch = values.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.min("_v").alias("_lo"),
-        F.max("_v").alias("_hi"),
-        F.percentile_approx("_v", _bracket_bounds(quantiles, accuracy), accuracy).alias("_edges"),
-    )
-    ends = [
-        end.alias(f"_{side}{i}")
-        for i, pair in enumerate(_brackets(quantiles, accuracy))
-        for side, end in zip("lh", pair)
-    ]
-    return sketch.select(*keys, "_n", *ends)
-
-
-def _rank_counts(bracketed: DataFrame, keys: list[str], brackets: int) -> DataFrame:
-    """Counts per value inside a bracket and per gap outside, with the ranks each row covers."""
-    value, every = F.col("_v"), range(brackets)
-    inside = _any([value.between(F.col(f"_l{i}"), F.col(f"_h{i}")) for i in every])
-    gap = reduce(lambda a, b: a + b, [F.when(value > F.col(f"_h{i}"), 1).otherwise(0) for i in every])
-    counted = (
-        bracketed.select(
-            *keys, "_n", "_v", F.when(inside, value).alias("_kept"), F.when(~inside, gap).alias("_gap")
+def _narrow(counted: DataFrame, within: list[str], by: str, ranks: list[str]) -> DataFrame:
+    """Rows of ``counted`` that hold a wanted rank, with that rank inside the row, else NULL."""
+    group = Window.partitionBy(*within)
+    before = F.sum("_c").over(group.orderBy(by).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")
+    placed = counted.withColumn("_before", before)
+    inside = {
+        r: F.when(
+            (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_c")),
+            F.col(r) - F.col("_before"),
         )
-        .groupBy(*keys, "_n", "_kept", "_gap")
-        .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_pos"))
-    )
-    upto = F.sum("_c").over(
-        Window.partitionBy(*keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return counted.withColumn("_upto", upto)
+        for r in ranks
+    }
+    wanted = reduce(lambda a, b: a | b, [F.col(r).isNotNull() for r in ranks])
+    return placed.withColumns(inside).where(wanted).drop("_before", "_c")
 
 
-def _pick(quantiles: dict[str, float]) -> list[Column]:
-    """Linear interpolation between the two values next to each rank."""
-    out = []
-    for name, q in quantiles.items():
-        position = F.lit(q) * (F.col("_n") - 1)
-        below, above = F.floor(position), F.ceil(position)
-
-        def at(rank: Column) -> Column:
-            here = (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_c"))
-            missed = F.raise_error(F.lit("percentile rank outside its bracket")).cast("double")
-            return F.max(F.when(here, F.coalesce(F.col("_kept"), missed)))
+def _count_within(
+    values: DataFrame, wanted: DataFrame, keys: list[str], slices: list[str], by: str, ranks: list[str]
+) -> DataFrame:
+    """Counts per ``by`` of the values in the wanted slices.
 
-        low, high = at(below), at(above)
-        out.append((low + (high - low) * F.max(position - below)).alias(name))
-    return out
+    Grouping by the key as a struct, not by the joined columns, puts the exchange after the map-side
+    combine, so a skewed join partition may be split.
+    """
+    near = values.join(wanted.select("_k.*", *slices, "_n", *ranks), [*keys, *slices])
+    return near.groupBy("_k", *dict.fromkeys([*slices, by])).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), *[F.max(r).alias(r) for r in ranks]
+    )
 
 
 def exact_percentiles(
@@ -112,27 +86,57 @@ def exact_percentiles(
     keys: list[str],
     value: str,
     quantiles: dict[str, float],
-    accuracy: int = ACCURACY,
+    buffer_limit: int = BUFFER_LIMIT,
 ) -> DataFrame:
     """One row per key: the percentiles of the non-null values under the given output names.
 
-    ``df`` is read twice; pass a stored table. A key without values has no row.
+    The size of the largest group is measured first; up to ``buffer_limit`` values the built-in
+    aggregate is used. Beyond, ``df`` is read three more times, with the key and value columns only:
+    pass a stored table. A key without values has no row.
     """
-    values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
+    value_column = F.col(value).cast("double")
+    values = df.select(*keys, value_column.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest <= buffer_limit:
+        return values.groupBy(*keys).agg(*[F.percentile("_v", q).alias(n) for n, q in quantiles.items()])
+    return percentiles_by_rank(values, keys, quantiles)
+
+
+def percentiles_by_rank(values: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:
+    """Percentiles of the column ``_v`` per key, for groups of any size."""
+    named = keys or ["_all"]
+    values = values.withColumn("_all", F.lit(0))
+    coarse, fine = _slices(F.col("_v"))
+    values = values.select(
+        *named, "_v", F.struct(*named).alias("_k"), coarse.alias("_s"), fine.alias("_f")
     )
-    wanted = list(quantiles.values())
-    sketch = _sketch(values, keys, wanted, accuracy)
-    if keys:
-        # one row per key; its measured size decides between broadcast and a skew-aware merge join
-        bracketed = values.join(sketch, keys)
-        return _rank_counts(bracketed, keys, len(wanted)).groupBy(*keys).agg(*_pick(quantiles))
-    one = sketch.select(F.struct("*").alias("s")).scalar()
-    bracketed = values.withColumn("_s", one).select("_v", "_s.*")
-    return _rank_counts(bracketed, keys, len(wanted)).agg(*_pick(quantiles))
-
-
-def approx_percentiles(value: str, quantiles: dict[str, float], accuracy: int = ACCURACY) -> list[Column]:
+    rank_of = _ranks(list(quantiles.values()))
+    ranks = list(rank_of)
+
+    first = values.groupBy("_k", "_s").agg(F.count(F.lit(1)).alias("_c"))
+    first = first.withColumn("_n", F.sum("_c").over(Window.partitionBy("_k"))).withColumns(rank_of)
+    wanted = _narrow(first, ["_k"], "_s", ranks)
+    second = _count_within(values, wanted, named, ["_s"], "_f", ranks)
+    wanted = _narrow(second, ["_k", "_s"], "_f", ranks)
+    third = _count_within(values, wanted, named, ["_s", "_f"], "_v", ranks)
+    found = _narrow(third, ["_k", "_s", "_f"], "_v", ranks)
+
+    at = [F.max(F.when(F.col(r).isNotNull(), F.col("_v"))) for r in ranks]
+    picked = found.groupBy("_k").agg(
+        F.max("_n").alias("_n"), *[v.alias(r) for v, r in zip(at, ranks)]
+    )
+    out = []
+    for i, (name, q) in enumerate(quantiles.items()):
+        low, high = F.col(ranks[2 * i]), F.col(ranks[2 * i + 1])
+        position = F.lit(q) * (F.col("_n") - 1)
+        share = position - F.floor(position)
+        # equal neighbours, infinite ones included, need no interpolation
+        out.append(F.when(low == high, low).otherwise(low + (high - low) * share).alias(name))
+    return picked.select(*[F.col(f"_k.{k}") for k in keys], *out)
+
+
+def approx_percentiles(value: str, quantiles: dict[str, float], accuracy: int = 10_000) -> list[Column]:
     """Sketch percentiles as plain aggregates: one pass, a data point instead of an interpolation."""
     return [
         F.coalesce(F.percentile_approx(value, q, accuracy), F.lit(0.0)).alias(name)
