@@ -19,8 +19,8 @@ def to_instant(column: Column, dtype: T.DataType, unit: str = "ns") -> Column:
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         return column.cast("timestamp")
     if isinstance(dtype, T.StringType):
-        # a bare time of day would be read as today's
-        return F.when(column.rlike(r"^\s*\d{4}"), F.try_to_timestamp(column))
+        # a bare time of day, with its colon up front, would be read as today's
+        return F.when(~F.instr(F.ltrim(column), ":").between(1, 5), F.try_to_timestamp(column))
     if isinstance(dtype, T.IntegralType):
         ticks = TICKS_PER_SECOND[unit]
         ticks_in = column.cast("bigint")

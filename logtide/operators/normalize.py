@@ -107,21 +107,31 @@ def add_missing(mapped: DataFrame) -> DataFrame:
 
 def _number(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
-        # "1d" and "2f" are numbers to the cast only
-        column = F.when(~F.lower(F.right(F.rtrim(column), F.lit(1))).isin("d", "f"), column)
-    value = column.try_cast("double")
-    return F.when(~F.isnan(value), value)
+        # the cast alone would take "1d" and "2f" for numbers
+        column = F.regexp_replace(column, r"(?i)(?<=[0-9.])[df]\s*$", "?")
+    elif isinstance(dtype, (T.IntegralType, T.DecimalType)):
+        return column.cast("double")
+    return F.nullif(column.try_cast("double"), F.lit(float("nan")))
+
+
+def _whole_number(column: Column, dtype: T.DataType) -> Column:
+    """An integer, also when written with a zero fraction; anything else is NULL."""
+    if isinstance(dtype, T.StringType):
+        # the pattern runs only where the plain cast fails
+        bare = F.regexp_replace(column, r"^\s*(\d+)\.0*\s*$", "$1")
+        return F.coalesce(column.try_cast("int"), bare.try_cast("int"))
+    if isinstance(dtype, T.IntegralType):
+        return column.try_cast("int")
+    return F.when(column == F.floor(column), column.try_cast("int"))
 
 
 def coerce_types(logs: DataFrame, time_unit: str = "ns") -> DataFrame:
     """Canonical types; what does not parse becomes NULL. A status must be a whole number."""
     types = {f.name: f.dataType for f in logs.schema.fields}
-    status = _number(F.col("status_code"), types["status_code"])
-    whole = F.when((status == F.floor(status)) & (F.abs(status) <= 32767), status.cast("int"))
     return logs.withColumns(
         {
             "timestamp": to_instant(F.col("timestamp"), types["timestamp"], time_unit),
-            "status_code": whole,
+            "status_code": _whole_number(F.col("status_code"), types["status_code"]),
             **{c: _number(F.col(c), types[c]) for c in MEASURES},
             "user_id": F.col("user_id").cast("string"),
             "instance_id": F.col("instance_id").cast("string"),
@@ -164,19 +174,24 @@ def _rejected() -> Column:
 
 
 def keep_valid(logs: DataFrame, watch: Observation | None = None) -> DataFrame:
-    """Drop invalid records; ``watch`` receives input and dropped counts without another pass."""
+    """Drop invalid records; ``watch`` receives input and dropped counts without another pass.
+
+    The optimizer moves this filter below the projection and repeats the parsing there, so every
+    condition names its column once.
+    """
     if watch is not None:
         logs = logs.observe(
             watch,
             F.count(F.lit(1)).alias("input_rows"),
             F.coalesce(F.count_if(_rejected()), F.lit(0)).alias("dropped_rows"),
         )
-    low, high = LATENCY_RANGE
+    low, high = (bound // 100 for bound in STATUS_RANGE)  # 100 to 599 are the hundreds 1 to 5
+    hundreds = F.call_function("div", F.col("status_code"), F.lit(100))
     return logs.where(
         F.col("timestamp").isNotNull()
         & F.col("service_name").isNotNull()
-        & F.col("status_code").between(*STATUS_RANGE)
-        & (F.col("latency_ms").isNull() | F.col("latency_ms").between(low, high))
+        & hundreds.isin(*range(low, high + 1))
+        & F.coalesce(F.col("latency_ms").between(*LATENCY_RANGE), F.lit(True))
     )
 
 
@@ -225,15 +240,18 @@ def downsample(
 
 
 def to_canonical(raw: DataFrame, time_unit: str = "ns") -> DataFrame:
-    """Mapping, defaults, types and string clean-up: a projection."""
-    return clean_strings(coerce_types(add_missing(check_required(map_columns(raw))), time_unit))
+    """Mapping, defaults and types: a projection."""
+    return coerce_types(add_missing(check_required(map_columns(raw))), time_unit)
 
 
 def normalize_rows(
     raw: DataFrame, time_unit: str = "ns", watch: Observation | None = None
 ) -> DataFrame:
-    """All row-by-row steps, for batches and streams alike."""
-    return mask_endpoints(keep_valid(to_canonical(raw, time_unit), watch))
+    """All row-by-row steps, for batches and streams alike.
+
+    The string clean-up makes no NULL and no value valid, so it only runs on the rows that are kept.
+    """
+    return mask_endpoints(clean_strings(keep_valid(to_canonical(raw, time_unit), watch)))
 
 
 def normalize_logs(
