@@ -88,7 +88,9 @@ def fit_series(y: np.ndarray, rounds: int = 7) -> dict:
     grid = itertools.product((0.03, 0.15, 0.4, 0.8), (0.02, 0.2, 0.6), (0.02, 0.2, 0.6), (0.2, 0.7, 0.95))
     tried = np.array(list(grid))
     steps = np.array(list(itertools.product((-1, 0, 1), repeat=4)))
-    best, best_error, width = None, np.inf, np.array([0.2, 0.25, 0.25, 0.25])
+    if not np.isfinite(y).all():
+        raise ValueError("the series holds values that are not finite")
+    best, best_error, width = tried[0], np.inf, np.array([0.2, 0.25, 0.25, 0.25])
     for _ in range(rounds):
         predicted, *_ = _run(y, _to_parameters(tried))
         _, errors = _best_starts(y, predicted)
