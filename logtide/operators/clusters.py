@@ -6,6 +6,7 @@ import math
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -295,7 +296,17 @@ def first_names(
 def save_model(model: KMeansModel, stats: DataFrame, path: str) -> None:
     """Centres and scaling statistics, for scoring later without another fit."""
     model.write().overwrite().save(f"{path}/kmeans")
-    stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/moments")
+    stamped = stats.withColumn("fitted_at", F.current_timestamp())
+    stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/moments")
+
+
+def is_fresh(spark: SparkSession, path: str, max_age_days: float = 7) -> bool:
+    """Whether a model is stored below ``path`` and no older than ``max_age_days``."""
+    age = F.current_timestamp() - F.expr(f"INTERVAL {int(max_age_days * 86400)} SECONDS")
+    try:
+        return not spark.read.parquet(f"{path}/moments").where(F.col("fitted_at") >= age).isEmpty()
+    except AnalysisException:
+        return False
 
 
 def score_stored(

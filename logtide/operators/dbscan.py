@@ -94,9 +94,10 @@ def _near_cells(cells: DataFrame, dims: range, eps: float) -> DataFrame:
         look = look.withColumn(f"k{i}", F.explode(F.sequence(first, last)))
     least, most = _box_gaps(dims)
     blocks = [F.col(f"a.k{i}") == F.col(f"b.k{i}") for i in dims]
+    # the optimizer does not see how much longer the exploded side is: no broadcast of either
     return (
         look.alias("a")
-        .join(cells.alias("b"), blocks)
+        .join(cells.alias("b").hint("shuffle_hash"), blocks)
         .where((F.col("a.cell") != F.col("b.cell")) & (least <= eps * eps))
         .select(
             F.col("a.cell").alias("cell"),

@@ -92,10 +92,11 @@ def exact_percentiles(
 
     The size of the largest group is measured first; up to ``buffer_limit`` values the built-in
     aggregate is used. Beyond, ``df`` is read three more times, with the key and value columns only:
-    pass a stored table. A key without values has no row.
+    pass a stored table. A key without values has no row, nor has a NULL key.
     """
     value_column = F.col(value).cast("double")
     values = df.select(*keys, value_column.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    values = values.dropna(subset=keys) if keys else values
     sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.agg(F.max("n")).first()[0] or 0
     if largest <= buffer_limit:

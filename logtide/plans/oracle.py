@@ -452,6 +452,8 @@ SELECT service_name, endpoint, request_count, round(get_share, 6) AS get_share,
 WHERE request_count >= 10 AND get_share >= 0.6 AND ok_share >= 0.8 AND latency_variation <= 2""",
     "cost_insights": COST,
     # capacity, on a forecast that repeats the last day
+    "busiest_services": f"""WITH {RAW}
+SELECT service_name, count(*) AS total FROM logs GROUP BY service_name ORDER BY total DESC, service_name LIMIT 5""",
     "forecast_peaks": f"""WITH {SERIES}
 SELECT service_name, arg_min(time_bucket, struct_pack(u := -forecast, t := time_bucket)) AS peak_time,
   round_even(max(forecast), 1) AS peak_forecast,

@@ -504,6 +504,11 @@ def cost_insights(spark, folder):
 # ---------------------------------------------------------------- forecasts and capacity
 
 
+@query
+def busiest_services(spark, folder):
+    return fc.busiest(_counts(spark, folder), 5)
+
+
 @query
 def traffic_forecast(spark, folder):
     grid = fe.dense_grid(_counts(spark, folder))

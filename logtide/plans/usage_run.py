@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from logtide.operators.anomalies import service_anomalies_zscore, window_anomalies
-from logtide.operators.clusters import cluster_services, cluster_services_dbscan
+from logtide.operators.clusters import cluster_services, cluster_services_dbscan, is_fresh, score_stored
 from logtide.operators.features import calendar_features, dense_grid, growth_rates, hourly_traffic, service_features
 from logtide.operators.forecast import fit_forecasts, forecast
 from logtide.operators.forest import service_anomalies_iforest
 from logtide.operators.normalize import normalize_logs
 from logtide.operators.report import assemble_report
 from logtide.scratch import materialize
+from logtide.session import use_utc
 from logtide.sinks.writers import write_report
 from logtide.sources.access_logs import choose_window, last_run_date, query_table_by_date, record_run, scan_date_range
 from logtide.sources.guarded import guard_scan
@@ -46,6 +47,7 @@ class Settings:
     time_unit: str = "ns"
     dedupe_order: list[str] | None = None
     save_models_to: str | None = None
+    retrain_interval_days: float = 7
 
 
 @dataclass
@@ -63,21 +65,22 @@ class Analysis:
     settings: Settings = field(default_factory=Settings)
 
 
+def _clusters(features: DataFrame, s: Settings) -> DataFrame:
+    if s.algorithm == "dbscan":
+        return cluster_services_dbscan(features, s.dbscan_eps, s.dbscan_min_samples)
+    stored = f"{s.save_models_to}/clusters" if s.save_models_to else None
+    if stored and is_fresh(features.sparkSession, stored, s.retrain_interval_days):
+        return score_stored(features.sparkSession, features, stored)
+    return cluster_services(features, s.n_clusters, auto_k=s.auto_k, save_to=stored)
+
+
 def analyse(logs: DataFrame, settings: Settings | None = None) -> Analysis:
     """Features, series and models of stored, normalised logs."""
     s = settings or Settings()
     features = materialize(service_features(logs), "features")
     hourly = materialize(hourly_traffic(logs), "hourly")
     series = materialize(calendar_features(dense_grid(hourly)), "series")
-    if s.algorithm == "dbscan":
-        clustered = cluster_services_dbscan(features, s.dbscan_eps, s.dbscan_min_samples)
-    else:
-        clustered = cluster_services(
-            features,
-            s.n_clusters,
-            auto_k=s.auto_k,
-            save_to=f"{s.save_models_to}/clusters" if s.save_models_to else None,
-        )
+    clustered = _clusters(features, s)
     states = materialize(fit_forecasts(series, s.forecast_top_n), "states")
     if s.save_models_to:
         states.write.mode("overwrite").parquet(f"{s.save_models_to}/forecasts")
@@ -133,6 +136,7 @@ def run(
     only after the report is written.
     """
     s = settings or Settings()
+    use_utc(spark)
     last = last_run_date(spark, state_path)
     new_from, end = choose_window(last, s.lookback_days, s.incremental, force_full_run, today)
     start, _ = choose_window(None, s.lookback_days, today=today)

@@ -187,7 +187,9 @@ def test_label_of_noise_and_high_ids(spark):
 def test_stored_model_scores_like_the_fit(spark, tmp_path):
     path = str(tmp_path / "model")
     df = features(spark)
+    assert not cl.is_fresh(spark, path)
     fitted = cl.cluster_services(df, k=3, restarts=2, save_to=path)
+    assert cl.is_fresh(spark, path) and not cl.is_fresh(spark, path, -1)
     again = cl.score_stored(spark, df, path)
     key = ["service_name", "cluster_id", "cluster_label"]
     assert sorted(again.select(*key).collect()) == sorted(fitted.select(*key).collect())

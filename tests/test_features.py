@@ -41,14 +41,14 @@ def test_percentiles_equal_numpy(spark, by_rank):
         "ends": [-math.inf, 0.0, 1.0, math.inf, math.inf],
     }
     rows = [(g, float(v)) for g, values in groups.items() for v in values]
-    rows += [("one", None), ("one", math.nan), ("nothing", None)]
+    rows += [("one", None), ("one", math.nan), ("nothing", None), (None, 1.0)]
     df = spark.createDataFrame(rows, "g string, _v double")
     if by_rank:
         found = percentiles_by_rank(df.where("_v is not null and not isnan(_v)"), ["g"], QUANTILES)
     else:
         found = exact_percentiles(df.where("g != 'ends'"), ["g"], "_v", QUANTILES)
     got = {r.g: r for r in found.collect()}
-    assert "nothing" not in got
+    assert set(got) == set(groups) - (set() if by_rank else {"ends"})
     for g, values in groups.items():
         if g == "ends":
             continue
