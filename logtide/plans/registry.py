@@ -74,24 +74,36 @@ def _logs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
+    """Service features, written once, for queries that read them more than once."""
     return materialize(fe.service_features(_logs(spark, folder)), "features")
 
 
+def _features_once(spark: SparkSession, folder: str) -> DataFrame:
+    return fe.service_features(_logs(spark, folder))
+
+
 def _hourly(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(fe.hourly_traffic(_logs(spark, folder)), "hourly")
 
 
 def _counts(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly counts only, for queries that need nothing else."""
-    logs = _normalized(spark, folder)
+    return _count_hours(_normalized(spark, folder))
+
+
+def _count_hours(logs: DataFrame) -> DataFrame:
+    hour = F.window("timestamp", "1 hour")["start"].alias("time_bucket")
     return materialize(
-        logs.groupBy("service_name", F.window("timestamp", "1 hour")["start"].alias("time_bucket")).agg(
-            F.count(F.lit(1)).alias("request_count")
-        ),
-        "counts",
+        logs.groupBy("service_name", hour).agg(F.count(F.lit(1)).alias("request_count")), "counts"
     )
 
 
+def _features_and_counts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Service features and hourly counts of the same stored logs."""
+    logs = _logs(spark, folder)
+    return materialize(fe.service_features(logs), "features"), _count_hours(logs)
+
+
 def _tiers(spark: SparkSession, folder: str) -> DataFrame:
     """Features with a cluster id by rule, so that profiles do not hang on a fitted model."""
     tier = F.when(F.col("error_rate") > 0.2, 0).when(F.col("peak_to_avg_ratio") > 4.5, 1).otherwise(2)
@@ -392,7 +404,7 @@ def service_alerts(spark, folder):
 
 @query
 def alert_recommendations(spark, folder):
-    return _features(spark, folder).select("service_name", rp.recommendation().alias("recommendation"))
+    return _features_once(spark, folder).select("service_name", rp.recommendation().alias("recommendation"))
 
 
 # ---------------------------------------------------------------- clusters
@@ -453,22 +465,22 @@ def cluster_breakdown(spark, folder):
 
 @query
 def report_totals(spark, folder):
-    return rp.report_totals(_features(spark, folder))
+    return rp.report_totals(_features_once(spark, folder))
 
 
 @query
 def top_services(spark, folder):
-    return rp.top_services(fe.service_features(_logs(spark, folder)), 10)
+    return rp.top_services(_features_once(spark, folder), 10)
 
 
 @query
 def idle_services(spark, folder):
-    return rp.idle_services(_features(spark, folder)).select("service_name", "requests_per_hour")
+    return rp.idle_services(_features_once(spark, folder)).select("service_name", "requests_per_hour")
 
 
 @query
 def overprovisioned(spark, folder):
-    return rp.overprovisioned(_features(spark, folder), below_ratio=3.5).select("service_name", "peak_to_avg_ratio")
+    return rp.overprovisioned(_features_once(spark, folder), below_ratio=3.5).select("service_name", "peak_to_avg_ratio")
 
 
 @query
@@ -478,14 +490,14 @@ def spot_candidates(spark, folder):
 
 @query
 def reusability(spark, folder):
-    return rp.reusability_candidates(_features(spark, folder), above_rph=0.05).select(
+    return rp.reusability_candidates(_features_once(spark, folder), above_rph=0.05).select(
         "service_name", "requests_per_hour"
     )
 
 
 @query
 def deprecation(spark, folder):
-    return rp.deprecation_candidates(_features(spark, folder), below_requests=100_000).select(
+    return rp.deprecation_candidates(_features_once(spark, folder), below_requests=100_000).select(
         "service_name", "total_requests", "error_rate"
     )
 
@@ -497,8 +509,8 @@ def cacheable_endpoints(spark, folder):
 
 @query
 def cost_insights(spark, folder):
-    counts = _counts(spark, folder)
-    return rp.cost_insights(_features(spark, folder), fe.calendar_features(counts), _repeat_last_day(counts))
+    features, counts = _features_and_counts(spark, folder)
+    return rp.cost_insights(features, fe.calendar_features(counts), _repeat_last_day(counts))
 
 
 # ---------------------------------------------------------------- forecasts and capacity
@@ -527,21 +539,23 @@ def forecast_peak_windows(spark, folder):
 
 @query
 def capacity_headroom(spark, folder):
-    features = _features(spark, folder)
+    features, counts = _features_and_counts(spark, folder)
     capacity = features.where(F.col("error_rate") <= 0.2).select(
         "service_name", (F.col("requests_per_hour") * 8).alias("capacity")
     )
-    return fc.capacity_headroom(_repeat_last_day(_counts(spark, folder)), capacity)
+    return fc.capacity_headroom(_repeat_last_day(counts), capacity)
 
 
 @query
 def scale_recommendations(spark, folder):
-    return rp.scale_recommendations(_repeat_last_day(_counts(spark, folder)), _features(spark, folder))
+    features, counts = _features_and_counts(spark, folder)
+    return rp.scale_recommendations(_repeat_last_day(counts), features)
 
 
 @query
 def preemptive_scaling(spark, folder):
-    found = rp.preemptive_scaling(_repeat_last_day(_counts(spark, folder)), _features(spark, folder))
+    features, counts = _features_and_counts(spark, folder)
+    found = rp.preemptive_scaling(_repeat_last_day(counts), features)
     return found.select("service_name", "peak_upper", "requests_per_hour")
 
 
