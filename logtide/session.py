@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 
@@ -28,3 +32,26 @@ def build_session(app: str = "logtide", master: str | None = None, **conf: str)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+_SHIPPED = "logtide.shipped"
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once per application, so that Python steps can import it there.
+
+    Not needed where the package is installed on every node; harmless there.
+    """
+    if os.environ.get(_SHIPPED) == spark.sparkContext.applicationId:
+        return spark
+    root = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory(prefix="logtide-ship-") as folder:
+        path = os.path.join(folder, "logtide.zip")
+        with zipfile.ZipFile(path, "w") as package:
+            for place, _, names in sorted(os.walk(root)):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    file = os.path.join(place, name)
+                    package.write(file, os.path.join("logtide", os.path.relpath(file, root)))
+        spark.sparkContext.addPyFile(path)
+    os.environ[_SHIPPED] = spark.sparkContext.applicationId
+    return spark
