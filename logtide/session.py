@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -45,13 +47,15 @@ def ship(spark: SparkSession) -> SparkSession:
     if os.environ.get(_SHIPPED) == spark.sparkContext.applicationId:
         return spark
     root = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory(prefix="logtide-ship-") as folder:
-        path = os.path.join(folder, "logtide.zip")
-        with zipfile.ZipFile(path, "w") as package:
-            for place, _, names in sorted(os.walk(root)):
-                for name in sorted(n for n in names if n.endswith(".py")):
-                    file = os.path.join(place, name)
-                    package.write(file, os.path.join("logtide", os.path.relpath(file, root)))
-        spark.sparkContext.addPyFile(path)
+    # the driver serves the file from here as long as it runs
+    folder = tempfile.mkdtemp(prefix="logtide-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "logtide.zip")
+    with zipfile.ZipFile(path, "w") as package:
+        for place, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(place, name)
+                package.write(file, os.path.join("logtide", os.path.relpath(file, root)))
+    spark.sparkContext.addPyFile(path)
     os.environ[_SHIPPED] = spark.sparkContext.applicationId
     return spark
