@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logtide.llm.hyperminhash import near_duplicates
+from logtide.llm.superkmers import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +54,23 @@ FROM documents JOIN c ON c.d = doc_id LEFT JOIN n USING (doc_id)
 @query(OP6_SQL)
 def op6_hyperminhash(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
+
+
+OP9_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, unnest(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) AS k
+  FROM w WHERE len(w) >= 20),
+f AS (SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY k) AS f FROM k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM f WHERE (doc_id, i) > f),
+g AS (SELECT doc_id, list(p) AS p, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN g.n IS NULL THEN w ELSE list_transform(
+    list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(g.p, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN g USING (doc_id)
+"""
+
+
+@query(OP9_SQL)
+def op9_superkmers(spark, folder):
+    return remove_repeats(table(spark, folder, "documents"), window=20, digest=True)
