@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logtide.llm.fmindex import contamination
 from logtide.llm.hyperminhash import near_duplicates
 from logtide.llm.superkmers import remove_repeats
 
@@ -74,3 +75,28 @@ FROM w LEFT JOIN g USING (doc_id)
 @query(OP9_SQL)
 def op9_superkmers(spark, folder):
     return remove_repeats(table(spark, folder, "documents"), window=20, digest=True)
+
+
+OP7_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWER_AZ}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER_AZ}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+k AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, unnest(CASE WHEN len(w) <= 10 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' ')) END) AS k FROM b WHERE len(w) > 0),
+l AS (SELECT DISTINCT n FROM k),
+p AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i,
+    unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS k
+  FROM d, l WHERE len(w) >= n),
+h AS (SELECT doc_id, i, p.n, item FROM p JOIN k USING (n, k)),
+c AS (SELECT doc_id, count(DISTINCT u) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS u FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query(OP7_SQL)
+def op7_fmindex(spark, folder):
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
