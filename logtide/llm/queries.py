@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logtide.llm.fmindex import contamination
 from logtide.llm.hyperminhash import near_duplicates
+from logtide.llm.linecrf import fit_quality, score_quality
 from logtide.llm.superkmers import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +102,21 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 @query(OP7_SQL)
 def op7_fmindex(spark, folder):
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
+
+
+def held_out(name: str = "doc_id"):
+    """Rows that no fit may see."""
+    return F.coalesce(F.crc32(F.col(name).cast("string")) % 4 == 2, F.lit(False))
+
+
+def quality_model(docs: DataFrame, spark: SparkSession, folder: str):
+    return fit_quality(docs, table(spark, folder, "labels"), ~held_out())
+
+
+@query()
+def op1_linecrf(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = score_quality(docs.select("doc_id", "text"), quality_model(docs, spark, folder))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
