@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from logtide.llm.fmindex import contamination
 from logtide.llm.hyperminhash import near_duplicates
 from logtide.llm.linecrf import fit_quality, score_quality
+from logtide.llm.packing import pack
+from logtide.llm.preferences import broken_off, preference_segments
 from logtide.llm.superkmers import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +122,30 @@ def op1_linecrf(spark, folder):
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
     )
+
+
+OP3_SQL = """
+WITH c AS (SELECT conv_id, turn, min((coalesce(role, ''), coalesce(text, ''))) AS c FROM conversations
+    WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+e AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+x AS (SELECT conv_id, turn, min((coalesce(role, ''), coalesce(CASE WHEN turn = last AND role = 'assistant' THEN left(text, length(text) // 2) ELSE text END, ''))) AS x
+    FROM conversations LEFT JOIN e USING (conv_id) WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+b AS (SELECT conv_id, turn, c[1] AS cr, c[2] AS ct, x[1] AS xr, x[2] AS xt FROM c JOIN x USING (conv_id, turn)),
+d AS (SELECT conv_id, min(CASE WHEN cr <> xr OR ct <> xt THEN turn END) AS stop FROM b GROUP BY conv_id),
+s AS (
+  SELECT conv_id, turn, CASE WHEN stop IS NULL OR turn < stop THEN 'prompt' ELSE 'chosen' END AS part, cr AS role, ct AS t FROM b JOIN d USING (conv_id)
+  UNION ALL SELECT conv_id, turn, 'rejected', xr, xt FROM b JOIN d USING (conv_id) WHERE turn >= stop)
+SELECT conv_id, part, turn, role, '<|im_start|>' || role || chr(10) || t || '<|im_end|>' || chr(10) AS segment,
+  CAST(13 + length(role) + CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 0 ELSE length(t) + 11 END AS INTEGER) AS train_from FROM s
+"""
+
+
+@query(OP3_SQL)
+def op3_preferences(spark, folder):
+    turns = table(spark, folder, "conversations")
+    return preference_segments(turns, broken_off(turns), "conv_id")
+
+
+@query()
+def op10_packing(spark, folder):
+    return pack(table(spark, folder, "documents"), max_tokens=2048, buckets=12, budget=16384)
