@@ -13,6 +13,8 @@ from logtide.llm.linecrf import fit_quality, score_quality
 from logtide.llm.packing import pack
 from logtide.llm.preferences import broken_off, preference_segments
 from logtide.llm.superkmers import remove_repeats
+from logtide.llm.warc import read_warc, write_warc
+from logtide.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,3 +151,27 @@ def op3_preferences(spark, folder):
 @query()
 def op10_packing(spark, folder):
     return pack(table(spark, folder, "documents"), max_tokens=2048, buckets=12, budget=16384)
+
+
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (
+  SELECT page_id, strlen(html) AS payload_bytes, array_to_string(list_transform(range(8), lambda k: translate(
+    to_base(CAST('0x' || substr(sha1(html), CAST(5 * k + 1 AS INTEGER), 5) AS BIGINT), 32, 4),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')), '') AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d GROUP BY ALL)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d JOIN f USING (payload_digest)
+"""
+
+
+@query(OP8_SQL)
+def op8_warc(spark, folder):
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, folder, "pages"), path, least_bytes=0)
+    records, _ = read_warc(spark, path)
+    return records.select(
+        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
