@@ -12,7 +12,9 @@ from logtide.llm.hyperminhash import near_duplicates
 from logtide.llm.linecrf import fit_quality, score_quality
 from logtide.llm.packing import pack
 from logtide.llm.preferences import broken_off, preference_segments
+from logtide.llm.spotsigs import edited_neighbours
 from logtide.llm.superkmers import remove_repeats
+from logtide.llm.tokens import count_tokens
 from logtide.llm.warc import read_warc, write_warc
 from logtide.scratch import scratch_path
 
@@ -175,3 +177,13 @@ def op8_warc(spark, folder):
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query()
+def op2_tokens(spark, folder):
+    return count_tokens(table(spark, folder, "documents"), "byte_bpe_50k.json", limit=512)
+
+
+@query()
+def op4_spotsigs(spark, folder):
+    return edited_neighbours(table(spark, folder, "documents"))
