@@ -14,6 +14,7 @@ from logtide.llm.packing import pack
 from logtide.llm.preferences import broken_off, preference_segments
 from logtide.llm.spotsigs import edited_neighbours
 from logtide.llm.superkmers import remove_repeats
+from logtide.llm.textdensity import main_texts
 from logtide.llm.tokens import count_tokens
 from logtide.llm.warc import read_warc, write_warc
 from logtide.scratch import scratch_path
@@ -187,3 +188,8 @@ def op2_tokens(spark, folder):
 @query()
 def op4_spotsigs(spark, folder):
     return edited_neighbours(table(spark, folder, "documents"))
+
+
+@query()
+def op5_textdensity(spark, folder):
+    return main_texts(table(spark, folder, "pages"))
