@@ -33,7 +33,7 @@ from logtide.scratch import materialize
 
 GROUP = 3
 SHORT_BYTES = 12
-TASK_BYTES = 16 << 20
+TASK_BYTES = 10 << 20
 NO_ID = -(1 << 63)
 
 
@@ -54,8 +54,10 @@ def super_kmers(texts: pa.Array, window: int, group: int = GROUP):
     hashes = word_hashes(words)
     values = chain(hashes, group)
     if len(values):
-        length = words.end[group - 1 :] - words.start[: len(values)]
-        values = (values >> U(1)) | ((length < SHORT_BYTES + group).astype(U) << U(63))
+        # bytes of the words alone: white space between them must not matter
+        length = np.concatenate([[0], np.cumsum(words.end - words.start)])
+        short = length[group:] - length[:-group] < SHORT_BYTES
+        values = (values >> U(1)) | (short.astype(U) << U(63))
     least, start, owner = _least(values, words.first, window, group)
     new = np.ones(len(least), bool)
     new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
@@ -256,7 +258,7 @@ def repeated_ranges(texts: DataFrame, window: int, bucket_bytes: int) -> DataFra
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
     sent = texts.mapInArrow(_send(window, buckets), "bucket int, strings binary, ranges binary")
-    dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")  # a partition takes its buckets in turn
     return dealt.mapInArrow(_count(window), RANGES)
 
 
@@ -331,7 +333,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     digest: bool = False,
-    bucket_bytes: int = 8 << 20,
+    bucket_bytes: int = 3 << 20,
 ) -> DataFrame:
     """Every word that a window with an earlier equal window covers goes; earlier is a smaller id, then a smaller place.
 
