@@ -12,7 +12,7 @@ ever scored: no label, language, source or id is an input.
 Null and empty texts, and texts of white space only, have no lines and score 0. Rows that repeat an id and a text
 give repeated rows; a text whose id has several labels is left out of the fit. Columns besides id and
 text keep their names and values (``score`` and ``n_lines`` are replaced). Without labelled texts of both
-kinds there is nothing to learn, and fitting raises ValueError.
+kinds there is nothing to learn: every text with a line scores near 0 if all labels say bad, else near 1.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from logtide.llm.words import LOWER, U, WHITE, bytes_of, chain, mix, slices, wor
 
 SAMPLE_CHARS = 50_000
 SCORE_BYTES = 6 << 20
+SURE = 20.0
 
 #: Kinds of bytes, counted for each line.
 LETTER, UPPER, DIGIT, SPACE, STOP, LOUD, SYMBOL = range(7)
@@ -210,8 +211,9 @@ def fit_quality(
     order = sorted(seen)
     parts = [np.frombuffer(bytes(seen[k]["features"]), np.float32).reshape(-1, 3 * OWN) for k in order]
     target = np.array([seen[k]["label"] for k in order], int)
-    if len(set(target.tolist())) < 2:
-        raise ValueError("labelled texts of both kinds are needed")
+    if len(set(target.tolist())) < 2:  # nothing to tell apart: all good, unless all labels say bad
+        sure = -SURE if len(target) and not target.any() else SURE
+        return LineCRF(np.zeros(3 * OWN), np.ones(3 * OWN), np.zeros(3 * OWN), sure, np.zeros((2, 2)))
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     return fit_lines(np.concatenate(parts).astype(float), first, target)
 
