@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
+import uuid
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from logtide.operators.dbscan import dbscan
@@ -39,7 +39,7 @@ CLUSTER_LABELS = {
 }
 OTHER = "other"
 K_RANGE = range(3, 13)
-ROWS_PER_TASK = 50_000
+FIT_PARTITIONS = 16
 DEFAULT_K = 4
 
 
@@ -56,10 +56,9 @@ def _vectors(scaled: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="_vector").transform(scaled)
 
 
-def _laid_out(scaled: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """Vectors in partitions that depend on the keys and their number only, never on the input's layout,
-    so that a seed means the same on any cluster."""
-    partitions = max(1, math.ceil(scaled.count() / ROWS_PER_TASK))
+def _laid_out(scaled: DataFrame, columns: list[str], key: str, partitions: int) -> DataFrame:
+    """Vectors in a fixed number of partitions by key, never in the input's layout, so that a seed means the
+    same on any cluster."""
     vectors = _vectors(scaled, columns).select(key, "_vector")
     return vectors.repartition(partitions, key).sortWithinPartitions(key)
 
@@ -69,7 +68,8 @@ def best_models(
 ) -> dict[int, KMeansModel]:
     """For every k the model with the least training cost over ``restarts`` seeds.
 
-    Fits are independent, so their many short jobs share the cluster; ties go to the first seed.
+    Fits are independent, so their many short jobs share the cluster. Costs are compared as fits finish,
+    in the order of the seeds, and only the best model of each k is kept; ties go to the first seed.
     """
 
     def fit(job: tuple[int, int]) -> KMeansModel:
@@ -79,57 +79,53 @@ def best_models(
         ).fit(vectors)
 
     jobs = [(k, attempt) for k in ks for attempt in range(restarts)]
+    best: dict[int, tuple[float, KMeansModel]] = {}
     vectors.persist()
     try:
         with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-            models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), jobs)
+            for (k, _), model in zip(jobs, pool.imap(inheritable_thread_target(vectors.sparkSession)(fit), jobs)):
+                cost = model.summary.trainingCost
+                if k not in best or cost < best[k][0]:
+                    best[k] = (cost, model)
     finally:
         vectors.unpersist()
-    best: dict[int, KMeansModel] = {}
-    for (k, _), model in zip(jobs, models):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
-    return best
-
+    return {k: model for k, (_, model) in best.items()}
 
-def _hash_sample(table: DataFrame, key: str, size: int, seed: int) -> DataFrame:
-    """``size`` rows in the order of a hash of their key."""
-    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
-    return table.withColumn("_order", order).orderBy("_order", key).limit(size).drop("_order")
 
+def _scores(points: DataFrame, key: str) -> DataFrame:
+    """Silhouette of each row of ``points(run, key, label, x)`` within its run, from squared distances.
 
-def _sample_scores(points: DataFrame, key: str) -> DataFrame:
-    """Euclidean silhouette of each row of ``points(run, key, label, x)`` within its run.
-
-    ``points`` must be a small sample: each run travels to its rows as one array of clusters, and no
-    pairs of rows are built.
+    The mean squared distance to a cluster follows from its size, sum and sum of squares, so every row is
+    scored and no pairs of rows are built. One row for each cluster of a run travels to its rows.
     """
-    clusters = points.groupBy("run", "label").agg(F.collect_list("x").alias("members"))
-    everyone = clusters.groupBy("run").agg(F.collect_list(F.struct("label", "members")).alias("_clusters"))
-
-    def distance(member: Column) -> Column:
-        squares = F.zip_with(F.col("x"), member, lambda a, b: (a - b) * (a - b))
-        return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, s: total + s))
-
-    def to_cluster(cluster: Column) -> Column:
-        total = F.aggregate(cluster["members"], F.lit(0.0), lambda acc, m: acc + distance(m))
-        return F.struct(
-            cluster["label"].alias("label"), total.alias("total"), F.size(cluster["members"]).alias("n")
-        )
-
-    own = F.element_at(F.filter("_to", lambda c: c["label"] == F.col("label")), 1)
-    others = F.transform(
-        F.filter("_to", lambda c: c["label"] != F.col("label")), lambda c: c["total"] / c["n"]
-    )
-    inner = F.col("_own")["total"] / F.nullif(F.col("_own")["n"] - 1, F.lit(0))
-    outer = F.array_min("_others")
-    score = F.coalesce((outer - inner) / F.nullif(F.greatest(outer, inner), F.lit(0.0)), F.lit(0.0))
-    return (
-        points.join(everyone, "run")
-        .withColumn("_to", F.transform("_clusters", to_cluster))
-        .withColumns({"_own": own, "_others": others})
-        .select("run", key, "label", score.alias("silhouette"))
+    size = F.size("x")
+    axes = F.posexplode("x").alias("axis", "value")
+    sums = (
+        points.select("run", "label", axes)
+        .groupBy("run", "label", "axis")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"))
     )
+    vector = F.transform(F.array_sort(F.collect_list(F.struct("axis", "s"))), lambda a: a["s"])
+    each = sums.groupBy("run", "label").agg(F.max("n").alias("n"), vector.alias("s"), F.sum("q").alias("q"))
+    clusters = each.groupBy("run").agg(F.collect_list(F.struct("label", "n", "s", "q")).alias("_clusters"))
+
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, v: total + v)
+
+    def total(cluster: Column) -> Column:
+        """Squared distances to all members; rounding must not make it negative."""
+        return F.greatest(cluster["n"] * F.col("_xx") - 2 * dot(F.col("x"), cluster["s"]) + cluster["q"], F.lit(0.0))
+
+    own = F.element_at(F.filter("_clusters", lambda c: c["label"] == F.col("label")), 1)
+    others = F.transform(F.filter("_clusters", lambda c: c["label"] != F.col("label")), lambda c: total(c) / c["n"])
+    placed = points.join(clusters, "run").withColumn("_xx", dot(F.col("x"), F.col("x"))).withColumn("_own", own)
+    inner = total(F.col("_own")) / F.nullif(F.col("_own")["n"] - 1, F.lit(0))
+    scored = placed.where(size > 0).withColumns({"_inner": inner, "_outer": F.array_min(others)})
+    score = (F.col("_outer") - F.col("_inner")) / F.nullif(F.greatest("_outer", "_inner"), F.lit(0.0))
+    return scored.select("run", key, "label", F.coalesce(score, F.lit(0.0)).alias("silhouette"))
+
+
+METRICS = ("squared_euclidean",)
 
 
 def silhouette_rows(
@@ -137,15 +133,14 @@ def silhouette_rows(
     columns: list[str],
     key: str = "service_name",
     label: str = "cluster_id",
-    sample_size: int = 1000,
-    seed: int = 42,
+    metric: str = "squared_euclidean",
 ) -> DataFrame:
-    """Silhouette of each row of a sample of at most ``sample_size`` rows, within the sample."""
+    """Silhouette of every row. ``metric`` names what distances are; squared ones need no pairs of rows."""
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
     point = F.array(*[F.col(c).cast("double") for c in columns]).alias("x")
-    sample = _hash_sample(labelled, key, sample_size, seed)
-    points = sample.select(F.lit(0).alias("run"), key, F.col(label).alias("label"), point)
-    scores = _sample_scores(materialize(points, "sample"), key)
-    return scores.select(key, F.col("label").alias(label), "silhouette")
+    points = labelled.select(F.lit(0).alias("run"), key, F.col(label).alias("label"), point)
+    return _scores(points, key).select(key, F.col("label").alias(label), "silhouette")
 
 
 def silhouette(
@@ -153,49 +148,47 @@ def silhouette(
     columns: list[str],
     key: str = "service_name",
     label: str = "cluster_id",
-    sample_size: int | None = 1000,
-    seed: int = 42,
+    metric: str = "squared_euclidean",
 ) -> DataFrame:
-    """One row ``silhouette``: the mean over the sample, NULL with one cluster or any noise (-1).
+    """One row ``silhouette``: the mean over all rows, NULL with one cluster or any noise (-1)."""
+    rows = silhouette_rows(labelled, columns, key, label, metric)
+    sound = (F.count_distinct(label) > 1) & (F.min(label) >= 0)
+    return rows.agg(F.when(sound, F.avg("silhouette")).alias("silhouette"))
 
-    ``sample_size=None`` scores every row by Spark's evaluator, which squares the distances.
-    """
-    shape = labelled.agg(F.count_distinct(label), F.min(label)).first()
-    if shape[0] < 2 or shape[1] < 0:
-        return labelled.sparkSession.range(1).select(F.lit(None).cast("double").alias("silhouette"))
-    if sample_size is None:
-        vectors = VectorAssembler(inputCols=columns, outputCol="_vector").transform(labelled)
-        score = ClusteringEvaluator(featuresCol="_vector", predictionCol=label).evaluate(vectors)
-        return labelled.sparkSession.range(1).select(F.lit(score).alias("silhouette"))
-    rows = silhouette_rows(labelled, columns, key, label, sample_size, seed)
-    return rows.agg(F.avg("silhouette").alias("silhouette"))
-
-
-def choose_k(
+
+def score_ks(
     scaled: DataFrame,
     columns: list[str],
     key: str = "service_name",
     restarts: int = 5,
     seed: int = 42,
     k_range: range = K_RANGE,
-    sample_size: int = 500,
-) -> list[tuple[int, float]]:
-    """Silhouette of every k below the number of rows, on one sample for all of them."""
-    n = scaled.count()
+    partitions: int = FIT_PARTITIONS,
+) -> DataFrame:
+    """``(k, silhouette, chosen)`` for every k below the number of rows, each from one pass over all rows."""
+    spark, n = scaled.sparkSession, scaled.count()
     ks = [k for k in k_range if k < n]
     if not ks:
-        return []
-    models = best_models(_laid_out(scaled, columns, key), ks, restarts, seed)
-    sample = _vectors(_hash_sample(scaled, key, sample_size, seed), columns)
+        return spark.createDataFrame([], "k int, silhouette double, chosen boolean")
+    models = best_models(_laid_out(scaled, columns, key, partitions), ks, restarts, seed)
+    labelled = _vectors(scaled, columns)
     for k, model in models.items():
-        sample = model.transform(sample).withColumnRenamed("_raw_id", f"_label{k}")
+        labelled = model.transform(labelled).withColumnRenamed("_raw_id", f"_label{k}")
     runs = F.explode(F.array(*[F.struct(F.lit(k).alias("run"), F.col(f"_label{k}").alias("label")) for k in ks]))
     point = F.array(*[F.col(f"z_{c}") for c in columns]).alias("x")
-    points = materialize(sample.select(runs.alias("r"), key, point).select("r.*", key, "x"), "sample")
-    scores = _sample_scores(points, key).groupBy("run").agg(
+    points = materialize(labelled.select(runs.alias("r"), key, point).select("r.*", key, "x"), "runs")
+    scores = _scores(points, key).groupBy("run").agg(
         F.avg("silhouette").alias("s"), F.count_distinct("label").alias("labels")
     )
-    return [(r["run"], r["s"] if r["labels"] > 1 else -1.0) for r in scores.orderBy("run").collect()]
+    scores = scores.select(F.col("run").alias("k"), F.when(F.col("labels") > 1, F.col("s")).otherwise(-1.0).alias("silhouette"))
+    # one row for each k
+    best = F.max_by("k", F.struct("silhouette", -F.col("k"))).over(Window.partitionBy(F.lit(0)))
+    return scores.withColumn("chosen", F.col("k") == best)
+
+
+def choose_k(*args, **kwargs) -> list[tuple[int, float]]:
+    """The score table of ``score_ks`` as a list by k."""
+    return [(r["k"], r["silhouette"]) for r in score_ks(*args, **kwargs).orderBy("k").collect()]
 
 
 def best_k(scores: list[tuple[int, float]]) -> int:
@@ -206,13 +199,12 @@ def best_k(scores: list[tuple[int, float]]) -> int:
     return best
 
 
-def _ranked(assigned: DataFrame, rank_by: str) -> DataFrame:
+def _rank_ids(assigned: DataFrame, rank_by: str) -> dict[int, int]:
     """Cluster ids by descending mean of ``rank_by``, so that labels do not hang on a seed."""
     means = (
         assigned.groupBy("_raw_id").agg(F.avg(rank_by).alias("m")).orderBy(F.desc("m"), "_raw_id").collect()
     )  # one row per cluster: k rows
-    ids = F.create_map(*[F.lit(v) for rank, row in enumerate(means) for v in (row["_raw_id"], rank)])
-    return assigned.withColumn("cluster_id", ids[F.col("_raw_id")])
+    return {row["_raw_id"]: rank for rank, row in enumerate(means)}
 
 
 def cluster_services(
@@ -225,23 +217,34 @@ def cluster_services(
     auto_k: bool = False,
     rank_by: str = "requests_per_hour",
     save_to: str | None = None,
+    partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
     """k-means over standardised columns; adds ``cluster_id`` and ``cluster_label``.
 
-    ``features`` is read twice: pass a stored table.
+    ``features`` is read twice: pass a stored table. Results follow the seed and ``partitions``, which
+    set how many tasks a fit uses and should not change between runs that are compared. There are no more
+    clusters than distinct points; if all points are equal, all are cluster 0 and no model is stored.
     """
     columns = _present(features, columns)
     scaled = materialize(standardize(features, columns), "scaled")
+    wanted = {"columns": columns, "k": k, "auto_k": auto_k, "seed": seed}
     if auto_k:
-        k = best_k(choose_k(scaled, columns, key, seed=seed))
-    model = best_models(_laid_out(scaled, columns, key), [k], restarts, seed)[k]
+        k = best_k(choose_k(scaled, columns, key, seed=seed, partitions=partitions))
+    places = scaled.select(*[f"z_{c}" for c in columns]).distinct().limit(k).count()
+    if places < 2:  # k-means needs two places at least
+        return features.withColumns({"cluster_id": F.lit(0), "cluster_label": cluster_label(F.lit(0))})
+    k = min(k, places)
+    model = best_models(_laid_out(scaled, columns, key, partitions), [k], restarts, seed)[k]
+    assigned = model.transform(_vectors(scaled, columns))
+    ids = _rank_ids(assigned, rank_by)
     if save_to:
-        save_model(model, moments(features, columns), save_to)
-    return _finish(model.transform(_vectors(scaled, columns)), features.columns, rank_by)
+        save_model(model, moments(features, columns), ids, wanted, save_to)
+    return _finish(assigned, features.columns, ids)
 
 
-def _finish(assigned: DataFrame, columns: list[str], rank_by: str) -> DataFrame:
-    ranked = _ranked(assigned, rank_by)
+def _finish(assigned: DataFrame, columns: list[str], ids: dict[int, int]) -> DataFrame:
+    named = F.create_map(*[F.lit(v) for pair in ids.items() for v in pair]) if ids else F.create_map()
+    ranked = assigned.withColumn("cluster_id", named[F.col("_raw_id")])
     return ranked.withColumn("cluster_label", cluster_label(F.col("cluster_id"))).select(
         *columns, "cluster_id", "cluster_label"
     )
@@ -293,31 +296,52 @@ def first_names(
     return top.groupBy(*by).agg(F.transform(pairs, lambda p: p["name"]).alias("names"))
 
 
-def save_model(model: KMeansModel, stats: DataFrame, path: str) -> None:
-    """Centres and scaling statistics, for scoring later without another fit."""
-    model.write().overwrite().save(f"{path}/kmeans")
-    stamped = stats.withColumn("fitted_at", F.current_timestamp())
-    stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/moments")
+STORED = "version string, fitted_at timestamp, columns array<string>, k int, auto_k boolean, seed long, ids map<int,int>"
+
+
+def save_model(model: KMeansModel, stats: DataFrame, ids: dict[int, int], wanted: dict, path: str) -> None:
+    """Centres, scaling statistics and cluster ids in a folder of their own, for scoring without another fit.
+
+    The last write, one row in ``versions``, makes them the model: a run that dies before leaves the one
+    before in place.
+    """
+    spark = stats.sparkSession
+    version = uuid.uuid4().hex
+    model.write().save(f"{path}/{version}/kmeans")
+    stats.coalesce(1).write.parquet(f"{path}/{version}/moments")
+    row = {"version": version, **wanted, "ids": ids}
+    stamped = spark.createDataFrame([row], STORED.replace("fitted_at timestamp, ", ""))
+    stamped = stamped.withColumn("fitted_at", F.current_timestamp()).select(*[c.name for c in _stored_schema().fields])
+    stamped.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+
+
+def _stored_schema() -> T.StructType:
+    return T.StructType.fromDDL(STORED)
 
 
-def is_fresh(spark: SparkSession, path: str, max_age_days: float = 7) -> bool:
-    """Whether a model is stored below ``path`` and no older than ``max_age_days``."""
-    age = F.current_timestamp() - F.expr(f"INTERVAL {int(max_age_days * 86400)} SECONDS")
+def latest_model(spark: SparkSession, path: str) -> Row | None:
+    """The newest stored model: version, settings and cluster ids."""
     try:
-        return not spark.read.parquet(f"{path}/moments").where(F.col("fitted_at") >= age).isEmpty()
+        rows = spark.read.schema(_stored_schema()).parquet(f"{path}/versions")
+        return rows.orderBy(F.desc("fitted_at"), "version").first()
     except AnalysisException:
-        return False
+        return None
 
 
-def score_stored(
-    spark: SparkSession,
-    features: DataFrame,
-    path: str,
-    columns: list[str] | None = None,
-    rank_by: str = "requests_per_hour",
-) -> DataFrame:
-    """Assign services to the clusters of a stored model."""
-    columns = _present(features, columns)
-    model = KMeansModel.load(f"{path}/kmeans")
-    scaled = apply_moments(features, spark.read.parquet(f"{path}/moments"), columns)
-    return _finish(model.transform(_vectors(scaled, columns)), features.columns, rank_by)
+def is_fresh(spark: SparkSession, path: str, max_age_days: float = 7, **wanted) -> bool:
+    """Whether the newest model below ``path`` is no older than ``max_age_days`` and was fitted as ``wanted``."""
+    found = latest_model(spark, path)
+    if found is None or any(found[name] != value for name, value in wanted.items()):
+        return False
+    age = spark.range(1).select((F.unix_micros(F.current_timestamp()) - F.unix_micros(F.lit(found["fitted_at"]))).alias("a"))
+    return age.first()["a"] <= max_age_days * 86_400_000_000
+
+
+def score_stored(spark: SparkSession, features: DataFrame, path: str) -> DataFrame:
+    """Assign services to the clusters of the newest stored model; its columns and cluster ids hold."""
+    found = latest_model(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no stored model below {path}")
+    model = KMeansModel.load(f"{path}/{found['version']}/kmeans")
+    scaled = apply_moments(features, spark.read.parquet(f"{path}/{found['version']}/moments"), list(found["columns"]))
+    return _finish(model.transform(_vectors(scaled, list(found["columns"]))), features.columns, dict(found["ids"]))

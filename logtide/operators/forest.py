@@ -7,11 +7,13 @@ and the whole forest has a fixed size bound (trees x 511 nodes), which is what i
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,7 +24,8 @@ from logtide.scratch import materialize
 
 TREES = 100
 SAMPLE = 256
-NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double"
+NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double, tree_rows int"
+MOST_NODES = TREES * 20 * 511
 
 
 def average_path(n):
@@ -34,13 +37,14 @@ def average_path(n):
 
 
 def _tree_rows(table: DataFrame, key: str, columns: list[str], trees: int, sample: int, seed: int) -> DataFrame:
-    """Rows of each tree: the ``sample`` smallest of a hash per row and tree.
+    """Rows of each tree: the ``sample`` smallest of a hash per row and tree, as published (psi).
 
-    A row first decides by itself, with odds that give each tree more rows than it needs; the exact cut
-    happens in groups of that size. A table that fits the sample goes into every tree whole.
+    A row first decides by itself, with odds that give each tree ten standard errors more rows than it
+    needs (all rows, if there are no more); the exact cut happens in groups of that size. How many rows a
+    tree did get stands in its nodes.
     """
-    n = table.count()
-    odds = 1.0 if n <= 2 * sample else min(1.0, (sample + 10 * math.sqrt(sample)) / n)
+    n = max(table.count(), 1)
+    odds = min(1.0, (sample + 10 * math.sqrt(sample)) / n)
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("tree")), F.lit(2**31)) / float(2**31)
     drawn = (
         table.withColumn("x", F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns]))
@@ -67,7 +71,7 @@ def _grow(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
         low, high = part.min(axis=0), part.max(axis=0)
         varying = np.flatnonzero(high > low)
         if depth >= limit or len(varying) == 0:
-            nodes.append((tree, node, -1, 0.0, -1, -1, depth + float(average_path(len(members)))))
+            nodes.append((tree, node, -1, 0.0, -1, -1, depth + float(average_path(len(members))), len(x)))
             continue
         feature = int(rng.choice(varying))
         cut = float(rng.uniform(low[feature], high[feature]))
@@ -75,7 +79,7 @@ def _grow(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
         if goes_left.all():  # the draw hit the upper end
             cut = float(low[feature])
             goes_left = part[:, feature] <= cut
-        nodes.append((tree, node, feature, cut, made, made + 1, 0.0))
+        nodes.append((tree, node, feature, cut, made, made + 1, 0.0, len(x)))
         todo += [(made, members[goes_left], depth + 1), (made + 1, members[~goes_left], depth + 1)]
         made += 2
     return pd.DataFrame(nodes, columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
@@ -100,12 +104,39 @@ def fit_forest(
     return materialize(grown, "forest")
 
 
-def score_forest(table: DataFrame, forest: DataFrame, columns: list[str], rows_seen: int) -> DataFrame:
-    """Add ``raw_score`` = 2 ** (-mean path / c(rows per tree)); higher is more unusual."""
-    nodes = forest.orderBy("tree", "node").toPandas()  # bounded: trees x 511 nodes
+def store_forest(forest: DataFrame, columns: list[str], path: str) -> DataFrame:
+    """Write the nodes below ``path`` with the columns they split on and the time; returns them read back."""
+    version = uuid.uuid4().hex
+    stamped = forest.withColumns(
+        {"version": F.lit(version), "fitted_at": F.current_timestamp(), "columns": F.array(*[F.lit(c) for c in columns])}
+    )
+    stamped.coalesce(1).write.mode("append").parquet(path)  # one file: a forest is stored whole or not at all
+    stored = forest.sparkSession.read.parquet(path)
+    return stored.where(F.col("version") == version).select(*forest.columns)
+
+
+def stored_forest(spark: SparkSession, path: str, columns: list[str], max_age_days: float) -> DataFrame | None:
+    """Nodes of the newest stored forest over these columns that is young enough, or None."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    oldest = F.current_timestamp() - F.expr(f"INTERVAL {int(max_age_days * 86400)} SECONDS")
+    usable = table.where((F.col("columns") == F.array(*[F.lit(c) for c in columns])) & (F.col("fitted_at") >= oldest))
+    newest = usable.agg(F.max_by("version", F.struct("fitted_at", "version"))).first()[0]
+    if newest is None:
+        return None
+    return table.where(F.col("version") == newest).select(*[c.split()[0] for c in NODE_SCHEMA.split(", ")])
+
+
+def score_forest(table: DataFrame, forest: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``raw_score`` = 2 ** (-mean of path / c(rows of the tree)); higher is more unusual."""
+    nodes = forest.orderBy("tree", "node").limit(MOST_NODES + 1).toPandas()
+    if len(nodes) > MOST_NODES:
+        raise ValueError(f"a forest of more than {MOST_NODES} nodes is too large to send to every task")
     trees = [g.reset_index(drop=True) for _, g in nodes.groupby("tree")]
     packed = [{c: t[c].to_numpy() for c in ("feature", "cut", "left", "right", "path")} for t in trees]
-    scale = float(average_path(rows_seen)) or 1.0
+    scales = [float(average_path(t["tree_rows"].iloc[0])) or 1.0 for t in trees]
 
     @F.pandas_udf("double")
     def isolation(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -113,15 +144,15 @@ def score_forest(table: DataFrame, forest: DataFrame, columns: list[str], rows_s
             x = np.stack(series.to_numpy()) if len(series) else np.zeros((0, len(columns)))
             total = np.zeros(len(x))
             every = np.arange(len(x))
-            for t in packed:
+            for t, scale in zip(packed, scales):
                 at = np.zeros(len(x), dtype=int)
                 while (t["feature"][at] >= 0).any():
                     feature = t["feature"][at]
                     inner = feature >= 0
                     left = x[every, np.maximum(feature, 0)] <= t["cut"][at]
                     at = np.where(inner, np.where(left, t["left"][at], t["right"][at]), at)
-                total += t["path"][at]
-            yield pd.Series(2.0 ** (-(total / len(packed)) / scale))
+                total += t["path"][at] / scale
+            yield pd.Series(2.0 ** -(total / len(packed)))
 
     x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns])
     return table.withColumn("raw_score", isolation(x))
@@ -135,20 +166,19 @@ def service_anomalies_iforest(
     trees: int = TREES,
     seed: int = 42,
     forest: DataFrame | None = None,
-    rows_seen: int | None = None,
+    min_rows: int = SERVICE_MIN_ROWS,
 ) -> DataFrame:
     """Add ``anomaly_score`` (scaled to [0, 1]) and ``is_anomaly`` (above the ``1 - contamination`` cut).
 
-    A stored ``forest`` with the ``rows_seen`` per tree scores without fitting.
+    ``features`` is read several times: pass a stored table. Fewer than ``min_rows`` rows are not scored.
+    A stored ``forest`` scores without fitting.
     """
     columns = [c for c in (columns or SERVICE_SCORED) if c in features.columns]
-    features = materialize(features, "features")
-    n = features.count()
-    if n < SERVICE_MIN_ROWS:
+    if len(features.limit(min_rows).take(min_rows)) < min_rows:
         return features.withColumns({"anomaly_score": F.lit(0.0), "is_anomaly": F.lit(False)})
     if forest is None:
-        forest, rows_seen = fit_forest(features, columns, key, trees, SAMPLE, seed), min(n, SAMPLE)
-    scored = materialize(score_forest(features, forest, columns, rows_seen), "scored")
+        forest = fit_forest(features, columns, key, trees, SAMPLE, seed)
+    scored = materialize(score_forest(features, forest, columns), "scored")
     cut = exact_percentiles(scored, [], "raw_score", {"cut": 1 - contamination}).scalar()
     return (
         scale_scores(scored, "raw_score")

@@ -37,8 +37,6 @@ ALIASES = {
     "user_id": ["user", "userid", "client_id"],
     "instance_id": ["instance", "host", "pod", "server"],
 }
-# A catalog table's date partition is the last resort for the time of a record.
-LAST_RESORT = {"timestamp": ["dt"]}
 
 REQUIRED = ["timestamp", "service_name", "status_code"]
 MEASURES = ["latency_ms", "bytes_response"]
@@ -52,7 +50,7 @@ def _sources(names: list[str]) -> dict[str, list[int]]:
     """Positions of the input columns that feed each canonical field, in order of preference."""
     at = {name: i for i, name in enumerate(names)}
     return {
-        field: [at[n] for n in [field, *ALIASES[field], *LAST_RESORT.get(field, [])] if n in at]
+        field: [at[n] for n in [field, *ALIASES[field]] if n in at]
         for field in CANONICAL
     }
 
@@ -71,8 +69,6 @@ def map_columns(raw: DataFrame) -> DataFrame:
     for field, positions in _sources(names).items():
         if not positions:
             continue
-        if field in LAST_RESORT and len(positions) > 1:
-            positions = [p for p in positions if names[p] not in LAST_RESORT[field]]
         used.update(positions)
         columns = [F.col(f"_{p}") for p in positions]
         if len({types[p] for p in positions}) > 1:

@@ -1,10 +1,9 @@
 """Exact, interpolated percentiles that no single task has to hold.
 
 The built-in ``percentile`` keeps every distinct value of a group in one buffer, and sketches of a hot
-group all meet in one task. So the built-in serves only tables whose largest group is known to be
-small. Otherwise the wanted ranks are found digit by digit: values are counted per coarse slice of the
-number line, then only those in a slice that holds a wanted rank are counted per fine slice, then per
-value. Every count is combined on the map side and spread over the cluster by slice, and what one task
+group all meet in one task. So the wanted ranks are found digit by digit, for tables of any size alike:
+values are counted per coarse slice of the number line, then only those in a slice that holds a wanted
+rank are counted per fine slice, then per value. Every count is combined on the map side and spread over the cluster by slice, and what one task
 sorts is bounded whatever the data: the slices of a key, at most 2**22 fine slices, or the at most 2**22
 doubles that share a fine slice.
 """
@@ -21,7 +20,6 @@ from pyspark.sql.window import Window
 COARSE_BITS = 8
 FINE_BITS = 22
 INFINITE_SLICE = 2**40
-BUFFER_LIMIT = 10_000
 
 
 def _slices(value: Column) -> tuple[Column, Column]:
@@ -81,27 +79,15 @@ def _count_within(
     )
 
 
-def exact_percentiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    quantiles: dict[str, float],
-    buffer_limit: int = BUFFER_LIMIT,
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """One row per key: the percentiles of the non-null values under the given output names.
 
-    The size of the largest group is measured first; up to ``buffer_limit`` values the built-in
-    aggregate is used. Beyond, ``df`` is read three more times, with the key and value columns only:
-    pass a stored table. A key without values has no row, nor has a NULL key.
+    ``df`` is read three times, with the key and value columns only: pass a stored table. A key without
+    values has no row, nor has a NULL key.
     """
     value_column = F.col(value).cast("double")
     values = df.select(*keys, value_column.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    values = values.dropna(subset=keys) if keys else values
-    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= buffer_limit:
-        return values.groupBy(*keys).agg(*[F.percentile("_v", q).alias(n) for n, q in quantiles.items()])
-    return percentiles_by_rank(values, keys, quantiles)
+    return percentiles_by_rank(values.dropna(subset=keys) if keys else values, keys, quantiles)
 
 
 def percentiles_by_rank(values: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:

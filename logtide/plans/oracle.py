@@ -209,15 +209,14 @@ CLUSTER_COLUMNS = [
 
 SILHOUETTE = f"""
 WITH {CUSTOMERS},
-sampled AS (
-  SELECT *, CASE WHEN total_requests < 8 THEN 0 WHEN total_requests < 12 THEN 1 ELSE 2 END AS label
-  FROM customers ORDER BY md5('42|' || CAST(service_name AS VARCHAR)), service_name LIMIT 1000),
+labelled AS (
+  SELECT *, CASE WHEN total_requests < 8 THEN 0 WHEN total_requests < 12 THEN 1 ELSE 2 END AS label FROM customers),
 pair AS (
   SELECT a.service_name AS id, a.label AS own, b.label AS other,
-    sum(sqrt((a.error_rate - b.error_rate) * (a.error_rate - b.error_rate)
-      + (a.requests_per_hour - b.requests_per_hour) * (a.requests_per_hour - b.requests_per_hour))) AS total,
+    sum((a.error_rate - b.error_rate) * (a.error_rate - b.error_rate)
+      + (a.requests_per_hour - b.requests_per_hour) * (a.requests_per_hour - b.requests_per_hour)) AS total,
     count(*) AS n
-  FROM sampled a CROSS JOIN sampled b GROUP BY ALL),
+  FROM labelled a CROSS JOIN labelled b GROUP BY ALL),
 ab AS (
   SELECT id, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a,
     min(CASE WHEN own <> other THEN total / n END) AS b
@@ -285,6 +284,13 @@ COST = (
     )
 )
 
+FEATURE_COLUMNS = """
+SELECT service_name, total_requests, round(error_rate, 6) AS error_rate,
+  round(server_error_rate, 6) AS server_error_rate, round(latency_p50, 6) AS latency_p50,
+  round(latency_p95, 6) AS latency_p95, round(latency_p99, 6) AS latency_p99, round(avg_bytes, 6) AS avg_bytes,
+  unique_users, unique_endpoints, unique_instances, round(active_hours, 6) AS active_hours,
+  round(requests_per_hour, 6) AS requests_per_hour, round(peak_to_avg_ratio, 6) AS peak_to_avg_ratio
+FROM features"""
 NORMALIZED = f"WITH {RAW} SELECT {LOG_COLUMNS} FROM logs"
 HOURLY = f"WITH {SERIES} SELECT {SERIES_COLUMNS} FROM hourly"
 
@@ -321,8 +327,17 @@ WHERE CAST("timestamp" AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-15'"
     "guarded_scan": f"""WITH {RAW}
 SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS day, count(*) AS request_count FROM logs
 WHERE CAST("timestamp" AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-15' GROUP BY 1""",
+    "refused_scan": f"""WITH {RAW}
+SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS day, count(*) AS request_count, TRUE AS refused FROM logs
+WHERE CAST("timestamp" AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-15' GROUP BY 1""",
+    "skipped_files": f"""WITH {RAW}
+SELECT DISTINCT CAST(day("timestamp") AS INTEGER) AS day, CAST(10 AS BIGINT) AS bytes FROM logs
+WHERE day("timestamp") % 10 = 0""",
+    "table_run_features": f"""WITH {RAW},
+day_logs AS (SELECT * FROM logs WHERE CAST("timestamp" AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-15')
+{FEATURES[len(RAW):].replace("FROM logs", "FROM day_logs")}{FEATURE_COLUMNS}""",
     "table_date_query": f"""WITH {RAW}
-SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS dt, service_name, endpoint, method, status_code, latency_ms,
+SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS dt, "timestamp", service_name, endpoint, method, status_code, latency_ms,
   bytes_response, user_id, instance_id FROM logs
 WHERE CAST("timestamp" AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-15'""",
     "merged_schema_read": f"""WITH {RAW}
@@ -333,13 +348,7 @@ FROM logs GROUP BY service_name""",
 SELECT event_type, count(*) AS n, round(avg(value), 6) AS avg_value FROM events GROUP BY event_type""",
     "incremental_ingest": f"""WITH {RAW} SELECT {LOG_COLUMNS} FROM valid""",
     # features
-    "service_features": f"""WITH {FEATURES}
-SELECT service_name, total_requests, round(error_rate, 6) AS error_rate,
-  round(server_error_rate, 6) AS server_error_rate, round(latency_p50, 6) AS latency_p50,
-  round(latency_p95, 6) AS latency_p95, round(latency_p99, 6) AS latency_p99, round(avg_bytes, 6) AS avg_bytes,
-  unique_users, unique_endpoints, unique_instances, round(active_hours, 6) AS active_hours,
-  round(requests_per_hour, 6) AS requests_per_hour, round(peak_to_avg_ratio, 6) AS peak_to_avg_ratio
-FROM features""",
+    "service_features": f"WITH {FEATURES}{FEATURE_COLUMNS}",
     "request_span": f"""WITH {FEATURES} SELECT service_name, total_requests,
   round(active_hours, 6) AS active_hours, round(requests_per_hour, 6) AS requests_per_hour FROM features""",
     "peak_ratio": f"""WITH {FEATURES}

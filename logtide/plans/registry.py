@@ -26,7 +26,7 @@ from logtide.session import use_utc
 from logtide.sinks.writers import convert_raw, write_logs, write_report
 from logtide.sources import access_logs as src
 from logtide.sources.fixtures import customer_features, raw_access_logs
-from logtide.sources.guarded import cached_query, guard_scan
+from logtide.sources.guarded import ScanLimitExceeded, cached_query, cached_result, guard_scan, scan_size
 from logtide.streaming import ingest as si
 from logtide.streaming import rollup as ro
 
@@ -209,17 +209,73 @@ def scan_date_range(spark, folder):
 def guarded_scan(spark, folder):
     logs = _normalized(spark, folder).select(*LOG_COLUMNS)
     root = _store(spark, folder, logs)
-    scan = guard_scan(src.scan_date_range(spark, root, FIRST_DAY, LAST_DAY, logs.schema), 1e6)
+    days = F.make_date("year", "month", "day").between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date"))
+    guard_scan(src.listed_files(spark, root).where(days), 1e6)
+    scan = src.scan_date_range(spark, root, FIRST_DAY, LAST_DAY, logs.schema)
     return scan.groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day")).agg(
         F.count(F.lit(1)).alias("request_count")
     )
 
 
+@query
+def refused_scan(spark, folder):
+    """The same days under a limit that no file fits in: refused, and counted all the same here."""
+    logs = _normalized(spark, folder).select(*LOG_COLUMNS)
+    root = _store(spark, folder, logs)
+    try:
+        guard_scan(src.listed_files(spark, root), 1e-6)
+        refused = False
+    except ScanLimitExceeded:
+        refused = True
+    scan = src.scan_date_range(spark, root, FIRST_DAY, LAST_DAY, logs.schema)
+    return scan.groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("request_count"), F.lit(refused).alias("refused")
+    )
+
+
+@query
+def skipped_files(spark, folder):
+    """A store with a file that is no Parquet in every tenth day: what a tolerant read leaves out."""
+    logs, root = _logs(spark, folder), scratch_path(spark, "store")
+    write_logs(logs, root)
+    tenth = logs.where(F.dayofmonth("timestamp") % 10 == 0)
+    days = tenth.select(F.date_format("timestamp", "'year='yyyy'/month='M'/day='d").alias("day")).distinct()
+    for row in days.collect():  # at most three days of the month
+        _write_bytes(spark, f"{root}/{row['day']}/bad.parquet", "no parquet")
+    skipped = src.skipped_files(spark, root, logs.schema)
+    return skipped.select(F.regexp_extract("path", r"/day=(\d+)/", 1).cast("int").alias("day"), "bytes")
+
+
+def _write_bytes(spark: SparkSession, path: str, text: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.writeBytes(text)
+    stream.close()
+
+
+def _catalog_table(spark: SparkSession, folder: str) -> str:
+    """The logs as an external catalog table with a partition for each day."""
+    logs = _normalized(spark, folder).select(*LOG_COLUMNS)
+    path = scratch_path(spark, "table")
+    name = "logtide_" + path.rsplit("-", 1)[1]
+    logs.withColumn("dt", F.date_format("timestamp", "yyyy-MM-dd")).write.partitionBy("dt").option("path", path).saveAsTable(name)
+    return name
+
+
 @query
 def table_date_query(spark, folder):
-    logs = _normalized(spark, folder).withColumn("dt", F.date_format("timestamp", "yyyy-MM-dd"))
-    logs.createOrReplaceTempView("logtide_access_logs")
-    return src.query_table_by_date(spark, "logtide_access_logs", FIRST_DAY, LAST_DAY)
+    return src.query_table_by_date(spark, _catalog_table(spark, folder), FIRST_DAY, LAST_DAY)
+
+
+@query
+def table_run_features(spark, folder):
+    """Catalog table, pruned by day, guarded, stored once, normalised again and made features."""
+    table = _catalog_table(spark, folder)
+    scan = src.scan_table(spark, table, FIRST_DAY, LAST_DAY)
+    files = src.table_files(spark, table).where(F.col("dt").between(FIRST_DAY, LAST_DAY))
+    guard_scan(files, 1e6)
+    stored = cached_result(scan, table, files, scratch_path(spark, "results"))
+    return fe.service_features(materialize(no.normalize_logs(stored), "logs"))
 
 
 @query
@@ -394,7 +450,7 @@ def service_anomalies_iforest(spark, folder):
 
 @query
 def customer_anomalies_iforest(spark, folder):
-    return fo.service_anomalies_iforest(customer_features(spark, folder))
+    return fo.service_anomalies_iforest(materialize(customer_features(spark, folder), "customers"))
 
 
 @query
@@ -424,10 +480,7 @@ def cluster_customers(spark, folder):
 def auto_k(spark, folder):
     columns = [c for c in cl.CLUSTER_COLUMNS if not c.startswith("unique")]
     scaled = materialize(standardize(customer_features(spark, folder), columns), "scaled")
-    scores = cl.choose_k(scaled, columns)
-    best = cl.best_k(scores)
-    rows = [(k, score, k == best) for k, score in scores]
-    return spark.createDataFrame(rows, "k int, silhouette double, chosen boolean")
+    return cl.score_ks(scaled, columns)
 
 
 @query

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +28,25 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written within the block go to a folder of their own, which is deleted at its end."""
+    _SCOPES.append(f"scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        path = f"{scratch_root(spark)}/logtide/{'/'.join(_SCOPES)}"
+        _SCOPES.pop()
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call gets."""
-    return f"{scratch_root(spark)}/logtide/{name}-{uuid.uuid4().hex}"
+    return "/".join([scratch_root(spark), "logtide", *_SCOPES, f"{name}-{uuid.uuid4().hex}"])
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

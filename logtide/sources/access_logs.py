@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 
 PARTITIONS = ["year", "month", "day"]
 
-# The columns of the catalog query.
+# The columns of the catalog query, besides the day and the time of a record.
 TABLE_COLUMNS = [
-    "dt",
     "service_name",
     "endpoint",
     "method",
@@ -34,11 +33,12 @@ def read_store(
     root: str,
     schema: T.StructType | None = None,
     columns: list[str] | None = None,
-    tolerant: bool = True,
+    tolerant: bool = False,
 ) -> DataFrame:
     """A ``year=/month=/day=`` Parquet store; partition columns are integers.
 
-    ``tolerant`` skips unreadable files; files with other columns are matched by name.
+    An unreadable file is an error; with ``tolerant`` it is left out, and ``skipped_files`` names it. Files
+    with other columns are matched by name.
     """
     reader = spark.read.option("ignoreCorruptFiles", str(tolerant).lower())
     reader = reader.option("pathGlobFilter", "*.parquet")
@@ -47,6 +47,22 @@ def read_store(
     return table.select(*columns, *PARTITIONS) if columns else table
 
 
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, bytes)`` and partition columns of the store's files, from the listing alone: one row for each file."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    rest = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+    return files.select("path", F.col("length").alias("bytes"), *rest)
+
+
+def skipped_files(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """``(path, bytes)`` of the files that a tolerant read gets no row from: unreadable ones, and empty ones."""
+    plain = lambda c: F.regexp_replace(F.regexp_replace(c, "^[a-z]+:/+", "/"), "%20", " ")
+    # rows without data columns: only the files' footers are read
+    seen = read_store(spark, root, schema, tolerant=True).select(plain(F.col("_metadata.file_path")).alias("seen")).distinct()
+    files = listed_files(spark, root).select("path", "bytes")
+    return files.join(seen, plain(F.col("path")) == F.col("seen"), "left_anti")
+
+
 def _with_partitions(schema: T.StructType) -> T.StructType:
     fields = [f for f in schema.fields if f.name not in PARTITIONS]
     return T.StructType(fields + [T.StructField(p, T.IntegerType()) for p in PARTITIONS])
@@ -59,6 +75,7 @@ def scan_date_range(
     end: str,
     schema: T.StructType | None = None,
     columns: list[str] | None = None,
+    tolerant: bool = False,
 ) -> DataFrame:
     """Rows of the days from ``start`` to ``end``, both included; other partitions are not opened.
 
@@ -66,7 +83,7 @@ def scan_date_range(
     """
     first, last = F.lit(date.fromisoformat(start)), F.lit(date.fromisoformat(end))
     try:
-        store = read_store(spark, root, schema, columns)
+        store = read_store(spark, root, schema, columns, tolerant)
     except AnalysisException:
         if schema is None:
             raise
@@ -75,11 +92,33 @@ def scan_date_range(
     return store.where(_day().between(first, last)).drop(*PARTITIONS)
 
 
-def query_table_by_date(spark: SparkSession, table: str, start: str, end: str) -> DataFrame:
-    """Eight log columns and the date partition ``dt`` of a catalog table, by date."""
-    return (
-        spark.table(table).where(F.col("dt").between(start, end)).select(*TABLE_COLUMNS).orderBy("dt")
-    )
+def scan_table(
+    spark: SparkSession, table: str, start: str, end: str, time: str = "timestamp", day: str = "dt"
+) -> DataFrame:
+    """Log columns of a catalog table by its date partition, with the time of each record.
+
+    A table that has only days is refused: hours, and copies of a record, cannot be told from days.
+    """
+    source = spark.table(table)
+    if time not in source.columns:
+        raise ValueError(f"{table} has no time column {time!r}; a date partition is no time of a record")
+    names = [c for c in TABLE_COLUMNS if c in source.columns]
+    return source.where(F.col(day).between(start, end)).select(day, F.col(time).alias("timestamp"), *names)
+
+
+def query_table_by_date(
+    spark: SparkSession, table: str, start: str, end: str, time: str = "timestamp", day: str = "dt"
+) -> DataFrame:
+    """The scan as a query result, in the order of days."""
+    return scan_table(spark, table, start, end, time, day).orderBy(day)
+
+
+def table_files(spark: SparkSession, table: str) -> DataFrame | None:
+    """Listed files of a catalog table stored in Parquet files, with its partition columns; None for views."""
+    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType in ("TEMPORARY", "VIEW"):
+        return None
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return listed_files(spark, rows[0]["data_type"]) if rows else None
 
 
 def choose_window(

@@ -106,7 +106,7 @@ def test_forest_bounds_and_reuse(spark):
     forest = fo.fit_forest(df, an.SERVICE_SCORED, trees=20)
     assert max(r["count"] for r in forest.groupBy("tree").count().collect()) <= 511
     a = fo.service_anomalies_iforest(df, trees=20)
-    b = fo.service_anomalies_iforest(df, forest=forest, rows_seen=256)
+    b = fo.service_anomalies_iforest(df, forest=forest)
     assert sorted(a.collect()) == sorted(b.collect())
 
 
@@ -118,3 +118,17 @@ def test_identical_rows_get_equal_scores(spark):
 def test_average_path_matches_the_paper():
     assert fo.average_path(1) == 0 and fo.average_path(2) == 1
     assert float(fo.average_path(256)) == pytest.approx(10.2448, abs=1e-3)
+
+
+def test_each_tree_scales_by_its_own_rows(spark):
+    """Two single-split trees, of 4 and 2 rows: the score follows from the paper's formula."""
+    nodes = [(0, 0, 0, 1.0, 1, 2, 0.0, 4), (0, 1, -1, 0.0, -1, -1, 2.0, 4), (0, 2, -1, 0.0, -1, -1, 1.0, 4), (1, 0, -1, 0.0, -1, -1, 1.0, 2)]
+    forest = spark.createDataFrame(nodes, fo.NODE_SCHEMA)
+    got = fo.score_forest(spark.createDataFrame([(0.0,), (5.0,)], "a double"), forest, ["a"]).orderBy("a").collect()
+    c = float(fo.average_path(4))
+    assert [r.raw_score for r in got] == pytest.approx([2 ** -((2 / c + 1) / 2), 2 ** -((1 / c + 1) / 2)])
+
+
+def test_the_least_number_of_rows_is_an_argument(spark):
+    few = services(spark, [[1, 1, 1, 1]] * 4 + [[99, 99, 99, 99]])
+    assert max(r.anomaly_score for r in fo.service_anomalies_iforest(few, min_rows=5).collect()) == 1.0

@@ -141,7 +141,7 @@ def test_auto_k_prefers_the_real_number_of_groups(spark):
 
 
 def brute_silhouette(x, labels):
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
     out = []
     for i, own in enumerate(labels):
         same = labels == own
@@ -164,10 +164,10 @@ def test_silhouette(spark):
     want = brute_silhouette(x, labels)
     assert [r.silhouette for r in got] == pytest.approx(want)
     assert cl.silhouette(df, ["a", "b", "c"]).first()[0] == pytest.approx(np.mean(want))
-    assert cl.silhouette_rows(df, ["a"], sample_size=10).count() == 10
+    with pytest.raises(ValueError):
+        cl.silhouette_rows(df, ["a"], metric="euclidean")
     assert cl.silhouette(df.withColumn("cluster_id", F.lit(1)), ["a"]).first()[0] is None
     assert cl.silhouette(df.withColumn("cluster_id", F.col("cluster_id") - 1), ["a"]).first()[0] is None
-    assert cl.silhouette(df, ["a", "b", "c"], sample_size=None).first()[0] is not None
 
 
 def test_profiles_and_first_names(spark):
@@ -193,3 +193,28 @@ def test_stored_model_scores_like_the_fit(spark, tmp_path):
     again = cl.score_stored(spark, df, path)
     key = ["service_name", "cluster_id", "cluster_label"]
     assert sorted(again.select(*key).collect()) == sorted(fitted.select(*key).collect())
+
+
+def test_a_stored_model_keeps_its_labels_on_other_data(spark, tmp_path):
+    path = str(tmp_path / "model")
+    df = features(spark)
+    fitted = {r.service_name: r.cluster_label for r in cl.cluster_services(df, k=3, restarts=2, save_to=path).collect()}
+    quiet = df.where("requests_per_hour < 100")  # without the busiest group
+    got = {r.service_name: r.cluster_label for r in cl.score_stored(spark, quiet, path).collect()}
+    assert got == {name: fitted[name] for name in got} and len(got) == 40
+
+
+def test_equal_rows_are_one_cluster(spark):
+    same = features(spark).withColumns({c: F.lit(1.0) for c in cl.CLUSTER_COLUMNS})
+    assert {r.cluster_id for r in cl.cluster_services(same, k=4).collect()} == {0}
+
+
+def test_settings_of_a_stored_model_are_checked(spark, tmp_path):
+    path = str(tmp_path / "model")
+    cl.cluster_services(features(spark), k=2, restarts=1, save_to=path)
+    assert cl.is_fresh(spark, path, k=2, auto_k=False, columns=cl.CLUSTER_COLUMNS)
+    assert not cl.is_fresh(spark, path, k=5) and not cl.is_fresh(spark, path, columns=["error_rate"])
+    cl.cluster_services(features(spark), k=5, restarts=1, save_to=path)
+    assert cl.latest_model(spark, path).k == 5 and cl.is_fresh(spark, path, k=5)
+    with pytest.raises(FileNotFoundError):
+        cl.score_stored(spark, features(spark), str(tmp_path / "none"))

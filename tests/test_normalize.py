@@ -43,9 +43,10 @@ def test_names_match_case_and_others_ride_along(spark):
     assert clash.columns == ["timestamp", "Timestamp_source"]
 
 
-def test_date_partition_is_the_last_resort_for_time(spark):
+def test_a_date_partition_is_no_time(spark):
     df = spark.createDataFrame([("2024-02-03", "a", 200)], ["dt", "service_name", "status_code"])
-    assert only(no.normalize_rows(df), "timestamp") == datetime(2024, 2, 3)
+    with pytest.raises(ValueError, match="timestamp"):
+        no.normalize_rows(df)
     both = spark.createDataFrame([("2024-02-03", "2024-02-03 04:00:00")], ["dt", "ts"])
     assert no.map_columns(both).columns == ["timestamp", "dt"]
 

@@ -29,7 +29,6 @@ def test_date_range_is_inclusive_and_pruned(spark, tmp_path):
     assert sorted({r.timestamp.date() for r in got.collect()}) == [date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 2)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull" in plan or "make_date" in plan.split("PartitionFilters:")[1][:200]
-    assert guarded.scan_size(got).first().files == 3
 
 
 def test_zero_padded_folders_are_read(spark, tmp_path):
@@ -51,8 +50,11 @@ def test_bad_files_are_skipped_and_schemas_merged(spark, tmp_path):
     with open(f"{root}/year=2024/month=1/day=30/bad.parquet", "wb") as f:
         f.write(b"no parquet at all")
     schema = daily(spark).schema
-    got = src.read_store(spark, root, schema)
+    got = src.read_store(spark, root, schema, tolerant=True)
     assert got.count() == 48 and got.where("latency_ms is null").count() == 24
+    assert [os.path.basename(r.path) for r in src.skipped_files(spark, root, schema).collect()] == ["bad.parquet"]
+    with pytest.raises(Exception):
+        src.read_store(spark, root, schema).collect()
 
 
 def test_rewriting_a_day_leaves_the_others(spark, tmp_path):
@@ -63,26 +65,62 @@ def test_rewriting_a_day_leaves_the_others(spark, tmp_path):
     assert {r.day: r["count"] for r in got} == {30: 5, 31: 24, 1: 24}
 
 
-def test_table_query(spark):
-    table = daily(spark).select(F.date_format("timestamp", "yyyy-MM-dd").alias("dt"), "*")
-    for c in ("endpoint", "method", "user_id", "instance_id"):
-        table = table.withColumn(c, F.lit("x"))
-    table.withColumn("bytes_response", F.lit(1.0)).createOrReplaceTempView("some_logs")
-    got = src.query_table_by_date(spark, "some_logs", "2024-01-31", "2024-02-01")
-    assert got.columns == src.TABLE_COLUMNS
-    days = [r.dt for r in got.collect()]
-    assert days == sorted(days) and set(days) == {"2024-01-31", "2024-02-01"}
+def as_table(spark, path, logs):
+    """An external table with a partition for each day."""
+    name = "t_" + os.path.basename(path)
+    day = F.date_format("timestamp", "yyyy-MM-dd")
+    logs.withColumn("dt", day).write.partitionBy("dt").option("path", path).mode("overwrite").saveAsTable(name)
+    return name
+
+
+def test_table_scan_keeps_times_and_opens_the_days_only(spark, tmp_path):
+    name = as_table(spark, str(tmp_path / "scan"), daily(spark))
+    got = src.query_table_by_date(spark, name, "2024-01-31", "2024-02-01")
+    assert got.columns == ["dt", "timestamp", "service_name", "status_code", "latency_ms"]
+    days = [str(r.dt) for r in got.collect()]
+    assert days == sorted(days) and len(days) == 48 and got.select("timestamp").distinct().count() == 48
+    plan = src.scan_table(spark, name, "2024-01-31", "2024-02-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "Exchange" not in plan
+    daily(spark).select(F.to_date("timestamp").alias("dt"), "service_name").createOrReplaceTempView("only_days")
+    with pytest.raises(ValueError, match="no time column"):
+        src.scan_table(spark, "only_days", "2024-01-31", "2024-02-01")
 
 
 def test_guard(spark, tmp_path):
     root, logs = str(tmp_path / "store"), daily(spark)
     writers.write_logs(logs, root)
-    scan = src.scan_date_range(spark, root, "2024-01-30", "2024-01-31", logs.schema)
-    mb = guarded.scan_size(scan).first().scan_mb
-    assert 0 < mb < 1 and guarded.guard_scan(scan, mb) is scan
+    days = F.make_date("year", "month", "day").between(F.lit(date(2024, 1, 30)), F.lit(date(2024, 1, 31)))
+    listed = src.listed_files(spark, root)
+    assert listed.count() == 5 and listed.where(days).count() == 2
+    size = guarded.scan_size(listed.where(days)).first()
+    assert 0 < size.scan_mb < 1 and size.files == 2 and size.est_cost_usd == pytest.approx(size.scan_mb / 1024 / 1024 * 5)
+    assert guarded.guard_scan(listed.where(days), size.scan_mb) == size.scan_mb
     with pytest.raises(guarded.ScanLimitExceeded):
-        guarded.guard_scan(scan, mb / 2)
-    assert guarded.scan_size(scan).first().est_cost_usd == pytest.approx(mb / 1024 / 1024 * 5)
+        guarded.guard_scan(listed.where(days), size.scan_mb / 2)
+
+
+def test_results_are_stored_by_the_pruned_files(spark, tmp_path):
+    path, cache = str(tmp_path / "data"), str(tmp_path / "results")
+    name = as_table(spark, path, daily(spark, 3))
+
+    def stored():
+        files = src.table_files(spark, name).where("dt <= '2024-01-31'")
+        return guarded.cached_result(src.scan_table(spark, name, "2024-01-30", "2024-01-31"), "q", files, cache).count()
+
+    assert stored() == stored() == 48 and len(os.listdir(cache)) == 1
+    daily(spark, 1, T0 + timedelta(days=9)).withColumn("dt", F.lit("2024-02-08")).write.partitionBy("dt").mode("append").parquet(path)
+    assert stored() == 48 and len(os.listdir(cache)) == 1  # a new day changes no older range
+    (folder,) = os.listdir(cache)
+    os.remove(f"{cache}/{folder}/_SUCCESS")  # as if the write had died
+    assert stored() == 48 and os.path.exists(f"{cache}/{folder}/_SUCCESS")
+
+
+def test_without_files_nothing_is_stored(spark, tmp_path):
+    cache = str(tmp_path / "results")
+    for value in (1, 100):
+        spark.range(value, value + 1).createOrReplaceTempView("changing")
+        assert guarded.cached_query(spark, "SELECT sum(id) AS s FROM changing", cache).first().s == value
+    assert not os.path.exists(cache)
 
 
 def test_cached_query_sees_new_files(spark, tmp_path):
@@ -159,6 +197,7 @@ def test_a_whole_run(spark, tmp_path):
     assert set(report) == {"metadata", "traffic_summary", "anomaly_alerts", "capacity_plan", "cost_optimization"}
     assert src.last_run_date(spark, state) == "2024-02-02"
     assert spark.read.parquet(f"{settings.save_models_to}/forecasts").count() == 2
+    assert done["rows"] == {"input_rows": 864, "dropped_rows": 0, "duplicate_rows": 0} and -1 <= done["silhouette"] <= 1
     # nothing since the last day of that run: the state stays
     assert run(spark, state, reports, today=date(2024, 2, 3), **args)["status"] == "no_new_data"
     assert src.last_run_date(spark, state) == "2024-02-02"
@@ -167,3 +206,20 @@ def test_a_whole_run(spark, tmp_path):
     writers.write_logs(logs.withColumn("status_code", F.lit(1)), bad)
     out = run(spark, str(tmp_path / "s3"), reports, today=date(2024, 2, 2), **(args | {"store": bad}))
     assert out["status"] == "empty_after_parsing" and src.last_run_date(spark, str(tmp_path / "s3")) is None
+
+
+def test_a_run_over_a_table_keeps_every_request(spark, tmp_path):
+    rows = [(T0 + timedelta(seconds=60 * k), f"s{k % 3 // 2}", 200, 1.0 + k % 7, "/x", "pod") for k in range(2880)]
+    logs = spark.createDataFrame(rows, "timestamp timestamp, service_name string, status_code int, latency_ms double, endpoint string, instance_id string")
+    name = as_table(spark, str(tmp_path / "runs"), logs)
+    reports, state, cache = (str(tmp_path / n) for n in ("reports", "state", "cache"))
+    settings = Settings(n_clusters=2, cache_dir=cache, copy_report_to=str(tmp_path / "copies"), save_models_to=str(tmp_path / "m"))
+    before = set(os.listdir(f"{scratch.scratch_root(spark)}/logtide")) if os.path.exists(f"{scratch.scratch_root(spark)}/logtide") else set()
+    done = run(spark, state, reports, table=name, settings=settings, today=date(2024, 2, 1))
+    assert done["status"] == "done" and done["rows"]["input_rows"] == 2880 and done["rows"]["duplicate_rows"] == 0
+    assert spark.read.json(done["report"]).first().metadata.total_requests == 2880
+    assert os.listdir(tmp_path / "copies") == os.listdir(reports)
+    assert not {f for f in set(os.listdir(f"{scratch.scratch_root(spark)}/logtide")) - before if f.startswith("scope-")}
+    small = Settings(n_clusters=2, max_scan_mb=1e-6)
+    with pytest.raises(guarded.ScanLimitExceeded):
+        run(spark, str(tmp_path / "s2"), reports, table=name, settings=small, today=date(2024, 2, 1))
