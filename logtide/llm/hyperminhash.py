@@ -11,9 +11,9 @@ How groups of any size stay cheap and whole:
 * Texts with equal shingle sets are one class, which its smallest id stands for.
 * Buckets with the same members are one bucket.
 * Every member is first compared with the smallest member of its bucket. Confirmed links make components.
-  Only in buckets of three or more whose members are not yet of one component, the remaining pairs across
-  components are looked at, in blocks, and only those that registers allow leave the task.
-* Candidates pass the collision-corrected Jaccard estimate with six standard errors to spare; what passes is
+  Only members of buckets of three or more that are not yet of one component are compared across
+  components, block by block, and nothing but confirmed links leaves the task.
+* Candidates pass the collision-corrected Jaccard estimate with five standard errors to spare; what passes is
   confirmed on the full shingle sets in whole numbers.
 
 Null and empty texts have no shingles and are linked with nothing; rows that repeat an id and a text
@@ -39,8 +39,9 @@ REGISTER_BITS = 8
 MANTISSA_BITS = 10
 BAND_ROWS = 5
 BANDS = REGISTERS // BAND_ROWS
-BLOCK = 512
-ERRORS_TO_SPARE = 6.0
+BLOCK_ROWS = 2048
+BLOCK_BYTES = 16 << 20
+ERRORS_TO_SPARE = 5.0
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -193,8 +194,20 @@ def _estimate_pairs(threshold: float):
     return run
 
 
-def _across(threshold: float):
-    """Pairs of one block pair of a bucket, of different components, that sizes and registers allow."""
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Entries that two ordered sets share."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int((large[at] == small).sum())
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = _shared(x, y)
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _across(percent: int):
+    """Confirmed links between different components, of two blocks of one group."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, one, other = key
@@ -202,12 +215,14 @@ def _across(threshold: float):
         left, right = rows[rows["block"] == one], rows[rows["block"] == other]
         reg_r, n_r = _matrix(right["registers"]), right["n_shingles"].to_numpy()
         id_r, comp_r = right["_id"].to_numpy(), right["component"].to_numpy()
-        for own, n, name, comp in zip(left["registers"], left["n_shingles"], left["_id"], left["component"]):
+        set_r = [np.frombuffer(x, U) for x in right["shingles"]]
+        for own, n, name, comp, mine in zip(*(left[c] for c in ("registers", "n_shingles", "_id", "component", "shingles"))):
             near = np.flatnonzero((comp_r != comp) & (id_r > name if one == other else id_r != name))
             if len(near):
                 own = np.broadcast_to(np.frombuffer(own, np.int16), (len(near), REGISTERS))
-                near = near[_allowed(own, reg_r[near], np.full(len(near), n), n_r[near], threshold)]
-                found += [(min(name, x), max(name, x)) for x in id_r[near]]
+                near = near[_allowed(own, reg_r[near], np.full(len(near), n), n_r[near], percent / 100)]
+                mine = np.frombuffer(mine, U)
+                found += [(min(name, id_r[k]), max(name, id_r[k])) for k in near if _linked(mine, set_r[k], percent)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
@@ -227,36 +242,44 @@ def _confirm(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                shared = int((large[at] == small).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            mask = pa.array(keep, pa.bool_())
+            sets = ((np.frombuffer(v.as_buffer(), U) for v in batch.column(k)) for k in (2, 3))
+            mask = pa.array([_linked(x, y, percent) for x, y in zip(*sets)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in (0, 1)], ["a", "b"])
 
     return run
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, size: int, percent: int, estimated: bool) -> DataFrame:
-    """Confirmed links among candidate ``pairs(a, b)``, written."""
-    if not estimated:
-        side = lambda k: sketches.select(F.col("_id").alias(k), F.col("registers").alias(f"r{k}"), F.col("n_shingles").alias(f"n{k}"))
-        joined = pairs.join(side("a"), "a").join(side("b"), "b")
-        pairs = joined.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimate_pairs(percent / 100), "a long, b long")
-    pairs = materialize(pairs, "candidates")
-    ends = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
-    sets = texts.join(ends, "_id", "left_semi").select("_id", "_text")
-    sets = materialize(sets.mapInArrow(_sets(size), "_id long, shingles binary"), "sets").dropDuplicates(["_id"])
-    side = lambda k: sets.select(F.col("_id").alias(k), F.col("shingles").alias(f"s{k}"))
-    full = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb")
-    return materialize(full.mapInArrow(_confirm(percent), "a long, b long"), "links")
+def _components(links: DataFrame) -> DataFrame:
+    """``(_id, component)`` of all ends of ``links(a, b)``."""
+    found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return materialize(found.withColumnRenamed("node", "_id"), "groups")
 
 
-def _empty(df: DataFrame) -> bool:
-    return df.isEmpty()
+def _left_over(members: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components in buckets that confirmed stars have not made one component.
+
+    Members of such buckets that hang together make one group. Each pair of a group's blocks is one
+    task's work: registers and sizes rule pairs out, full sets confirm the rest, and only links leave the task.
+    """
+    named = members.where("members > 2").join(groups, "_id", "left")
+    named = materialize(named.withColumn("component", F.coalesce("component", "_id")), "named")
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    left = materialize(named.join(mixed.select("key"), "key", "left_semi"), "mixed")
+    if left.isEmpty():
+        return left.selectExpr("_id AS a", "_id AS b")
+    together = _components(left.select(F.col("center").alias("a"), F.col("_id").alias("b")))
+    rows = left.select("_id", "component").distinct().join(together.withColumnRenamed("component", "group"), "_id")
+    sizes = reps.select("_id", "n_shingles")
+    stats = rows.join(sizes, "_id").groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("s") * 8 / BLOCK_BYTES)).cast("int")
+    dealt = rows.join(stats.select("group", blocks.alias("blocks")), "group")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("_id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "_id", "group", "component", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other")
+    )
+    full = dealt.join(reps.select("_id", "registers", "n_shingles"), "_id").join(sets, "_id")
+    return full.groupBy("group", "one", "other").applyInPandas(_across(percent), "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -282,32 +305,23 @@ def near_duplicates(
     members = materialize(rows.join(live, "key"), "buckets")
 
     stars = members.where("_id != center").select(F.col("center").alias("a"), F.col("_id").alias("b")).distinct()
-    stars = materialize(stars, "stars")
-    links = _links(stars, reps, texts, shingle, percent, estimated=False)
-    groups = materialize(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
-
-    named = members.where("members > 2").join(groups.withColumnRenamed("node", "_id"), "_id", "left").withColumn(
-        "component", F.coalesce("component", "_id")
-    )
-    named = materialize(named, "named")
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_rows = named.join(mixed.select("key"), "key", "left_semi")
-    if not _empty(open_rows):
-        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-        dealt = open_rows.withColumn("block", F.pmod(F.xxhash64("_id"), blocks).cast("int")).withColumn(
-            "with", F.explode(F.sequence(F.lit(0), blocks - 1))
-        )
-        dealt = dealt.select(
-            "_id", "key", "component", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other")
-        ).join(reps.select("_id", "registers", "n_shingles"), "_id")
-        pairs = dealt.groupBy("key", "one", "other").applyInPandas(_across(percent / 100), "a long, b long").distinct()
-        pairs = pairs.join(stars, ["a", "b"], "left_anti")
-        more = _links(pairs, reps, texts, shingle, percent, estimated=True)
-        if not _empty(more):
-            both = links.unionByName(more)
-            groups = materialize(connected_components(both.select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
-
-    classes = firsts.join(groups.withColumnRenamed("node", "first"), "first", "left").select(
+    side = lambda k: reps.select(F.col("_id").alias(k), F.col("registers").alias(f"r{k}"), F.col("n_shingles").alias(f"n{k}"))
+    sketched = stars.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ra", "rb", "na", "nb")
+    pairs = materialize(sketched.mapInArrow(_estimate_pairs(percent / 100), "a long, b long"), "candidates")
+
+    ends = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id")))
+    wanted = ends.union(members.where("members > 2").select("_id")).distinct()
+    sets = texts.join(wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(_sets(shingle), "_id long, shingles binary")
+    sets = materialize(sets, "sets")
+    full = lambda k: sets.select(F.col("_id").alias(k), F.col("shingles").alias(f"s{k}"))
+    joined = pairs.join(full("b"), "b").join(full("a"), "a").select("a", "b", "sa", "sb")
+    links = materialize(joined.mapInArrow(_confirm(percent), "a long, b long"), "links")
+    groups = _components(links)
+    more = materialize(_left_over(members, groups, reps, sets, percent), "links")
+    if not more.isEmpty():
+        groups = _components(links.unionByName(more))
+
+    classes = firsts.join(groups.withColumnRenamed("_id", "first"), "first", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "first").alias("component_id")
     )
     own = sketches.select("_id", "n_shingles", "set_a", "set_b").where("n_shingles > 0 AND _id IS NOT NULL")
