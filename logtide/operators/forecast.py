@@ -23,8 +23,9 @@ MIN_HOURS = 48
 MAX_FIT_TASKS = 2000
 STATES = (
     "alpha double, beta double, gamma double, phi double, level double, trend double, "
-    "season array<double>, last_second long, resid_std double, sse double, hours int"
+    "season array<double>, last_second long, resid_std double, sse double, hours int, status string"
 )
+FITTED, TOO_SHORT, FAILED = "fitted", "too_short", "failed"
 
 
 # ---------------------------------------------------------------- fitting one series
@@ -36,11 +37,11 @@ def _to_parameters(u: np.ndarray) -> tuple[np.ndarray, ...]:
     return alpha, u[:, 1] * alpha, u[:, 2] * (1 - alpha), 0.8 + u[:, 3] * 0.195
 
 
-def _run(y: np.ndarray, parameters: tuple[np.ndarray, ...]):
+def _predictions(y: np.ndarray, parameters: tuple[np.ndarray, ...]):
     """Run the recursion for many parameter sets at once, as a linear map of the start state.
 
-    Columns 0..25 follow a unit start level, trend or season; the last one follows the data. Returns
-    the one-step predictions (time, set, column) and the end states.
+    Columns 0..25 follow a unit start level, trend or season; the last one follows the data. Yields the
+    one-step predictions (set, column) of each hour, and the end states at last.
     """
     alpha, beta, gamma, phi = (p[:, None] for p in parameters)
     size = SEASON + 3
@@ -49,12 +50,11 @@ def _run(y: np.ndarray, parameters: tuple[np.ndarray, ...]):
     level[:, 0], trend[:, 1] = 1.0, 1.0
     for i in range(SEASON):
         season[i, :, 2 + i] = 1.0
-    predicted = np.empty((len(y), len(alpha), size))
     for t, value in enumerate(y):
         s = season[t % SEASON]
         damped = phi * trend
         base = level + damped
-        predicted[t] = base + s
+        yield base + s
         fresh = (1 - alpha) * base - alpha * s
         fresh[:, -1] += (alpha * value)[:, 0]
         trend = beta * (fresh - level) + (1 - beta) * damped
@@ -62,21 +62,26 @@ def _run(y: np.ndarray, parameters: tuple[np.ndarray, ...]):
         s[:, -1] += (gamma * value)[:, 0]
         season[t % SEASON] = s
         level = fresh
-    return predicted, level, trend, season
-
-
-def _best_starts(y: np.ndarray, predicted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least-squares start state of each parameter set and the squared error it leaves."""
-    maps = np.moveaxis(predicted[:, :, :-1], 1, 0)
-    target = (y[:, None] - predicted[:, :, -1]).T
-    across = np.swapaxes(maps, 1, 2)
-    starts = np.einsum(
-        "cij,cj->ci",
-        np.linalg.pinv(across @ maps, rcond=1e-10, hermitian=True),
-        np.einsum("cit,ct->ci", across, target),
-    )
-    left = target - np.einsum("cti,ci->ct", maps, starts)
-    return starts, (left**2).sum(axis=1)
+    yield level, trend, season
+
+
+def _best_starts(y: np.ndarray, parameters: tuple[np.ndarray, ...]):
+    """Least-squares start state of each parameter set, the squared error it leaves, and the end states.
+
+    Only the products of the columns are summed up while time goes by, so memory does not grow with the
+    length of the series.
+    """
+    size = SEASON + 3
+    products = np.zeros((len(parameters[0]), size, size))
+    steps = _predictions(y, parameters)
+    for value in y:
+        row = next(steps)
+        row[:, -1] = value - row[:, -1]  # what the start state has to explain
+        products += row[:, :, None] * row[:, None, :]
+    across, along, rest = products[:, :-1, :-1], products[:, :-1, -1], products[:, -1, -1]
+    starts = np.einsum("cij,cj->ci", np.linalg.pinv(across, rcond=1e-10, hermitian=True), along)
+    errors = rest - 2 * (along * starts).sum(axis=1) + np.einsum("ci,cij,cj->c", starts, across, starts)
+    return starts, np.maximum(errors, 0.0), next(steps)
 
 
 def fit_series(y: np.ndarray, rounds: int = 7) -> dict:
@@ -92,17 +97,16 @@ def fit_series(y: np.ndarray, rounds: int = 7) -> dict:
         raise ValueError("the series holds values that are not finite")
     best, best_error, width = tried[0], np.inf, np.array([0.2, 0.25, 0.25, 0.25])
     for _ in range(rounds):
-        predicted, *_ = _run(y, _to_parameters(tried))
-        _, errors = _best_starts(y, predicted)
+        _, errors, _ = _best_starts(y, _to_parameters(tried))
         i = int(np.argmin(errors))
         if errors[i] < best_error:
             best, best_error = tried[i], errors[i]
         tried = np.clip(best + steps * width, 0.0, 1.0)
         width = width * 0.5
     parameters = _to_parameters(best[None, :])
-    predicted, level, trend, season = _run(y, parameters)
-    starts, errors = _best_starts(y, predicted)
+    starts, _, (level, trend, season) = _best_starts(y, parameters)
     state = np.append(starts[0], 1.0)
+    left = y - np.array([row[0] @ state for row, _ in zip(_predictions(y, parameters), y)])
     ahead = len(y) + np.arange(SEASON)
     alpha, beta, gamma, phi = (float(p[0]) for p in parameters)
     return {
@@ -113,26 +117,27 @@ def fit_series(y: np.ndarray, rounds: int = 7) -> dict:
         "level": float(level[0] @ state),
         "trend": float(trend[0] @ state),
         "season": [float(season[t % SEASON, 0] @ state) for t in ahead],
-        "resid_std": float(np.std(y - predicted[:, 0] @ state)),
-        "sse": float(errors[0]),
+        "resid_std": float(np.std(left)),
+        "sse": float(left @ left),
         "hours": len(y),
     }
 
 
-def _fit_group(rows: pd.DataFrame, key: str) -> pd.DataFrame:
-    """States of one service, or no row if its series is too short or cannot be fitted."""
+def _fit_group(rows: pd.DataFrame, key: str, min_hours: int) -> pd.DataFrame:
+    """States of one service; a series that is too short or cannot be fitted gives its status only."""
     columns = [key, *[c.split()[0] for c in STATES.split(", ")]]
-    name = rows[key].iloc[0]
+    states = dict.fromkeys(columns) | {key: rows[key].iloc[0], "status": FAILED}
     try:
         hours = rows["hour"].to_numpy()
         y = np.zeros(int(hours.max() - hours.min()) + 1)
+        states["hours"] = len(y)
         y[hours - hours.min()] = rows["value"].to_numpy(dtype=float)
-        if len(y) < MIN_HOURS:
-            return pd.DataFrame(columns=columns)
-        states = {key: name, "last_second": int(hours.max()) * 3600, **fit_series(y)}
+        if len(y) < min_hours:
+            states["status"] = TOO_SHORT
+        else:
+            states |= {"last_second": int(hours.max()) * 3600, **fit_series(y), "status": FITTED}
     except (ValueError, ArithmeticError, np.linalg.LinAlgError) as problem:
-        log.warning("no forecast for %s: %s", name, problem)
-        return pd.DataFrame(columns=columns)
+        log.warning("no forecast for %s: %s", states[key], problem)
     return pd.DataFrame([[states[c] for c in columns]], columns=columns)
 
 
@@ -153,10 +158,11 @@ def fit_forecasts(
     key: str = "service_name",
     bucket: str = "time_bucket",
     measure: str = "request_count",
+    min_hours: int = MIN_HOURS,
 ) -> DataFrame:
-    """One row of model states per service among the ``top_n`` busiest with at least 48 hours.
+    """One row of model states per service among the ``top_n`` busiest.
 
-    A group handed to Python is one service's hourly series, whose size is the time span.
+    ``status`` says whether the service was fitted, has fewer than ``min_hours`` hours, or failed. A group handed to Python is one service's hourly series, whose size is the time span.
     """
     chosen = series.join(busiest(series, top_n, key, measure).select(key), key, "left_semi")
     hour = F.call_function("div", F.unix_seconds(F.col(bucket)), F.lit(3600).cast("bigint"))
@@ -164,7 +170,7 @@ def fit_forecasts(
     key_type = chosen.schema[key].dataType.simpleString()
     # few rows but much work each: as many tasks as series, which size-based coalescing would undo
     return series.repartition(min(top_n, MAX_FIT_TASKS), key).groupBy(key).applyInPandas(
-        lambda rows: _fit_group(rows, key), f"{key} {key_type}, {STATES}"
+        lambda rows: _fit_group(rows, key, min_hours), f"{key} {key_type}, {STATES}"
     )
 
 
@@ -186,7 +192,8 @@ def forecast(
         F.lit(0.0),
     )
     return (
-        states.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon_hours))))
+        states.where(F.col("status") == FITTED)
+        .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon_hours))))
         .withColumns({"_mean": mean, "_half": F.col("resid_std") * z})
         .select(
             key,

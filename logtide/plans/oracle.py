@@ -499,10 +499,10 @@ WHERE requests_per_hour > 0 AND peak_upper > requests_per_hour * 2.5""",
 h AS (SELECT service_name, date_trunc('hour', "timestamp") AS time_bucket, count(*) AS request_count,
   avg(CASE WHEN status_code >= 400 THEN 1e0 ELSE 0e0 END) AS error_rate,
   coalesce(sum(bytes_response), 0) AS bytes_total
-  FROM valid GROUP BY ALL)
+  FROM logs GROUP BY ALL)
 SELECT service_name, time_bucket, request_count, round(error_rate, 6) AS error_rate,
   round(bytes_total, 6) AS bytes_total
-FROM h WHERE time_bucket + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM valid) - INTERVAL 2 HOUR""",
+FROM h WHERE time_bucket + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM valid) - INTERVAL 1 DAY""",
     "streaming_dedupe": f"""WITH {RAW}
 SELECT "timestamp", service_name, endpoint, instance_id FROM logs""",
 }

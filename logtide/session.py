@@ -11,6 +11,9 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Bucket, parse and print every instant in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -28,6 +31,8 @@ def build_session(app: str = "logtide", master: str | None = None, **conf: str)
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # exact sketches and percentiles keep one buffer per group; many services is normal
         .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
+        # keys of a day of streaming de-duplication do not fit on the heap
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)

@@ -1,4 +1,4 @@
-"""Exact hourly roll-up kept up to date by recomputing the days that new rows touch.
+"""Exact hourly roll-up kept up to date by recomputing the days that new rows touch, once in each run.
 
 Distinct users and percentiles cannot be merged from partial results, and duplicates share a timestamp,
 so a day is the unit: its rows are read from the store, de-duplicated, aggregated and replaced.
@@ -6,6 +6,7 @@ so a day is the unit: its rows are read from the store, de-duplicated, aggregate
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,7 @@ from logtide.operators.features import hourly_traffic
 from logtide.operators.normalize import dedupe, normalize_rows
 from logtide.scratch import materialize
 from logtide.sinks.writers import with_day_partitions
-from logtide.sources.access_logs import PARTITIONS
+from logtide.sources.access_logs import PARTITIONS, listed_files
 from logtide.streaming.ingest import STORE_LAYOUT, run_available, store_schema, write_batch
 
 
@@ -44,6 +45,25 @@ def refresh_days(
     )
 
 
+MARKS = "day date, mark long, marked_at timestamp"
+
+
+def changed_days(spark: SparkSession, store: str, marks: str) -> DataFrame:
+    """``(day, mark)`` of the days whose files in the store are others than when the day was last refreshed.
+
+    Only the listing is read. A file that was written again has a new name, so replays and lost
+    checkpoints show as well.
+    """
+    day = F.make_date("year", "month", "day").alias("day")
+    now = listed_files(spark, store).groupBy(day).agg(F.bit_xor(F.xxhash64("path", "bytes")).alias("mark"))
+    try:
+        done = spark.read.schema(MARKS).parquet(marks)
+    except AnalysisException:
+        return now
+    last = done.groupBy("day").agg(F.max_by("mark", "marked_at").alias("last"))
+    return now.join(last, "day", "left").where(~F.col("mark").eqNullSafe(F.col("last"))).drop("last")
+
+
 def update_rollup(
     raw_stream: DataFrame,
     store: str,
@@ -51,25 +71,21 @@ def update_rollup(
     checkpoint: str,
     order: list[str] | None = None,
     time_unit: str = "ns",
-) -> None:
-    """Ingest new raw rows and refresh the days they fall on; safe under replay and late files."""
-    rows = normalize_rows(raw_stream, time_unit)
+) -> list:
+    """Ingest all new raw rows, then refresh each day they touch once; returns these days.
 
-    def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        write_batch(batch, number, store)
-        written = spark.read.schema(store_schema(rows.schema)).parquet(store)
-        touched = (
-            written.where(F.col("batch_id") == number)
-            .select(F.make_date("year", "month", "day").alias("d"))
-            .distinct()
-            .collect()
-        )  # one row per calendar day of the batch
-        days = [row["d"] for row in touched]
-        if days:
-            refresh_days(spark, store, rows.schema, days, rollup, order)
-
-    run_available(rows, handle, checkpoint, "rollup")
+    Safe under replay and late files: a day is marked as done only after its roll-up is written, and a run
+    that died in between leaves it to the next one.
+    """
+    spark, marks = raw_stream.sparkSession, f"{rollup.rstrip('/')}-marks"
+    rows = normalize_rows(raw_stream, time_unit)
+    run_available(rows, lambda batch, number: write_batch(batch, number, store), checkpoint, "rollup")
+    touched = materialize(changed_days(spark, store, marks), "touched")
+    days = sorted(row["day"] for row in touched.select("day").collect())  # calendar days
+    if days:
+        refresh_days(spark, store, rows.schema, days, rollup, order)
+        touched.withColumn("marked_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(marks)
+    return days
 
 
 def read_rollup(spark: SparkSession, rollup: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import tracemalloc
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -34,8 +35,7 @@ def test_fit_beats_true_parameters_and_repeating_the_last_day():
         y = generated(504 + 24, seed)
         fit = fc.fit_series(y[:504])
         true = tuple(np.array([p]) for p in (0.3, 0.05, 0.1, 0.95))
-        predicted, *_ = fc._run(y[:504], true)
-        assert fit["sse"] <= fc._best_starts(y[:504], predicted)[1][0] * 1.001
+        assert fit["sse"] <= fc._best_starts(y[:504], true)[1][0] * 1.001
         h = np.arange(1, 25)
         damping = fit["phi"] * (1 - fit["phi"] ** h) / (1 - fit["phi"])
         ahead = fit["level"] + damping * fit["trend"] + np.array(fit["season"])
@@ -47,13 +47,13 @@ def test_fit_beats_true_parameters_and_repeating_the_last_day():
 def test_recursion_matches_the_plain_form():
     y = generated(72, 1)
     alpha, beta, gamma, phi = 0.4, 0.1, 0.2, 0.9
-    predicted, *_ = fc._run(y, tuple(np.array([p]) for p in (alpha, beta, gamma, phi)))
+    steps = fc._predictions(y, tuple(np.array([p]) for p in (alpha, beta, gamma, phi)))
     rng = np.random.default_rng(0)
     start = rng.normal(0, 1, 26)
     level, trend, season = start[0], start[1], list(start[2:])
     for t, value in enumerate(y):
         base, s = level + phi * trend, season[t % 24]
-        assert predicted[t, 0] @ np.append(start, 1.0) == pytest.approx(base + s)
+        assert next(steps)[0] @ np.append(start, 1.0) == pytest.approx(base + s)
         fresh = alpha * (value - s) + (1 - alpha) * base
         trend = beta * (fresh - level) + (1 - beta) * phi * trend
         season[t % 24] = gamma * (value - base) + (1 - gamma) * s
@@ -91,8 +91,21 @@ def test_holes_in_a_series_count_as_zero(spark):
 
 def test_one_bad_series_does_not_stop_the_others(spark):
     data = {"bad": [float("inf")] * 60, "good": generated(60, 3)}
-    states = fc.fit_forecasts(series(spark, data)).collect()
-    assert "good" in {r.service_name for r in states}
+    data["short"] = [1.0] * 20
+    states = fc.fit_forecasts(series(spark, data))
+    assert {r.service_name: r.status for r in states.collect()} == {"bad": "failed", "good": "fitted", "short": "too_short"}
+    assert {r.service_name for r in fc.forecast(states).collect()} == {"good"}
+    longer = fc.fit_forecasts(series(spark, data), min_hours=61).collect()
+    assert {r.status for r in longer} == {"too_short", "failed"} - ({"failed"} if len(data["bad"]) < 61 else set())
+
+
+def test_memory_of_a_fit_does_not_grow_with_the_series():
+    y = generated(24 * 365, 5)
+    tracemalloc.start()
+    fc._best_starts(y, fc._to_parameters(np.full((108, 4), 0.3)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
 
 
 FORECAST = "service_name string, time_bucket timestamp, forecast double, lower_bound double, upper_bound double"

@@ -48,6 +48,27 @@ def test_batches_late_file_and_replay_equal_the_batch_result(spark, tmp_path):
     assert spark.read.parquet(store).count() >= before
 
 
+def test_each_touched_day_is_refreshed_once_a_run(spark, tmp_path, monkeypatch):
+    raw, store, rollup, progress = (str(tmp_path / n) for n in ("raw", "store", "rollup", "progress"))
+    refreshed = []
+    plain = ro.refresh_days
+    monkeypatch.setattr(ro, "refresh_days", lambda s, st, r, days, *rest: (refreshed.append(len(days)), plain(s, st, r, days, *rest)))
+    three_days = rows(spark, T0, 600)
+    for k in range(5):
+        add_file(three_days.where(F.col("n") % 5 == k), raw)
+
+    def update():
+        stream = si.read_new_files(spark, raw, three_days.schema, max_files_per_batch=1)
+        return len(ro.update_rollup(stream, store, rollup, progress, ["n"]))
+
+    assert (update(), refreshed) == (3, [3])  # five batches touch each day
+    assert (update(), refreshed) == (0, [3])
+    add_file(rows(spark, T0 + timedelta(days=1), 5, 9000), raw)
+    assert (update(), refreshed) == (1, [3, 1])
+    expected = hourly_traffic(normalize_logs(spark.read.parquet(raw), order=["n"]))
+    assert sorted(ro.read_rollup(spark, rollup).select(*expected.columns).collect()) == sorted(expected.collect())
+
+
 def test_only_new_files_are_read(spark, tmp_path):
     raw, store, progress = (str(tmp_path / n) for n in ("raw", "store", "progress"))
     seen = []
