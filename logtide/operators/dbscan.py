@@ -61,7 +61,12 @@ def _merge_points(points: DataFrame, key: str, columns: list[str], eps: float) -
         .agg(F.count(F.lit(1)).alias("w"), F.min("_key").alias("least_key"))
     )
     cell = F.concat_ws(",", *[F.floor(F.col(f"x{i}") / side).cast("string") for i in dims])
-    return merged.withColumn("cell", cell).withColumn("pid", F.xxhash64(*[f"x{i}" for i in dims]))
+    return merged.withColumn("cell", cell).withColumn("pid", _position([F.col(f"x{i}") for i in dims]))
+
+
+def _position(values: list[Column]) -> Column:
+    """A position's name: its numbers as text, which is exact, so different positions never share one."""
+    return F.concat_ws(",", *[F.coalesce((v + F.lit(0.0)).cast("string"), F.lit("")) for v in values])
 
 
 def _cells(points: DataFrame, dims: range, eps: float) -> DataFrame:
@@ -94,10 +99,9 @@ def _near_cells(cells: DataFrame, dims: range, eps: float) -> DataFrame:
         look = look.withColumn(f"k{i}", F.explode(F.sequence(first, last)))
     least, most = _box_gaps(dims)
     blocks = [F.col(f"a.k{i}") == F.col(f"b.k{i}") for i in dims]
-    # the optimizer does not see how much longer the exploded side is: no broadcast of either
     return (
         look.alias("a")
-        .join(cells.alias("b").hint("shuffle_hash"), blocks)
+        .join(cells.alias("b"), blocks)
         .where((F.col("a.cell") != F.col("b.cell")) & (least <= eps * eps))
         .select(
             F.col("a.cell").alias("cell"),
@@ -112,7 +116,7 @@ def _near_cells(cells: DataFrame, dims: range, eps: float) -> DataFrame:
 def _sliced(points: DataFrame, cells: DataFrame) -> DataFrame:
     """Points with the slice of their cell they belong to."""
     return points.join(cells.select("cell", "slices"), "cell").withColumn(
-        "slice", F.pmod(F.col("pid"), F.col("slices")).cast("int")
+        "slice", F.pmod(F.xxhash64("pid"), F.col("slices")).cast("int")
     )
 
 
@@ -233,7 +237,7 @@ def _touching(core, boxes, apart, dims, eps) -> DataFrame:
         .where(to_box <= eps * eps)
     )
     slices = core.join(box.select(F.col("other").alias("cell"), "other_slices"), "cell").withColumn(
-        "slice", F.pmod(F.col("pid"), F.col("other_slices")).cast("int")
+        "slice", F.pmod(F.xxhash64("pid"), F.col("other_slices")).cast("int")
     )
     return (
         _meet(asking, slices, dims, eps)
@@ -284,9 +288,8 @@ def dbscan(
     found = core.select("pid", "cell").join(labels, "cell").select("pid", "cluster_id").unionByName(
         _border_points(sliced, core, labels, near, dims, eps)
     )
-    position = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]
     return (
-        points.withColumn("pid", F.xxhash64(*[p for p in position]))
+        points.withColumn("pid", _position([F.col(c).cast("double") for c in columns]))
         .join(found, "pid", "left")
         .withColumn("cluster_id", F.coalesce("cluster_id", F.lit(NOISE)))
         .drop("pid")

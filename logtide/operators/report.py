@@ -2,32 +2,25 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from logtide.functions.scores import first_match, share
 from logtide.operators.anomalies import top_anomalies
-from logtide.operators.clusters import first_names
 from logtide.operators.features import weekend_share
 from logtide.operators.forecast import upper_peaks
 
 KEY = "service_name"
 
-# The recommendation texts of service alerts and the cuts that choose them.
-ERROR_RATE_CUT, ERROR_RATE_TEXT = (
-    0.15,
-    "High error rate — investigate health, dependencies, and recent deployments",
-)
-LATENCY_CUT, LATENCY_TEXT = (
-    2000,
-    "High P95 latency — check DB bottlenecks, connection pools, or downstream timeouts",
-)
-TRAFFIC_CUT, TRAFFIC_TEXT = (
-    10000,
-    "Unexpected traffic volume — verify for DDoS, runaway client, or missing rate limit",
-)
+# The recommendation texts of service alerts, each with the column and the cut that choose it.
+ADVICE = [
+    ("error_rate", 0.15, "High error rate — investigate health, dependencies, and recent deployments"),
+    ("latency_p95", 2000, "High P95 latency — check DB bottlenecks, connection pools, or downstream timeouts"),
+    ("requests_per_hour", 10000, "Unexpected traffic volume — verify for DDoS, runaway client, or missing rate limit"),
+]
 DEFAULT_TEXT = "Anomalous profile — review recent config changes and compare with baseline"
 
 # Section and category of each cost insight, and how many services it names.
@@ -89,14 +82,7 @@ def declining(
 
 def recommendation() -> Column:
     """Advice for an unusual service; the first rule that holds decides."""
-    return first_match(
-        [
-            (F.col("error_rate") > ERROR_RATE_CUT, ERROR_RATE_TEXT),
-            (F.col("latency_p95") > LATENCY_CUT, LATENCY_TEXT),
-            (F.col("requests_per_hour") > TRAFFIC_CUT, TRAFFIC_TEXT),
-        ],
-        DEFAULT_TEXT,
-    )
+    return first_match([(F.col(column) > cut, text) for column, cut, text in ADVICE], DEFAULT_TEXT)
 
 
 def service_alerts(anomalies: DataFrame, threshold: float = 0.75, n: int = 10) -> DataFrame:
@@ -223,34 +209,64 @@ def cacheable_endpoints(
     )
 
 
-def _insight(found: DataFrame, kind: tuple[str, str, int], order: list[Column] | None = None) -> DataFrame:
-    """One row ``(section, category, service_count, sample_services)``, none if nothing was found."""
-    section, category, examples = kind
-    tagged = found.withColumn("section", F.lit(section)).withColumn("category", F.lit(category))
-    by = ["section", "category"]
-    counted = tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("service_count"))
-    if not examples:
-        nothing = F.array().cast("array<string>")
-        return counted.withColumn("sample_services", nothing)
-    named = first_names(tagged, by, KEY, examples, order)
-    return counted.join(named.withColumnRenamed("names", "sample_services"), by)
+@dataclass
+class CostRules:
+    """Cuts of the six cost findings."""
+
+    idle_rph: float = 1.0
+    flat_ratio: float = 1.5
+    flat_rph: float = 100
+    spot_share: float = 0.1
+    peak_factor: float = 2.5
+    reuse_rph: float = 100
+    retire_requests: int = 100
+    retire_errors: float = 0.2
 
 
 def cost_insights(
-    features: DataFrame, series: DataFrame, forecasts: DataFrame | None = None
+    features: DataFrame, series: DataFrame, forecasts: DataFrame | None = None, rules: CostRules | None = None
 ) -> DataFrame:
-    """All findings that name services, as long rows."""
-    by_rate = [F.desc("requests_per_hour"), F.col(KEY)]
+    """All findings that name services, as long rows ``(section, category, service_count, sample_services)``.
+
+    Every service is looked at once and carries its categories; a category without services has no row.
+    """
+    r = rules or CostRules()
+    rate = F.col("requests_per_hour")
+    any_weekend = series.agg(F.max("is_weekend") == 1).scalar()
+    table = features.join(weekend_share(series).select(KEY, "weekend_share"), KEY, "full")
+    peak = F.lit(None).cast("double")
+    if forecasts is not None:
+        table = table.join(upper_peaks(forecasts).select(KEY, "peak_upper"), KEY, "left")
+        peak = F.col("peak_upper")
     found = [
-        _insight(idle_services(features), IDLE),
-        _insight(overprovisioned(features), FLAT),
-        _insight(spot_candidates(series), SPOT),
-        _insight(reusability_candidates(features), REUSE, by_rate),
-        _insight(deprecation_candidates(features), DEPRECATE),
+        (IDLE, rate < r.idle_rph),
+        (FLAT, (F.col("peak_to_avg_ratio") < r.flat_ratio) & (rate < r.flat_rph)),
+        (SPOT, (F.col("weekend_share") < r.spot_share) & any_weekend),
+        (PREEMPT, (rate > 0) & (peak > rate * r.peak_factor)),
+        (REUSE, rate > r.reuse_rph),
+        (DEPRECATE, (F.col("total_requests") < r.retire_requests) & (F.col("error_rate") > r.retire_errors)),
     ]
-    if forecasts is not None:
-        found.append(_insight(preemptive_scaling(forecasts, features), PREEMPT))
-    return reduce(DataFrame.unionByName, found)
+    kinds = [
+        F.when(
+            rule,
+            F.struct(
+                F.lit(section).alias("section"),
+                F.lit(category).alias("category"),
+                F.lit(examples).alias("examples"),
+                (-rate if (section, category, examples) == REUSE else F.lit(0.0)).alias("by"),
+            ),
+        )
+        for (section, category, examples), rule in found
+    ]
+    tagged = table.select(KEY, F.explode(F.array_compact(F.array(*kinds))).alias("k")).select(KEY, "k.*")
+    by = ["section", "category"]
+    most = max(examples for _, _, examples in (IDLE, FLAT, SPOT, PREEMPT, REUSE, DEPRECATE))
+    # the rank filter also runs before the shuffle: few rows of each category move
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy("by", KEY))
+    top = tagged.withColumn("_r", rank).where(F.col("_r") <= most)
+    pairs = F.array_sort(F.collect_list(F.when(F.col("_r") <= F.col("examples"), F.struct("_r", KEY))))
+    names = top.groupBy(*by).agg(F.transform(pairs, lambda p: p[KEY]).alias("sample_services"))
+    return tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("service_count")).join(names, by)
 
 
 # ---------------------------------------------------------------- assembly

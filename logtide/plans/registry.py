@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from logtide.functions.text import normalize_endpoint
 from logtide.operators import anomalies as an
@@ -563,7 +565,8 @@ def cacheable_endpoints(spark, folder):
 @query
 def cost_insights(spark, folder):
     features, counts = _features_and_counts(spark, folder)
-    return rp.cost_insights(features, fe.calendar_features(counts), _repeat_last_day(counts))
+    rules = rp.CostRules(flat_ratio=3.5, spot_share=0.27, reuse_rph=0.05, retire_requests=100_000)
+    return rp.cost_insights(features, fe.calendar_features(counts), _repeat_last_day(counts), rules)
 
 
 # ---------------------------------------------------------------- forecasts and capacity
@@ -580,6 +583,142 @@ def traffic_forecast(spark, folder):
     return fc.forecast(materialize(fc.fit_forecasts(materialize(grid, "grid")), "states"))
 
 
+@query
+def traffic_forecast_busiest(spark, folder):
+    """Five of twenty services fitted: 24 rows each, and bands around the mean."""
+    grid = fe.dense_grid(_counts(spark, folder))
+    states = materialize(fc.fit_forecasts(materialize(grid, "grid"), top_n=5), "states")
+    inside = (F.col("lower_bound") <= F.col("forecast")) & (F.col("forecast") <= F.col("upper_bound"))
+    hours = fc.forecast(states).groupBy("service_name").agg(
+        F.count(F.lit(1)).alias("hours"), F.count_distinct("time_bucket").alias("different_hours"), F.count_if(inside).alias("inside")
+    )
+    return hours.join(states.select("service_name", "status"), "service_name")
+
+
+@query
+def forecast_from_states(spark, folder):
+    """States given by rule, one for each service: forecasts in closed form."""
+    rate = F.col("total_requests").cast("double")
+    states = _features_once(spark, folder).select(
+        "service_name",
+        (rate / 7).alias("level"),
+        (rate / 1130).alias("trend"),
+        F.lit(0.5).alias("phi"),
+        F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: h.cast("double")).alias("season"),
+        F.lit(0).cast("long").alias("last_second"),
+        F.lit(2.0).alias("resid_std"),
+        F.lit(fc.FITTED).alias("status"),
+    )
+    return fc.forecast(states, horizon_hours=6)
+
+
+@query
+def score_stored_kmeans(spark, folder):
+    """Clusters of the fit and of its stored model agree, also on the busier half alone; ids follow mean traffic."""
+    path, features = scratch_path(spark, "model"), _features(spark, folder)
+    fitted = materialize(cl.cluster_services(features, k=4, restarts=2, save_to=path), "fitted")
+    half = features.where(F.col("total_requests") > features.agg(F.avg("total_requests")).scalar())
+    again = cl.score_stored(spark, features, path).select("service_name", F.col("cluster_id").alias("again"))
+    part = cl.score_stored(spark, half, path).select("service_name", F.col("cluster_id").alias("part"))
+    means = fitted.groupBy("cluster_id").agg(F.avg("requests_per_hour").alias("m"))
+    busier = F.max("m").over(Window.orderBy(F.desc("cluster_id")).rowsBetween(Window.unboundedPreceding, -1))
+    ordered = means.withColumn("after", busier).agg(F.min(F.coalesce(F.col("m") >= F.col("after"), F.lit(True)))).scalar()
+    both = fitted.join(again, "service_name").join(part, "service_name", "left")
+    return both.select(
+        "service_name",
+        (F.col("cluster_id") == F.col("again")).alias("same"),
+        (F.col("part").isNull() | (F.col("part") == F.col("cluster_id"))).alias("same_alone"),
+        ordered.alias("ids_follow_traffic"),
+    )
+
+
+@query
+def score_stored_forest(spark, folder):
+    """A forest given as nodes: one split of each of two columns."""
+    leaf, split = (-1, 0.0, -1, -1), lambda f, cut: (f, cut, 1, 2)
+    nodes = [
+        (t, n, *(split(t, cut) if n == 0 else leaf), 1.0 if n else 0.0, 4) for t, cut in ((0, 0.15), (1, 500.0)) for n in range(3)
+    ]
+    nodes = [(t, n, f, c, a, b, 2.0 if n == 2 else p, k) for t, n, f, c, a, b, p, k in nodes]
+    forest = spark.createDataFrame(nodes, fo.NODE_SCHEMA)
+    scored = fo.score_forest(_features(spark, folder), forest, ["error_rate", "latency_p95"])
+    return scored.select("service_name", "raw_score")
+
+
+@query
+def iforest_flags(spark, folder):
+    """Flags of the fitted forest are exactly the scores above their percentile."""
+    scored = materialize(fo.service_anomalies_iforest(materialize(customer_features(spark, folder), "customers")), "scored")
+    cut = exact_percentiles(scored, [], "anomaly_score", {"cut": 0.95}).scalar()
+    return scored.select(
+        F.col("service_name"),
+        (F.col("is_anomaly") == (F.col("anomaly_score") > cut)).alias("flag_follows_score"),
+        F.col("anomaly_score").between(0, 1).alias("in_range"),
+    )
+
+
+@query
+def kmeans_nearest(spark, folder):
+    """Every row sits at the nearest mean of its clusters' members, up to the last move of the fit."""
+    columns = ["requests_per_hour", "error_rate"]
+    features = materialize(customer_features(spark, folder).where("total_requests > 3"), "customers")
+    found = cl.cluster_services(features, k=3, restarts=2, columns=columns)
+    scaled = materialize(standardize(found, columns), "scaled")
+    sizes = scaled.groupBy("cluster_id").agg(*[F.avg(f"z_{c}").alias(f"m_{c}") for c in columns])
+    centers = sizes.agg(F.collect_list(F.struct("*"))).scalar()
+    far = lambda c: sum(((F.col(f"z_{x}") - c[f"m_{x}"]) * (F.col(f"z_{x}") - c[f"m_{x}"]) for x in columns), F.lit(0.0))
+    near = F.array_min(F.transform("_centers", far))
+    own = F.array_min(F.transform(F.filter("_centers", lambda c: c["cluster_id"] == F.col("cluster_id")), far))
+    placed = scaled.withColumn("_centers", centers)
+    return placed.select("service_name", (own <= near * 1.05 + 1e-3).alias("nearest"))
+
+
+@query
+def chosen_windows(spark, folder):
+    """The first and last day of a run for each day of orders as the last run, seen from a fixed day."""
+    days = spark.read.parquet(f"{folder}/orders.parquet").select(F.to_date("o_orderdate").alias("d")).distinct()
+    today = date(1998, 1, 15)
+    rows = [(str(r["d"]), *src.choose_window(str(r["d"]), today=today)) for r in days.collect()]  # calendar days
+    return spark.createDataFrame(rows, "last_run string, start string, end string")
+
+
+@query
+def report_sections(spark, folder):
+    """The JSON report, read back and flattened: service and requests of the leaders, clusters' sizes."""
+    result = analyse(_logs(spark, folder), Settings(report_top_n=10, n_clusters=3, forecast_top_n=3))
+    path = write_report(report_of(result, "2024-01-01", "2024-01-30"), scratch_path(spark, "reports"))
+    report = spark.read.json(path)
+    leaders = report.select(F.posexplode("traffic_summary.top_services").alias("place", "s"))
+    total = report.select(
+        F.lit("total").alias("item"), F.lit(0).alias("place"), F.col("metadata.total_requests").cast("long").alias("value")
+    )
+    rows = leaders.select(F.col("s.service_name").alias("item"), "place", F.col("s.total_requests").cast("long").alias("value"))
+    return rows.unionByName(total)
+
+
+@query
+def refused_schema(spark, folder):
+    """Days of raw logs without a status column: refused before any row is read."""
+    raw = raw_access_logs(spark, folder).drop("status")
+    try:
+        no.normalize_rows(raw)
+        said = "accepted"
+    except ValueError:
+        said = "refused"
+    return raw.groupBy("svc").agg(F.count(F.lit(1)).alias("rows"), F.lit(said).alias("said"))
+
+
+@query
+def approx_features_error(spark, folder):
+    """Sketched features within their stated errors of the exact ones."""
+    logs = _logs(spark, folder)
+    exact, rough = fe.service_features(logs), fe.service_features(logs, exact=False)
+    both = exact.alias("e").join(rough.alias("r"), "service_name")
+    users = F.abs(F.col("e.unique_users") - F.col("r.unique_users")) <= F.greatest(F.col("e.unique_users") * 0.2, F.lit(1))
+    low = F.abs(F.col("e.latency_p50") - F.col("r.latency_p50")) <= F.col("e.latency_p95") * 0.2
+    return both.select("service_name", F.col("e.total_requests").alias("total_requests"), users.alias("users_close"), low.alias("median_close"))
+
+
 @query
 def forecast_peaks(spark, folder):
     return fc.peak_windows(_repeat_last_day(_counts(spark, folder)))
