@@ -1,9 +1,8 @@
 """Benchmark passages found by an FM-index over each shard of training text.
 
 A shard is what a task has read up to 16 MB. Its symbols are the words of the test phrases; a word that no
-phrase has, or that stands in too short a stretch of such words for any phrase, ends a stretch. Over these
-stretches the task builds a suffix order, its Burrows-Wheeler transform as a wavelet matrix, and samples
-of the suffix positions. All phrases are searched backwards together, one word a step, by ranks in the
+phrase has ends a stretch, as the end of a text does. Over all stretches the task builds a suffix order, its
+Burrows-Wheeler transform as a wavelet matrix, and samples of the suffix positions. All phrases are searched backwards together, one word a step, by ranks in the
 wavelet matrix; occurrences are located by walking to a sampled position, and their spans merge.
 
 A phrase is ``window`` consecutive words of an item, or the whole item if it is shorter. Phrases reach the
@@ -75,7 +74,7 @@ def suffix_order(sequence: np.ndarray) -> np.ndarray:
         after = np.zeros(n, np.int64)
         after[: n - step] = rank[step:] + 1
         key = rank * (n + len(ends) + int(sequence.max()) + 2) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sorted_key = key[order]
         new = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
         rank = np.empty(n, np.int64)
@@ -148,11 +147,6 @@ class Phrases:
         pairs = np.array(sorted({(place[t], numbered[i]) for t, i in rows}), np.int64).reshape(-1, 2)
         self.item_of = pairs[:, 1]
         self.item_first = np.searchsorted(pairs[:, 0], np.arange(len(texts) + 1))
-        self.uses = []
-        for length in np.unique(self.lengths):
-            used = np.zeros(len(self.vocabulary) + 1, bool)
-            used[self.words[np.repeat(self.lengths == length, self.lengths)]] = True
-            self.uses.append((int(length), used))
         self.likely = np.zeros(1 << 16, bool)
         self.likely[(self.vocabulary >> np.uint64(48)).astype(np.int64)] = True
 
@@ -165,16 +159,6 @@ class Phrases:
         out[at[same]] = place[same] + 1
         return out
 
-    def may_hit(self, numbers: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        """Words in a stretch that is long enough for a phrase of words like these."""
-        out = np.zeros(len(numbers), bool)
-        for length, used in self.uses:
-            inside = used[numbers]
-            begin, end = _stretches(inside, owner)
-            long = end - begin >= length
-            out |= _cover(begin[long], (end - begin)[long], len(numbers))
-        return out
-
 
 def _stretches(inside: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of runs of True within one text."""
@@ -197,7 +181,7 @@ class _Shard:
     def add(self, part: pa.RecordBatch) -> None:
         words = find_words(part.column(0), ALNUM)
         numbers, owner = self.phrases.numbers(word_hashes(words)), words.owner()
-        begin, end = _stretches(self.phrases.may_hit(numbers, owner), owner)
+        begin, end = _stretches(numbers > 0, owner)
         if len(begin):
             length = end - begin
             to = np.cumsum(length + 1)
