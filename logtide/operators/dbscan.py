@@ -25,7 +25,13 @@ from logtide.scratch import materialize
 
 NOISE = -1
 SLICE_ROWS = 10_000
-BLOCK = 2.0  # block width in units of eps
+COPIES = 100  # of a cell that looks into the blocks around it, about
+
+
+def _block_width(dims: range, eps: float) -> float:
+    """Width of the blocks of the cell join: narrow blocks hold few cells that are not near, but a cell looks
+    into more of them, ``COPIES`` in all; in many dimensions that leaves two for each."""
+    return eps * min(2.0, 2.2 / (COPIES ** (1 / len(dims)) - 1))
 
 
 def _sum_squares(gaps: list[Column]) -> Column:
@@ -80,7 +86,7 @@ def _cells(points: DataFrame, dims: range, eps: float) -> DataFrame:
     return cells.withColumns(
         {
             "slices": F.ceil(F.col("positions") / SLICE_ROWS).cast("int"),
-            **{f"k{i}": F.floor(F.col(f"lo{i}") / (BLOCK * eps)) for i in dims},
+            **{f"k{i}": F.floor(F.col(f"lo{i}") / _block_width(dims, eps)) for i in dims},
         }
     )
 
@@ -91,7 +97,7 @@ def _near_cells(cells: DataFrame, dims: range, eps: float) -> DataFrame:
     A cell belongs to the block of its box's lower corner and looks into every block where the lower
     corner of a near box can lie.
     """
-    block, side = BLOCK * eps, eps / (2 * math.sqrt(len(dims)))
+    block, side = _block_width(dims, eps), eps / (2 * math.sqrt(len(dims)))
     look = cells
     for i in dims:
         first = F.floor((F.col(f"lo{i}") - (eps + 1.01 * side)) / block)
