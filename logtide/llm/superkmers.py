@@ -11,7 +11,7 @@ the bucket the windows are sorted, and the first place of each is found.
 * The number of buckets follows the bytes of the input, so a bucket stays about as large as ``bucket_bytes``.
 * Only removed ranges come back, and meet the texts by id.
 
-Windows are compared by 128 bits of hash. Null and empty texts have no windows. Rows that repeat an id and
+Strings and windows are compared by 128 bits of hash. Null and empty texts have no windows. Rows that repeat an id and
 a text are one text at one place: neither row is earlier, and both get the same result. Rows without an id
 come before all others. Columns besides id and text keep their names and values.
 """
@@ -35,6 +35,7 @@ GROUP = 3
 SHORT_BYTES = 12
 TASK_BYTES = 10 << 20
 NO_ID = -(1 << 63)
+LEVEL = 6
 
 
 def _least(values: np.ndarray, first: np.ndarray, size: int, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,9 +68,9 @@ def super_kmers(texts: pa.Array, window: int, group: int = GROUP):
 
 
 def _pack(**columns: np.ndarray) -> bytes:
-    """Columns of one block: lengths, then the bytes, compressed."""
+    """Columns of one block: lengths, then the bytes, compressed. Rows in text order compress best."""
     parts = [np.ascontiguousarray(c).tobytes() for c in columns.values()]
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack(f"<{len(parts)}q", *map(len, parts)) + b"".join(parts))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(struct.pack(f"<{len(parts)}q", *map(len, parts)) + b"".join(parts))
 
 
 def _unpack(block: bytes, *kinds) -> list[np.ndarray]:
@@ -87,25 +88,24 @@ class _Outbox:
 
     def __init__(self, buckets: int):
         self.buckets, self.held, self.bytes = buckets, [], 0
-        self.seen: dict[tuple[int, int], None] = {}
 
-    def add(self, minimiser, name, ids, marks, start, words, data, offsets) -> None:
-        self.held.append((minimiser, name, ids, marks, start, words, data, offsets))
+    def add(self, minimiser, one, two, ids, marks, start, words, data, offsets) -> None:
+        self.held.append((minimiser, one, two, ids, marks, start, words, data, offsets))
         self.bytes += len(data)
 
     def flush(self) -> Iterator[tuple[int, bytes, bytes]]:
         """(bucket, strings, ranges): strings that are new, by bucket, and ranges known to be repeats."""
         if not self.held:
             return
-        minimiser, name, ids, marks, start, words = (np.concatenate([h[k] for h in self.held]) for k in range(6))
-        length = np.concatenate([np.diff(h[7]) for h in self.held])
-        data = np.concatenate([h[6] for h in self.held])
+        minimiser, one, two, ids, marks, start, words = (np.concatenate([h[k] for h in self.held]) for k in range(7))
+        length = np.concatenate([np.diff(h[8]) for h in self.held])
+        data = np.concatenate([h[7] for h in self.held])
         end = np.cumsum(length)
         begin = end - length
         self.held, self.bytes = [], 0
-        order = np.lexsort((start, ids, name))
+        order = np.lexsort((start, ids, two, one))
         head = np.ones(len(order), bool)
-        head[1:] = name[order][1:] != name[order][:-1]
+        head[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
         # an equal place is the same text read twice: no repeat of itself
         lead = np.flatnonzero(head)[np.cumsum(head) - 1]
         same = (ids[order] == ids[order][lead]) & (start[order] == start[order][lead]) & ~head
@@ -114,7 +114,7 @@ class _Outbox:
             yield -1, b"", _pack(ids=ids[known], marks=marks[known], start=start[known], words=words[known])
         kept = order[head]
         # rows of one text read twice under different marks still need their ranges: they travel too
-        kept = np.concatenate([kept, order[same & (marks[order] != marks[order][lead])]])
+        kept = np.sort(np.concatenate([kept, order[same & (marks[order] != marks[order][lead])]]))
         bucket = (mix(minimiser[kept]) % U(self.buckets)).astype(np.int64)
         kept = kept[np.argsort(bucket, kind="stable")]
         bucket = np.sort(bucket)
@@ -151,9 +151,8 @@ def _send(window: int, buckets: int):
             data, offsets = _joined(words)
             begin, end = offsets[start], offsets[last + 1] - 1
             text, at = gather(data, begin, end)
-            # the string's name: sums of word hashes times powers differ with order, length is mixed in
-            name = _range_names(hashes, start, last + 1)
-            box.add(minimiser, name, ids[owner], marks[owner], (start - words.first[owner]).astype(np.int32), (last + 1 - start).astype(np.int32), text, at)
+            names = (_range_names(hashes, start, last + 1, salt) for salt in (0, 1))
+            box.add(minimiser, *names, ids[owner], marks[owner], (start - words.first[owner]).astype(np.int32), (last + 1 - start).astype(np.int32), text, at)
             if box.bytes >= TASK_BYTES:
                 yield from blocks()
         yield from blocks()
@@ -224,7 +223,7 @@ def _count(window: int):
     """All blocks of one bucket after another; a bucket's strings are sorted together."""
 
     def found(held: list[bytes]):
-        columns = [_unpack(b, np.int64, np.int64, np.int32, np.int32, np.uint8) for b in held]
+        columns = [_unpack(b, np.int64, np.int32, np.int32, np.int32, np.uint8) for b in held]
         return repeats_in_bucket(*(np.concatenate([c[k] for c in columns]) for k in range(5)), window)
 
     def ranges(columns) -> pa.RecordBatch:
@@ -237,7 +236,7 @@ def _count(window: int):
         for batch in batches:
             for bucket, strings, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 if known := known.as_py():
-                    yield ranges(_unpack(known, np.int64, np.int64, np.int32, np.int32))
+                    yield ranges(_unpack(known, np.int64, np.int32, np.int32, np.int32))
                 if bucket != current:
                     if held:
                         yield ranges(found(held))
@@ -250,7 +249,7 @@ def _count(window: int):
     return run
 
 
-RANGES = "_id long, _mark long, start int, words int"
+RANGES = "_id long, _mark int, start int, words int"
 
 
 def repeated_ranges(texts: DataFrame, window: int, bucket_bytes: int) -> DataFrame:
@@ -321,7 +320,7 @@ def cut_text(raw: np.ndarray, start: np.ndarray, gone: np.ndarray) -> str:
 def _with_ranges(docs: DataFrame, window: int, id_col: str, text_col: str, bucket_bytes: int) -> DataFrame:
     """Texts with their ranges; the mark tells rows apart that share an id."""
     texts = docs.select(
-        F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col)).alias("_mark"), F.col(text_col).cast("string").alias("_text")
+        F.col(id_col).cast("long").alias("_id"), F.hash(F.col(text_col)).alias("_mark"), F.col(text_col).cast("string").alias("_text")
     )
     found = materialize(repeated_ranges(texts, window, bucket_bytes), "ranges")
     return found.groupBy("_id", "_mark").agg(F.collect_list(F.struct("start", "words")).alias("_spans"))
@@ -345,7 +344,7 @@ def remove_repeats(
     rest = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed")] if not digest else [id_col]
     left = docs.select(
         F.col(text_col).cast("string").alias("_text"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest)],
-        own.alias("_id"), F.xxhash64(F.col(text_col)).alias("_mark"),
+        own.alias("_id"), F.hash(F.col(text_col)).alias("_mark"),
     )
     joined = left.join(spans, ["_id", "_mark"], "left").select("_text", "_spans", *[f"c{k}" for k in range(len(rest))])
     kinds = ", ".join(["n_words long, n_removed long, value string", *[f"c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(rest)]])
