@@ -303,11 +303,13 @@ def phrase_blocks(items: DataFrame, window: int, id_col: str, text_col: str) ->
 
 
 def find_passages(
-    docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text", item_id: str = "item_id", item_text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+    cut: bool = False,
+) -> DataFrame:
     """The columns of ``docs`` as c0, c1, … in order, after ``_text, n_words, spans, items``.
 
-    Spans may touch or overlap if there was more than one block of phrases.
+    Spans may touch or overlap if there was more than one block of phrases. With ``cut``, they are cut out of the
+    text, by the Python step that ends the search.
     """
     empty: list[Column] = [
         F.lit(0).cast("long").alias("n_words"),
@@ -316,15 +318,25 @@ def find_passages(
     ]
     rest = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text_col]
     out = docs.select(F.col(text_col).cast("string").alias("_text"), *empty, *rest)
-    blocks = phrase_blocks(items, window, item_id, item_text)
-    first = next(blocks, [])
-    kind = out.schema
-    out = out.mapInArrow(_search(first) if first else _count_words, kind)
-    for block in blocks:
-        out = out.mapInArrow(_search(block), kind)
+    blocks, kind = phrase_blocks(items, window, item_id, item_text), out.schema
+    block = next(blocks, None)
+    if block is None:
+        return out.mapInArrow(_count_words, kind)
+    while block is not None:
+        search, block = _search(block), next(blocks, None)
+        out = out.mapInArrow(_then_cut(search) if cut and block is None else search, kind)
     return out
 
 
+def _then_cut(search):
+    """Search and cut in one Python step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _cut_spans(search(batches))
+
+    return run
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """No phrases at all: only the number of words."""
     for part in slices(batches, "_text"):
@@ -373,8 +385,7 @@ def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_passages(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with benchmark passages cut out of the text, and ``n_hit`` words cut."""
-    found = find_passages(docs, items, window, text_col)
-    cut = found.mapInArrow(_cut_spans, found.schema)
+    cut = find_passages(docs, items, window, text_col, cut=True)
     place = {c: F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns) if c not in (text_col, "n_hit")}
     place[text_col] = F.col("_text").alias(text_col)
     return cut.select(*[place[c] for c in docs.columns if c in place], _words_hit().alias("n_hit"))

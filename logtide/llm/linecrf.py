@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from logtide.llm.words import LOWER, U, WHITE, bytes_of, chain, mix, slices, word_hashes, words_in
 
 SAMPLE_CHARS = 50_000
-SCORE_BYTES = 6 << 20
 SURE = 20.0
 
 #: Kinds of bytes, counted for each line.
@@ -71,9 +70,14 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not n:
         return np.zeros((0, 3 * OWN)), np.zeros(0), first
 
-    index = np.repeat(np.arange(n) * 8, end - start)
-    within = np.arange(len(index)) + np.repeat(start - (np.cumsum(end - start) - (end - start)), end - start)
-    kinds = np.bincount(index + KIND[raw[within]], minlength=8 * n).reshape(n, 8).astype(float)
+    # one number for each byte of a kept line; bytes between lines count for nothing
+    line_of_byte = np.full(len(raw), 8 * n, np.int32)
+    for_line = np.repeat(np.arange(n, dtype=np.int32) * 8, end - start)
+    inside = np.zeros(len(raw) + 1, np.int8)
+    np.add.at(inside, start, 1)
+    np.add.at(inside, end, -1)
+    line_of_byte[np.cumsum(inside[:-1], dtype=np.int8) > 0] = for_line
+    kinds = np.bincount(line_of_byte + KIND[raw], minlength=8 * n + 8)[: 8 * n].reshape(n, 8).astype(float)
     size = (end - start).astype(float)
     letters = kinds[:, LETTER] + kinds[:, UPPER]
 
@@ -224,7 +228,7 @@ def score_quality(docs: DataFrame, model: LineCRF, text_col: str = "text") -> Da
     place = rest.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, f"c{place}", SCORE_BYTES):
+        for part in slices(batches, f"c{place}"):
             score, lines, _, _ = model.quality(part.column(place))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(score), pa.array(lines.astype(np.int32))], [*part.schema.names, "score", "n_lines"]
@@ -239,7 +243,7 @@ def label_lines(docs: DataFrame, model: LineCRF, id_col: str = "doc_id", text_co
     """``(doc_id, line, good, p_good)`` for every line with a word; lines are numbered from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text", SCORE_BYTES):
+        for part in slices(batches, "_text"):
             _, lines, marginal, owner = model.quality(part.column(1))
             first = np.cumsum(lines) - lines
             yield pa.RecordBatch.from_arrays(
