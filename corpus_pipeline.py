@@ -17,6 +17,7 @@ from logtide.llm.linecrf import fit_quality, score_quality
 from logtide.llm.packing import pack
 from logtide.llm.queries import held_out, table
 from logtide.llm.superkmers import remove_repeats
+from logtide.llm.words import small_batches
 from logtide.scratch import materialize
 
 GOOD = 0.7
@@ -30,6 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group linked by five-word shingles at 0.8 or more: the one with the smallest id."""
+    small_batches(spark)
     gone = near_duplicates(docs, shingle=5, percent=80).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
@@ -43,6 +45,7 @@ def _recounted(cut: DataFrame, columns: list[str], changed: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words that an earlier equal window of 20 words covers."""
+    small_batches(spark)
     return _recounted(remove_repeats(docs, window=20), docs.columns, "n_removed")
 
 

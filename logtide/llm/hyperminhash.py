@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import U, bytes_of, chain, find_words, mix, runs, slices, word_hashes
+from logtide.llm.words import U, bytes_of, chain, find_words, give_back, mix, slices, word_hashes
 from logtide.operators.components import connected_components
 from logtide.scratch import materialize
 
@@ -245,6 +245,7 @@ def _confirm(percent: int):
             sets = ((np.frombuffer(v.as_buffer(), U) for v in batch.column(k)) for k in (2, 3))
             mask = pa.array([_linked(x, y, percent) for x, y in zip(*sets)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in (0, 1)], ["a", "b"])
+        give_back()
 
     return run
 

@@ -17,6 +17,7 @@ from logtide.llm.superkmers import remove_repeats
 from logtide.llm.textdensity import main_texts
 from logtide.llm.tokens import count_tokens
 from logtide.llm.warc import read_warc, write_warc
+from logtide.llm.words import small_batches
 from logtide.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +38,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

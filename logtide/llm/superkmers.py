@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import U, WHITE, bytes_of, chain, find_words, gather, mix, runs, slices, word_hashes, words_in
+from logtide.llm.words import U, WHITE, bytes_of, chain, find_words, gather, give_back, mix, runs, slices, word_hashes, words_in
 from logtide.scratch import materialize
 
 GROUP = 3
@@ -245,6 +245,8 @@ def _count(window: int):
                     held.append(strings)
         if held:
             yield ranges(found(held))
+        _FACTORS.clear()  # a worker lives on after its task
+        give_back()
 
     return run
 

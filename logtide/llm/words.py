@@ -6,16 +6,30 @@ are array operations on slices of a few megabytes, whatever the length of an Arr
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 SLICE_BYTES = 2 << 20
+HASH_BYTES = 512 << 10
+BATCH_ROWS = 1000
 U = np.uint64
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches of at most ``BATCH_ROWS`` rows: texts and sets of shingles are long, and a batch is held whole."""
+    if int(spark.conf.get(ARROW_ROWS)) > BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    return spark
+
+
 def _table(separators: bytes) -> np.ndarray:
     out = np.ones(256, dtype=bool)
     out[list(separators)] = False
@@ -58,7 +72,10 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches where ``column`` reaches ``limit`` bytes; one row at least."""
+    """Cut batches where ``column`` reaches ``limit`` bytes; one row at least.
+
+    At the end free memory goes back to the system: a Python worker waits for its next task long after.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -68,6 +85,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             to = max(row + 1, int(np.searchsorted(at, at[row] + limit, "right")) - 1)
             yield batch.slice(row, to - row)
             row = to
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that Arrow and the C library keep for later."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
 
 
 def find_words(column: pa.Array, kind: np.ndarray = WHITE, lower: bool = True) -> Words:
@@ -138,7 +165,7 @@ def word_hashes(words: Words, seed: int = 0) -> np.ndarray:
     with np.errstate(over="ignore"):
         while at < len(out):
             base = words.start[at]
-            to = max(at + 1, int(np.searchsorted(words.end, base + SLICE_BYTES, "right")))
+            to = max(at + 1, int(np.searchsorted(words.end, base + HASH_BYTES, "right")))
             begin, end = words.start[at:to] - base, words.end[at:to] - base
             n = int(end[-1])
             up, down = powers.upto(n + 1)
