@@ -41,6 +41,8 @@ LEVEL = 6
 def _least(values: np.ndarray, first: np.ndarray, size: int, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window of ``size`` words: its least group value, first word and text."""
     start, owner = runs(first, size)
+    if not len(start):  # a slice of short texts may hold fewer groups than the neighbours below
+        return values[:0], start, owner
     span, width = size - group + 1, 1
     least = values.copy()
     while 2 * width <= span:  # least of 2, 4, 8 … neighbours

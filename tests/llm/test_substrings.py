@@ -90,3 +90,27 @@ def test_super_kmers_cover_every_window_once():
     words, _, _, start, count, owner = super_kmers(pa.array(texts), 20)
     total = np.maximum(np.diff(words.first) - 19, 0)
     assert np.bincount(owner, weights=count, minlength=20).astype(int).tolist() == total.tolist()
+
+
+@pytest.mark.parametrize("window", [5, 20])
+def test_slices_of_few_words(window):
+    rng = random.Random(2)
+    for n in range(26):
+        words = [f"w{rng.randrange(9)}" for _ in range(n)]
+        for cut in sorted({n, n // 2, min(n, 3)}):
+            texts = [words[:cut], words[cut:]]
+            wanted = []
+            for t, own in enumerate(texts):
+                # a window of one group has that group as its minimiser
+                value = [super_kmers(pa.array([" ".join(own[i : i + 3])]), 3)[2][0] for i in range(len(own) - 2)]
+                wanted += [(t, i, min(value[i : i + window - 2])) for i in range(len(own) - window + 1)]
+            found, _, least, start, count, owner = super_kmers(pa.array([" ".join(t) for t in texts]), window)
+            got = [(o, s - found.first[o] + k, m) for m, s, c, o in zip(least, start, count, owner) for k in range(c)]
+            assert got == wanted, (n, cut)
+
+
+def test_tables_of_one_short_text(spark):
+    for n in range(26):
+        rows = [(1, " ".join(f"w{k}" for k in range(n)))]
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        assert {r[0]: tuple(r[1:]) for r in remove_repeats(df, 20, digest=True).collect()} == brute(rows, 20), n
