@@ -7,8 +7,15 @@ down, nodes at or above the threshold pass, and in each the subtree of the great
 that lies in an ``article`` or ``main`` element extends to the whole of it, and headings beside the path to it belong to it, so that
 titles and short paragraphs stay.
 
-Before counting, what is never part of the article is left out: scripts, styles, forms, menus, page headers and
-footers, sidebars, and elements whose class, id or role names an advert, a notice, comments and the like.
+Before counting, what is never part of the article is left out: scripts, styles, menus, page headers and footers,
+asides, hidden elements. Forms and elements whose class, id or role names a sidebar, an advert, a notice, comments and
+the like only become candidates, as such names also stand on wrappers of whole pages. A candidate stays if it
+
+* is around the ``article`` or ``main`` element with the most text of its own, or
+* holds (inside that element, if there is one) a greater density sum than all that is no candidate. Comments, adverts and
+  consent notices, which can be longer than the article, must be all the text there is.
+
+The other candidates go, also those inside one that stays.
 
 Character references are decoded; white space inside a block becomes one space; blocks are joined by one space in
 page order. A null or empty page, or one without text, gives an empty text. Pages are parsed one at a time and only as
@@ -55,8 +62,8 @@ CLOSE_P = BLOCK - {"br", "body", "html", "caption", "td", "th", "tr", "tbody", "
 P_SCOPE = {"td", "th", "table", "button", "body", "html"}
 
 #: Elements that are never article text.
-NEVER = set("head nav footer aside form script style noscript template iframe noframes button select input svg math dialog menu object canvas".split())
-#: Words in class, id or role of such elements.
+NEVER = set("head nav footer aside script style noscript template iframe noframes button select input svg math dialog menu object canvas".split())
+#: Words in class, id or role of elements that may be no article text.
 BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adbox|banner|sponsor(?:ed)?|promo(?:tion)?s?|side-?bar|cookies?|consent|gdpr|notice|notification"
     r"|comments?|commentlist|disqus|replies|menu|nav|navbar|navigation|breadcrumbs?|footer|site-?header|page-?header|masthead|share|sharing|social"
@@ -64,22 +71,30 @@ BOILERPLATE = re.compile(
     r"(?:$|[\s_-])",
     re.I,
 )
+#: Whole names of elements that are no wrappers, however much text they hold.
+APART = re.compile(
+    r"(?:^|\s)(?:ads?|adverts?|advertisements?|adbox|sponsor(?:ed)?|cookies?|consent|gdpr|comments?|comment-?list|disqus|replies|newsletter)"
+    r"(?:[_-](?:area|banner|bar|box|consent|form|list|message|notice|popup|section|thread))*(?:$|\s)",
+    re.I,
+)
+STAYS, CANDIDATE, LAST, GOES = range(4)
 
 
-def _dropped(tag: str, attrs: str, inside_article: bool) -> bool:
+def _verdict(tag: str, attrs: str, inside_article: bool) -> int:
     if tag in NEVER or tag == "header" and not inside_article:
-        return True
+        return GOES
+    found = CANDIDATE if tag == "form" else STAYS
     if not attrs or tag in ("body", "html", "article", "main") and "comment" not in attrs.lower():
-        return False
+        return found
     for name, value in ATTRIBUTE.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+            return GOES
         if name in ("class", "id", "role") and BOILERPLATE.search(value):
-            return True
+            found = max(found, LAST if APART.search(value) else CANDIDATE)
         if name == "role" and value.lower() in ("banner", "navigation", "search", "form", "alert", "dialog"):
-            return True
-    return False
+            found = max(found, CANDIDATE)
+    return found
 
 
 class Page:
@@ -87,6 +102,7 @@ class Page:
 
     def __init__(self, html: str):
         self.tag, self.parent = ["body"], [-1]
+        self.marks: dict[int, int] = {}  # candidates that are still open: CANDIDATE or LAST
         self.texts: list[tuple[int, int, str]] = []  # node, block, text
         self.block = 0
         stack, skip, at = [0], None, 0  # skip: depth of the stack at which an element left out began
@@ -119,12 +135,74 @@ class Page:
                     skip = None
                 in_article = sum(self.tag[k] in ("article", "main") for k in stack)
                 stack.append(self._node(tag, stack[-1]))
-                if skip is None and _dropped(tag, attrs, in_article > 0):
+                verdict = STAYS if skip is not None else _verdict(tag, attrs, in_article > 0)
+                if verdict == GOES:
                     skip = len(stack)
+                elif verdict:
+                    self.marks[stack[-1]] = verdict
             if skip is not None and len(stack) < skip:
                 skip = None
         if skip is None and at < len(html):
             self._text(stack[-1], html[at:])
+        self.gone = self._within(CANDIDATE) if self.marks else [False] * len(self.tag)
+        if self.marks:
+            self._spare()
+
+    def _within(self, least: int) -> list[bool]:
+        """Nodes in candidates of at least this kind."""
+        gone = [False] * len(self.tag)
+        for k in range(1, len(gone)):
+            gone[k] = gone[self.parent[k]] or self.marks.get(k, STAYS) >= least
+        return gone
+
+    def _keep(self, k: int) -> None:
+        """No candidate around a node goes."""
+        while k > 0:
+            self.marks.pop(k, None)
+            k = self.parent[k]
+
+    def _article(self) -> int:
+        """The article or main element with the most text that is in no deeper one and no candidate; 0 if there is none."""
+        n = len(self.tag)
+        home, linked = [0] * n, [False] * n
+        own, total = [0] * n, [0] * n
+        is_article = [self.tag[k] in ("article", "main") and self.marks.get(k) != LAST for k in range(n)]
+        for k in range(1, n):
+            home[k] = k if is_article[k] else -1 if k in self.marks else home[self.parent[k]]
+            linked[k] = linked[self.parent[k]] or self.tag[k] == "a"
+        for node, _, text in self.texts:
+            size = sum(map(len, text.split())) * (not linked[node])
+            total[node] += size
+            if home[node] > 0:
+                own[home[node]] += size
+        for k in range(n - 1, 0, -1):
+            total[self.parent[k]] += total[k]
+        return max((k for k in range(1, n) if is_article[k] and total[k]), key=lambda k: (own[k], total[k], -k), default=0)
+
+    def _spare(self) -> None:
+        """Take the marks from candidates that are wrappers of the article."""
+        root = self._article()
+        self._keep(root)
+        inside = [root == 0] * len(self.tag)
+        for k in range(max(root, 1), len(inside)):
+            inside[k] = inside[k] or k == root or inside[self.parent[k]]
+        while True:
+            self.gone = self._within(CANDIDATE)
+            if not any(inside[k] for k in self.marks):
+                return
+
+            def best(hidden: list[bool], among: list[bool]) -> tuple[float, int]:
+                density, total = self.densities(hidden)
+                return max(((max(total[k], density[k]), k) for k in range(len(among)) if among[k] and inside[k]), default=(0.0, 0))
+
+            free, _ = best(self.gone, [not g for g in self.gone])
+            last = self._within(LAST)
+            value, k = best(last, [g and not x for g, x in zip(self.gone, last)])
+            if not free and not value:
+                value, k = best([False] * len(self.gone), self.gone)
+            if value <= free:
+                return
+            self._keep(k)
 
     def _node(self, tag: str, parent: int) -> int:
         self.tag.append(tag)
@@ -150,23 +228,24 @@ class Page:
             if self.tag[stack[k]] in stop:
                 return
 
-    def densities(self) -> tuple[list[float], list[float]]:
-        """Composite text density of each node, and the sum over its children."""
+    def densities(self, gone: list[bool]) -> tuple[list[float], list[float]]:
+        """Composite text density of each node, and the sum over its children, without the text of nodes that are gone."""
         n = len(self.tag)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         in_link = [False] * n
         for k in range(1, n):
             in_link[k] = in_link[self.parent[k]] or self.tag[k] == "a"
         for node, _, text in self.texts:
-            size = sum(map(len, text.split()))
+            size = 0 if gone[node] else sum(map(len, text.split()))
             chars[node] += size
             link_chars[node] += size * in_link[node]
         for k in range(n - 1, 0, -1):
             up = self.parent[k]
             chars[up] += chars[k]
             link_chars[up] += link_chars[k]
-            tags[up] += tags[k] + 1
-            link_tags[up] += link_tags[k] + in_link[k]
+            counts = not (gone[k] and self.tag[k] in VOID)
+            tags[up] += tags[k] + counts
+            link_tags[up] += link_tags[k] + (in_link[k] and counts)
         ratio = link_chars[0] / max(chars[0], 1)
         density, total = [0.0] * n, [0.0] * n
         for k in range(n - 1, -1, -1):
@@ -179,9 +258,10 @@ class Page:
         return density, total
 
     def main_text(self) -> str:
+        self.texts = [t for t in self.texts if not self.gone[t[0]]]
         if not any(text.strip() for _, _, text in self.texts):
             return ""
-        density, total = self.densities()
+        density, total = self.densities(self.gone)
         n = len(self.tag)
         end = list(range(1, n + 1))  # nodes are in page order: a subtree is a range
         for k in range(n - 1, 0, -1):

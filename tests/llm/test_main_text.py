@@ -36,6 +36,42 @@ def test_what_is_not_the_article_goes(around):
         assert extract(page) == f"Title {LONG} Short. {LONG}", page
 
 
+WRAPPERS = [
+    "<div class='site has-sidebar'>{x}</div>", "<div class='content with-sidebar'>{x}</div>", "<div id=search-results>{x}</div>", "<div class='comments-open'>{x}</div>",
+    "<form action='/'>{x}</form>", "<div role=search>{x}</div>", "<div class='widget Blog'>{x}</div>", "<form><div class='has-sidebar'><div class='search-results'>{x}</div></div></form>",
+    "<form><div class='has-sidebar'>{x}</div><div>More</div></form>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inner", ["article", "main", "div", "section"])
+def test_wrappers_of_the_article_stay(wrapper, inner):
+    side = "<div class='sidebar'><p>Something else that stands beside it</p></div>"
+    article = f"<{inner}><h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></{inner}>"
+    for page in (wrapper.format(x=article), wrapper.format(x=side + article + side), f"<nav>Menu</nav><div>Above</div>{side}{wrapper.format(x=article)}"):
+        got = extract(f"<html><body>{page}</body></html>")
+        assert f"Title {LONG} Short. {LONG}" in got and "Something else" not in got and "Menu" not in got, page
+
+
+def test_wrappers_of_text_alone_stay():
+    for wrapper in WRAPPERS:
+        page = wrapper.format(x=f"<p>{LONG}</p>")
+        assert LONG in extract(f"<body>{page}<div>Footer</div></body>") and LONG in extract(f"<main>{page}</main>"), page
+    assert extract(f"<article class='post comments-open'><p>{LONG}</p></article>") == LONG
+    assert extract(f"<div id=comments><article><p>{LONG}</p></article></div>") == LONG
+
+
+@pytest.mark.parametrize("around", [
+    '<div id="comments" class="comments-area">{x}</div>', '<ol class="comment-list">{x}</ol>', '<div class="cookie-notice">{x}</div>', '<div class="ad">{x}</div>',
+])
+def test_long_comments_and_notices_go(around):
+    other = around.format(x="<p>Something else entirely that is long enough to matter here, and goes on and on.</p>" * 30)
+    for wrap in ("article", "div", "form"):
+        assert extract(f"<body><{wrap}><p>{LONG}</p><p>{LONG}</p></{wrap}>{other}</body>") == f"{LONG} {LONG}"
+        assert extract(f"<body><div class='has-sidebar'><{wrap}><p>{LONG}</p><p>{LONG}</p></{wrap}>{other}</div></body>") == f"{LONG} {LONG}"
+    assert extract(f"<article><p>{LONG}</p></article><div class='related'><article><p>Teaser</p></article></div>") == LONG
+
+
 def test_references_and_white_space():
     assert extract(f"<article><p>a &amp; b &lt;c&gt; &#233;\n\t x<b>y</b>z<br>w&nbsp;v</p>{LONG}</article>") == f"a & b <c> é xyz w v {LONG}"
 
