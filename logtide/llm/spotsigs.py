@@ -14,6 +14,11 @@ entries, as are pairs whose sizes alone rule the likeness out. With ``least`` =
 buckets whose boundaries come from the ids alone; the first text of a bucket is also sent to the bucket
 before, so texts move once and no bucket waits for another.
 
+``near_matches`` finds all pairs of at least ``least`` likeness, wherever they stand. Equal sets are one. A set is sent to
+the cells (spot, partition) of its rarest spots only, as many as any pair of that likeness must share one of, and meets the
+sets of its own and the next partition there. Pairs whose sizes allow it are compared in full and linked into
+classes. A cell is compared pair by pair, so its cost is quadratic in the different sets that share a rare spot.
+
 Null texts are empty. Of rows with one id, the order is by a hash of the text. Rows without an id come first.
 Columns besides id and text are ignored, whatever their names.
 """
@@ -32,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.words import ALNUM, U, bytes_of, chain as chained, find_words, slices, word_hashes
+from logtide.operators.components import connected_components
+from logtide.scratch import materialize
 
 CHAIN = 2
 FAR = 8
@@ -210,3 +217,56 @@ def _bucket(cuts: np.ndarray):
         return pd.Series(np.searchsorted(cuts, ids.to_numpy(), "right").astype(np.int32))
 
     return bucket
+
+
+def _spots(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "_text"):
+            sets = spot_sets(part.column(1), size)
+            keys = [hashlib.sha256(s.tobytes()).hexdigest() for s in sets]
+            at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            spots = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.string()), spots], ["_id", "key", "spots"])
+
+    return run
+
+
+def near_matches(docs: DataFrame, least: float = 0.5, chain: int = CHAIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_spots, class_id)`` for each row: the least id that a chain of pairs of at least ``least`` likeness leads to.
+
+    Rows without an id take part; a class of them alone has no id.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("least must be above 0 and at most 1: without a least likeness nothing can be pruned")
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    rows = materialize(texts.mapInArrow(_spots(chain), "_id long, key string, spots array<long>"), "spots")
+    sets = materialize(rows.groupBy("key").agg(F.first("spots").alias("spots")).withColumn("n", F.size("spots")), "spot-sets")
+
+    own = sets.select("key", "n", F.explode("spots").alias("spot"))
+    counts = own.groupBy("spot").agg(F.count(F.lit(1)).alias("seen"))
+    by_rarity = own.join(counts, "spot").groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "spot"))).alias("spots"))
+    # a pair of this likeness shares at least least * n spots of either set, so one of these
+    rare = F.slice("spots", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int"))
+    # as length_partition
+    partition = F.col("n") if least == 1 else F.floor(F.log("n") / -math.log(least) + 1e-9)
+    cells = by_rarity.select("key", "n", partition.cast("long").alias("part"), F.explode(rare).alias("s"))
+    cells = materialize(cells.where("s.seen > 1").select("key", "n", "part", F.col("s.spot").alias("spot")), "spot-cells")
+
+    home = cells.select("spot", "part", F.col("key").alias("v"), F.col("n").alias("n_v"))
+    step = F.explode(F.array(F.lit(0), F.lit(1)))
+    come = cells.withColumn("step", step).select(
+        "spot", (F.col("part") + F.col("step")).alias("part"), "step", F.col("key").alias("u"), F.col("n").alias("n_u")
+    )
+    met = come.join(home, ["spot", "part"]).where("step = 1 OR u < v")
+    fits = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * least - 1e-9
+    pairs = met.where(fits).select("u", "v").distinct()
+    left = sets.select(F.col("key").alias("u"), F.col("spots").alias("a"))
+    right = sets.select(F.col("key").alias("v"), F.col("spots").alias("b"))
+    shared = F.size(F.array_intersect("a", "b"))
+    alike = pairs.join(left, "u").join(right, "v").where(shared / (F.size("a") + F.size("b") - shared) >= least).select("u", "v")
+
+    classes = connected_components(alike).select(F.col("node").alias("key"), "component")
+    placed = rows.select("_id", "key", F.size("spots").cast("long").alias("n_spots")).join(classes, "key", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "key"))
+    names = placed.groupBy("component").agg(F.min("_id").alias("class_id"))
+    return placed.join(names, "component").select(F.col("_id").alias(id_col), "n_spots", "class_id")

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from logtide.llm.spotsigs import edited_neighbours, fingerprint, length_partition, likeness, spot_sets
+from logtide.llm.spotsigs import edited_neighbours, fingerprint, length_partition, likeness, near_matches, spot_sets
 
 
 def brute(rows):
@@ -62,3 +62,28 @@ def test_pruning_never_hides_a_likely_pair():
         exact, pruned = likeness(a, b), likeness(a, b, 0.5)
         assert pruned == exact or exact < 0.5 and pruned == 0
     assert abs(length_partition(100, 0.8) - length_partition(80, 0.8)) <= 1
+
+
+@pytest.mark.parametrize("least", [0.2, 0.5, 0.8, 1.0])
+def test_matches_at_distant_ids_equal_brute_force(spark, least):
+    rng = random.Random(3)
+    vocabulary = ["the", "of", "und", "la"] + [f"wört{k}" for k in range(40)]
+    rows = []
+    for k in range(25):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(3, 70))]
+        for copy in range(4):  # the same, with some words at the end replaced
+            gone = rng.randrange(len(words) // 2 + 1) * (copy > 0)
+            rows.append((copy * 1000 + k, " ".join(words[: len(words) - gone] + [rng.choice(vocabulary) for _ in range(rng.randrange(gone + 1))])))
+    rows += [(9000, None), (9001, ""), (9002, "?!"), (None, rows[3][1]), (None, "quite alone"), (3, rows[3][1])]
+    rng.shuffle(rows)
+    sets = spot_sets(pa.array([t or "" for _, t in rows]))
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if likeness(sets[i], sets[j]) >= least and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    ids = lambda g: [k for (k, _), h in zip(rows, group) if h == g and k is not None]
+    want = [(k, len(s), min(ids(g), default=None)) for (k, _), s, g in zip(rows, sets, group)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, near_matches(df, least).collect()), key=str) == sorted(want, key=str)
+    assert near_matches(df.limit(0), least).count() == 0
