@@ -154,7 +154,8 @@ def op3_preferences(spark, folder):
 
 @query()
 def op10_packing(spark, folder):
-    return pack(table(spark, folder, "documents"), max_tokens=2048, buckets=12, budget=16384)
+    counted = count_tokens(table(spark, folder, "documents"), "byte_bpe_50k.json")
+    return pack(counted, max_tokens=2048, buckets=12, budget=16384, length_col="n_tokens")
 
 
 OP8_SQL = """

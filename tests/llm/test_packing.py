@@ -72,3 +72,17 @@ def test_a_very_long_text(spark):
     df = spark.createDataFrame([(1, "w " * 300_000)], "doc_id long, text string")
     got = pack(df, max_tokens=1000).collect()
     assert len(got) == 300 and sum(r.n_tokens for r in got) == 300_000
+
+
+def test_the_query_counts_tokens(spark):
+    from pyspark.sql import functions as F
+
+    from logtide.llm.queries import QUERIES, table
+    from logtide.llm.tokens import count_tokens
+
+    folder = "/root/testdata/sf0.001"
+    made = QUERIES["op10_packing"](spark, folder).cache()
+    want = {r.doc_id: r.n_tokens for r in count_tokens(table(spark, folder, "documents")).collect()}
+    assert {r.doc_id: r.n for r in made.groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()} == want
+    assert made.agg(F.max("n_tokens")).first()[0] <= 2048
+    assert made.where("batch IS NOT NULL").groupBy("batch").agg(F.sum("bucket").alias("n")).agg(F.max("n")).first()[0] <= 16384
