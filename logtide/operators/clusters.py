@@ -135,7 +135,10 @@ def silhouette_rows(
     label: str = "cluster_id",
     metric: str = "squared_euclidean",
 ) -> DataFrame:
-    """Silhouette of every row. ``metric`` names what distances are; squared ones need no pairs of rows."""
+    """Silhouette of every row. ``metric`` names what distances are; squared ones need no pairs of rows.
+
+    The reference's distances are Euclidean: scores differ from its scores, and a k chosen by them may.
+    """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     point = F.array(*[F.col(c).cast("double") for c in columns]).alias("x")
