@@ -5,7 +5,7 @@ repeated words) and in those of the lines before and after; a 2 x 2 matrix score
 Forward and backward sums give each line's probability of being good; their mean, weighted by line length,
 is the quality of the text. For training, each line carries its text's label.
 
-Fitting sees at most ``sample`` labelled texts of at most ``SAMPLE_CHARS`` characters, chosen by a hash
+Fitting sees at most ``sample`` labelled texts of at most ``sample_chars`` characters, chosen by a hash
 of the id, so it is bounded whatever the corpus; scoring sees every text as a whole. Only the text is
 ever scored: no label, language, source or id is an input.
 
@@ -201,15 +201,16 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_quality(
     docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 4000,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    sample_chars: int = SAMPLE_CHARS,
 ) -> LineCRF:
-    """Fit on at most ``sample`` rows of ``labels`` for which ``learn`` holds."""
+    """Fit on at most ``sample`` rows of ``labels`` for which ``learn`` holds; texts above ``sample_chars`` characters are left out of them."""
     known = labels.where(learn).select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("_id IS NOT NULL AND label IN (0, 1)").groupBy("_id").agg(
         F.min("label").alias("label"), F.max("label").alias("most")
     ).where("label = most").drop("most")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)  # ids and labels only: at most `sample` rows are sent
-    rows = texts.where(F.length("_text") <= SAMPLE_CHARS).join(F.broadcast(chosen), "_id")
+    rows = texts.where(F.length("_text") <= sample_chars).join(F.broadcast(chosen), "_id")
     got = rows.select("_id", "label", "_text").mapInArrow(_features_of, "_id long, label int, features binary")
     seen = {r["_id"]: r for r in got.toLocalIterator()}  # one text for each id
     order = sorted(seen)

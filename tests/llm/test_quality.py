@@ -84,3 +84,15 @@ def test_held_out_accuracy_and_blindness(spark):
     got = QUERIES["op1_linecrf"](spark, folder).join(table(spark, folder, "labels"), "doc_id").where("held_out")
     right = got.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0]
     assert right > 0.97
+
+
+def test_the_longest_text_of_a_fit_is_an_argument(spark):
+    rng = random.Random(4)
+    rows = [(k, text(rng, True), 1) for k in range(30)] + [(100 + k, "\n".join(text(rng, False) for _ in range(200)), 0) for k in range(10)]
+    assert all(len(t) > 50_000 for _, t, q in rows if not q)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    bad = docs.where("doc_id >= 100")
+    highest = lambda **more: max(r.score for r in score_quality(bad, fit_quality(docs, labels, F.lit(True), **more)).collect())
+    assert highest() > 0.7  # only good texts are short enough
+    assert highest(sample_chars=10_000_000) < 0.3
