@@ -17,6 +17,7 @@ from logtide.llm.superkmers import remove_repeats
 from logtide.llm.textdensity import main_texts
 from logtide.llm.tokens import count_tokens
 from logtide.llm.warc import read_warc, write_warc
+from logtide.llm.whitening import whiten
 from logtide.llm.words import small_batches
 from logtide.scratch import scratch_path
 
@@ -195,3 +196,8 @@ def op4_spotsigs(spark, folder):
 @query()
 def op5_textdensity(spark, folder):
     return main_texts(table(spark, folder, "pages"))
+
+
+@query()
+def op11_whitening(spark, folder):
+    return whiten(table(spark, folder, "embeddings"), components=4)
