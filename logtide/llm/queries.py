@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logtide.llm.fmindex import contamination
 from logtide.llm.hyperminhash import near_duplicates
+from logtide.llm.infill import digests, infill, infill_plan, store_frames
 from logtide.llm.linecrf import fit_quality, score_quality
 from logtide.llm.packing import pack
 from logtide.llm.preferences import broken_off, preference_segments
@@ -19,7 +20,7 @@ from logtide.llm.tokens import count_tokens
 from logtide.llm.warc import read_warc, write_warc
 from logtide.llm.whitening import whiten
 from logtide.llm.words import small_batches
-from logtide.scratch import scratch_path
+from logtide.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -201,3 +202,25 @@ def op5_textdensity(spark, folder):
 @query()
 def op11_whitening(spark, folder):
     return whiten(table(spark, folder, "embeddings"), components=4)
+
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || doc_id) AS k FROM documents),
+h AS (
+  SELECT doc_id, t, n, CAST('0x' || k[1:8] AS BIGINT) % (n + 1) AS a, CAST('0x' || k[9:16] AS BIGINT) % (n + 1) AS b,
+    CAST('0x' || k[17:24] AS BIGINT) % 100 AS c, CAST('0x' || k[25:32] AS BIGINT) % 100 AS s FROM d),
+f AS (
+  SELECT doc_id, t, n, least(a, b) AS a, greatest(a, b) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+      WHEN s < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, '<P>' || t[1:a] AS p, '<M>' || t[a + 1:b] AS m, '<S>' || t[b + 1:n] AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN s || p || m ELSE p || s || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query(OP12_SQL)
+def op12_infill(spark, folder):
+    stored = materialize(store_frames(table(spark, folder, "documents")), "frames")
+    return digests(infill(infill_plan(stored)))
