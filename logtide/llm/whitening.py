@@ -14,15 +14,13 @@ Columns besides id and vector are ignored, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.mllib.linalg.distributed import BlockMatrix
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.scratch import materialize
@@ -61,10 +59,23 @@ def indexed(rows: DataFrame) -> tuple[DataFrame, int, int]:
 
 
 def block_matrix(rows: DataFrame, vector: Column, n: int, d: int) -> BlockMatrix:
-    """The rows' vectors as lines ``_index`` of an n x d matrix; lines without a row are zero."""
-    height = max(ROWS_PER_BLOCK, -(-n // MOST_BLOCKS))
-    lines = MLUtils.convertVectorColumnsFromML(rows.select(F.col("_index").alias("index"), array_to_vector(vector).alias("vector")), "vector")
-    return IndexedRowMatrix(lines, n, d).toBlockMatrix(height, min(d, COLUMNS_PER_BLOCK))
+    """The rows' vectors as lines ``_index`` of an n x d matrix; lines without a row are zero.
+
+    A block's lines meet in one row of flat numbers, so Python sees a row for each block.
+    """
+    height, width = max(ROWS_PER_BLOCK, -(-n // MOST_BLOCKS)), min(d, COLUMNS_PER_BLOCK)
+    line = F.struct((F.col("_index") % height).cast("int").alias("at"), vector.alias("v"))
+    grouped = rows.groupBy(F.floor(F.col("_index") / height).alias("block")).agg(F.collect_list(line).alias("lines"))  # at most `height`
+    flat = grouped.select("block", F.col("lines.at").alias("at"), F.flatten("lines.v").alias("v"))
+
+    def blocks(r: Row) -> Iterator[tuple[tuple[int, int], DenseMatrix]]:
+        full = np.zeros((min(height, n - r["block"] * height), d))
+        full[r["at"]] = np.reshape(r["v"], (-1, d))
+        for j, left in enumerate(range(0, d, width)):
+            part = full[:, left : left + width]
+            yield (r["block"], j), DenseMatrix(*part.shape, part.ravel(order="F"))
+
+    return BlockMatrix(flat.rdd.flatMap(blocks), height, width, n, d)
 
 
 def scatter(matrix: BlockMatrix) -> np.ndarray:
@@ -76,15 +87,14 @@ def scatter(matrix: BlockMatrix) -> np.ndarray:
 
 def projected(matrix: BlockMatrix, weights: np.ndarray, spark: SparkSession) -> DataFrame:
     """``(_index, _z)``: each line times ``weights``, d x k numbers."""
-    size, k = matrix.colsPerBlock, weights.shape[1]
+    size, height, k = matrix.colsPerBlock, matrix.rowsPerBlock, weights.shape[1]
     parts = [((j, 0), weights[at : at + size]) for j, at in enumerate(range(0, len(weights), size))]
-    right = BlockMatrix(
-        spark.sparkContext.parallelize([(place, DenseMatrix(len(w), k, w.ravel(order="F").tolist())) for place, w in parts], 1), size, k
-    )
-    lines = matrix.multiply(right).toIndexedRowMatrix()
-    # the rows stay in the JVM; `lines.rows` would take each through Python
-    found = MLUtils.convertVectorColumnsToML(callMLlibFunc("getIndexedRows", lines._java_matrix_wrapper._java_model), "vector")
-    return found.select(F.col("index").alias("_index"), vector_to_array("vector").alias("_z"))
+    right = [(place, DenseMatrix(len(w), k, w.ravel(order="F"))) for place, w in parts]
+    product = matrix.multiply(BlockMatrix(spark.sparkContext.parallelize(right, 1), size, k))
+    flat = product.blocks.map(lambda b: (b[0][0], b[1].toArray().ravel().tolist()))
+    blocks = spark.createDataFrame(flat, "block long, v array<double>")
+    lines = F.transform(F.sequence(F.lit(0), (F.size("v") / k).cast("int") - 1), lambda i: F.slice("v", i * k + 1, F.lit(k)))
+    return blocks.select("block", F.posexplode(lines)).select((F.col("block") * height + F.col("pos")).alias("_index"), F.col("col").alias("_z"))
 
 
 @dataclass
