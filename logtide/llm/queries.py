@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from logtide.llm.fmindex import contamination
 from logtide.llm.hyperminhash import near_duplicates
 from logtide.llm.infill import digests, infill, infill_plan, store_frames
+from logtide.llm.langmodel import language_scores
 from logtide.llm.linecrf import fit_quality, score_quality
 from logtide.llm.packing import pack
 from logtide.llm.preferences import broken_off, preference_segments
@@ -114,9 +115,9 @@ def op7_fmindex(spark, folder):
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
 
 
-def held_out(name: str = "doc_id"):
+def held_out(name: str = "doc_id", parts: int = 4):
     """Rows that no fit may see."""
-    return F.coalesce(F.crc32(F.col(name).cast("string")) % 4 == 2, F.lit(False))
+    return F.coalesce(F.crc32(F.col(name).cast("string")) % parts == 2, F.lit(False))
 
 
 def quality_model(docs: DataFrame, spark: SparkSession, folder: str):
@@ -224,3 +225,8 @@ FROM p
 def op12_infill(spark, folder):
     stored = materialize(store_frames(table(spark, folder, "documents")), "frames")
     return digests(infill(infill_plan(stored)))
+
+
+@query()
+def op13_recurrent(spark, folder):
+    return language_scores(table(spark, folder, "documents"), held_out(parts=7))
