@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.recurrent import GatedModel
+from logtide.llm.recurrent import GatedModel, one_core
 from logtide.llm.words import Words, find_words, gather, give_back, slices, word_hashes
 from logtide.scratch import materialize
 
@@ -36,7 +36,7 @@ RATE = 0.1
 COUNTED = 262_144
 #: A task's counts before they are merged, tokens of one training pass, and of one scoring pass.
 HELD_WORDS, TRAIN_TOKENS, SCORE_TOKENS = 2_000_000, 1_000_000, 4_000_000
-LANES = (16, 256)
+LANES = (16, 512)
 TOKENS_PER_LANE = 2048
 
 
@@ -198,6 +198,7 @@ def encoded_texts(source: DataFrame, lexicon: Lexicon, kind: str) -> DataFrame:
 
 def gathered(batches: Iterator[pa.RecordBatch], column: int, tokens: int) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
     """Batches until they hold ``tokens`` ids, with those ids and where each text starts."""
+    one_core()
     parts, size = [], 0
 
     def made() -> tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]:

@@ -10,6 +10,9 @@ Training cuts the gradient, not the state, at each window's first step (truncate
 
 from __future__ import annotations
 
+import ctypes
+import glob
+import os
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +23,15 @@ WINDOW = 16
 OFF, BOUND = F32(-30.0), F32(48.0)
 
 
+def one_core() -> None:
+    """Keep numpy's products on the task's one core: for matrices this small, further threads only wait, and use time."""
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 def lanes_of(lengths: np.ndarray, lanes: int) -> list[np.ndarray]:
     """Texts dealt to lanes, the longest first, each to the lane with the fewest tokens so far."""
     import heapq
@@ -165,17 +177,19 @@ class GatedModel:
         """Gradients of a window's steps, from those of its states; nothing flows into the window before."""
         n = self.p["u"].shape[0]
         x = self.p["embed"][part]
-        d_gates = np.empty((*part.shape, 3 * n), F32)
+        d_gates, d_state = np.empty((*part.shape, 3 * n), F32), np.empty((*part.shape, 3 * n), F32)
         for t in range(len(part) - 1, -1, -1):
             z, r, c, a, h = kept[t]
             carry[part[t] == self.end] = 0  # the state after an end token is zero whatever came before
-            dz, dc = carry * (c - h) * z * (1 - z), carry * z * (1 - c * c)
-            dr = dc * a * r * (1 - r)
-            d_gates[t, :, :n], d_gates[t, :, n : 2 * n], d_gates[t, :, 2 * n :] = dz, dr, dc
-            inner = np.concatenate([dz, dr, dc * r], axis=1)
-            grad["u"] += h.T @ inner
-            carry = carry * (1 - z) + inner @ self.p["u"].T + back[t]
+            own, inner, moved = d_gates[t], d_state[t], carry * z
+            rest = carry - moved
+            own[:, :n] = moved * (c - h) * (1 - z)
+            own[:, 2 * n :] = dc = moved * (1 - c * c)
+            own[:, n : 2 * n] = dc * a * r * (1 - r)
+            inner[:, : 2 * n], inner[:, 2 * n :] = own[:, : 2 * n], dc * r
+            carry = rest + inner @ self.p["u"].T + back[t]
         flat = d_gates.reshape(-1, 3 * n)
+        grad["u"] += np.concatenate([k[-1] for k in kept]).T @ d_state.reshape(-1, 3 * n)
         grad["wx"] += x.reshape(-1, n).T @ flat
         grad["bx"] += flat.sum(axis=0)
         dx = flat @ self.p["wx"].T
