@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.recurrent import GatedModel, one_core
-from logtide.llm.words import Words, find_words, gather, give_back, slices, word_hashes
+from logtide.llm.words import distinct, find_words, give_back, slices
 from logtide.scratch import materialize
 
 CLASSES = MEMBERS = 32
@@ -40,14 +40,6 @@ LANES = (16, 512)
 TOKENS_PER_LANE = 2048
 
 
-def distinct_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of each distinct word, and for each word which of them it is."""
-    one, index, inverse = np.unique(word_hashes(words), return_index=True, return_inverse=True)
-    data, offsets = gather(words.data, words.start[index], words.end[index])
-    two = word_hashes(Words(data, offsets[:-1], offsets[1:], np.array([0, len(one)]), offsets), seed=1)
-    return one, two, inverse
-
-
 def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     one, two, n = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((two, one))
@@ -69,7 +61,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for part in slices(batches, "_text"):
             words = find_words(part.column(0))
             if len(words.start):
-                one, two, inverse = distinct_words(words)
+                one, two, _, inverse = distinct(words)
                 held.append((one, two, np.bincount(inverse)))
             if sum(len(x[0]) for x in held) > HELD_WORDS:
                 held = [_merged(held)]
@@ -152,7 +144,7 @@ def encode(part: pa.Array, lexicon: Lexicon) -> list[pa.Array]:
     words = find_words(part)
     texts = len(part)
     owner, lengths = words.owner(), np.diff(words.first)
-    one, two, inverse = distinct_words(words) if len(words.start) else (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),)
+    one, two, _, inverse = distinct(words)
     at = lexicon.look_up(one, two)
     found = at >= 0
     ids = np.full(len(one), lexicon.other, np.int32)

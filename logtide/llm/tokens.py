@@ -6,8 +6,9 @@ character after a character that is no white space. Byte-level pre-tokenizers al
 do to the right of it doesn't depend on what stands to the left; added tokens have no white space inside. If an
 overlap has no such place, it is widened, up to the whole stretch that is still open, and then the chunk itself grows.
 
-Shorter texts are split at the same places into pieces, and each distinct piece is encoded once for as long as it stays
-in a task's memo, which has a fixed number of entries.
+Shorter texts are split at the same places into pieces, which are found and named by array operations on the UTF-8 bytes.
+Each distinct piece is encoded once for as long as it stays in a worker's memo of a fixed number of entries, of which the
+least used half goes when it is full.
 
 Null is counted as empty: 0 bytes, 0 tokens. Rows that repeat an id are counted each. Columns besides id and
 text are ignored.
@@ -18,25 +19,39 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import slices
+from logtide.llm.words import WHITE, U, Words, bytes_of, distinct, gather, slices, words_in
 
 CHUNK = 32_768
 OVERLAP = 256
-MEMO_ENTRIES = 600_000
-
-#: White space before a run of other characters, all in ASCII's sense.
-PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+\Z")
-#: White space beyond ASCII's, after which a split is not certain.
-ODD_SPACE = re.compile(r"[^\S \t\n\x0b\x0c\r]")
+MEMO_ENTRIES = 1_000_000
+#: White space beyond ASCII's usual, after which a split is not certain, as UTF-8 bytes read as one number.
+ODD_1 = np.arange(0x1C, 0x20)
+ODD_2 = np.array([0xC285, 0xC2A0])
+ODD_3 = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
 STABLE = re.compile(r"(?<=\S)[ \t\n\x0b\x0c\r]")
 
 
+def find_pieces(column: pa.Array) -> tuple[Words, np.ndarray]:
+    """Pieces of all texts, each white space and then other characters, or a text's last white space; and the text of each."""
+    data, offsets = bytes_of(column)
+    ends = words_in(data, offsets, WHITE).end
+    last = data[ends - 1].astype(np.int64)
+    two = (data[np.maximum(ends - 2, 0)].astype(np.int64) << 8) | last
+    three = (data[np.maximum(ends - 3, 0)].astype(np.int64) << 16) | two
+    odd = np.isin(last, ODD_1) | np.isin(two, ODD_2) | np.isin(three, ODD_3)
+    cuts = np.unique(np.concatenate([offsets, ends[~odd]]))
+    start, end = cuts[:-1], cuts[1:]
+    owner = np.searchsorted(offsets, start, "right") - 1
+    return Words(data, start, end, np.searchsorted(start, offsets), offsets), owner
+
+
 class Counter:
     """A tokenizer of the ``tokenizers`` library and the counts of pieces it has seen."""
 
@@ -47,38 +62,58 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, int] = {}
-
-    def counts(self, texts: list[str], chunk: int = CHUNK) -> list[int]:
-        pieces = [None if len(t) > chunk else self._pieces(t) for t in texts]
-        distinct = set(chain.from_iterable(own for own in pieces if own))
-        fresh = list(distinct.difference(self.memo))
-        if len(self.memo) + len(fresh) > MEMO_ENTRIES:
-            self.memo.clear()
-            fresh = list(distinct)
-        for at in range(0, len(fresh), 10_000):
-            part = fresh[at : at + 10_000]
-            self.memo.update(zip(part, map(len, self.tokenizer.encode_batch(part, add_special_tokens=False))))
-        look = self.memo.__getitem__
-        return [self.spliced(t, chunk) if own is None else sum(map(look, own)) for t, own in zip(texts, pieces)]
-
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        found = PIECE.findall(text)
-        if ODD_SPACE.search(text):
-            joined: list[str] = []
-            for piece in found:  # a piece that ends in odd white space stays with the next
-                if joined and joined[-1][-1].isspace():
-                    joined[-1] += piece
-                else:
-                    joined.append(piece)
-            return joined
-        return found
-
-    def _encode(self, text: str, begin: int, end: int) -> list[tuple[int, int]]:
-        """Token offsets in the whole text."""
+        self.one = self.two = np.zeros(0, U)  # names of known pieces, their token counts, and how often they came up
+        self.tokens = self.used = np.zeros(0, np.int64)
+
+    def counts(self, texts: list[str] | pa.Array, chunk: int = CHUNK) -> np.ndarray:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        long = np.flatnonzero(pc.greater(pc.utf8_length(column), chunk).to_numpy(zero_copy_only=False))
+        total = np.zeros(len(column), np.int64)
+        total[long] = [self.spliced(column[int(k)].as_py(), chunk) for k in long]
+        short = column.filter(pa.array(~np.isin(np.arange(len(column)), long))) if len(long) else column
+        pieces, owner = find_pieces(short)
+        total[np.setdiff1d(np.arange(len(column)), long)] = np.bincount(owner, self._sizes(pieces), len(short)).astype(np.int64)
+        return total
+
+    def _known(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The memo's entry of each name, or -1."""
+        if not len(self.one):
+            return np.full(len(one), -1)
+        at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+        return np.where((self.one[at] == one) & (self.two[at] == two), at, -1)
+
+    def _sizes(self, pieces: Words) -> np.ndarray:
+        """Tokens of each piece."""
+        one, two, index, inverse = distinct(pieces)
+        at = self._known(one, two)
+        known, fresh = at >= 0, np.flatnonzero(at < 0)
+        sizes, used = np.zeros(len(one), np.int64), np.bincount(inverse, minlength=len(one))
+        sizes[known] = self.tokens[at[known]]
+        self.used[at[known]] += used[known]
+        for begin in range(0, len(fresh), 10_000):
+            part = fresh[begin : begin + 10_000]
+            data, offsets = gather(pieces.data, pieces.start[index[part]], pieces.end[index[part]])
+            buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+            strings = pa.Array.from_buffers(pa.large_string(), len(part), buffers).to_pylist()
+            sizes[part] = [len(e) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        if len(fresh):
+            self._remember(one[fresh], two[fresh], sizes[fresh], used[fresh])
+        return sizes[inverse]
+
+    def _remember(self, *fresh: np.ndarray) -> None:
+        held = [self.one, self.two, self.tokens, self.used]
+        if len(self.one) + len(fresh[0]) > MEMO_ENTRIES:
+            best = np.sort(np.argsort(-self.used, kind="stable")[: MEMO_ENTRIES // 2])
+            held = [x[best] for x in held]
+            held[3] = held[3] // 2
+        joined = [np.concatenate(x) for x in zip(held, fresh)]
+        order = np.argsort(joined[0], kind="stable")
+        self.one, self.two, self.tokens, self.used = (x[order] for x in joined)
+
+    def _encode(self, text: str, begin: int, end: int) -> np.ndarray:
+        """Token offsets in the whole text, begins and ends."""
         found = self.tokenizer.encode(text[begin:end], add_special_tokens=False).offsets
-        return [(a + begin, b + begin) for a, b in found]
+        return np.array(found, np.int64).reshape(-1, 2) + begin
 
     def spliced(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
         """Tokens of the whole text, from overlapping chunks."""
@@ -103,18 +138,16 @@ class Counter:
                 end = min(len(text), begin + 2 * (end - begin))
                 own = self._encode(text, begin, end)
                 continue
-            total += sum(b <= place for _, b in own)
-            own = [t for t in ahead if t[1] > place]
+            total += int((own[:, 1] <= place).sum())
+            own = ahead[ahead[:, 1] > place]
             begin, end = place, ahead_end
         return total + len(own)
 
     @staticmethod
-    def _common(left: list[tuple[int, int]], right: list[tuple[int, int]], marks: list[int]) -> int:
+    def _common(left: np.ndarray, right: np.ndarray, marks: list[int]) -> int:
         """The last stable place that no token of either side straddles and where both sides have a token after it, or -1."""
         for place in reversed(marks):
-            if any(a < place < b for a, b in left) or any(a < place < b for a, b in right):
-                continue
-            if any(b > place for _, b in left) and any(b > place for _, b in right):
+            if all((side[:, 1] > place).any() and not ((side[:, 0] < place) & (place < side[:, 1])).any() for side in (left, right)):
                 return place
         return -1
 
@@ -137,16 +170,15 @@ def vocabulary(name: str) -> str:
 
 
 def count_tokens(
-    docs: DataFrame, name: str = "byte_bpe_50k.json", limit: int = 512, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, name: str = "byte_bpe_50k.json", limit: int = 512, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK
 ) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` for each row; ``name`` is a byte-level vocabulary file's name or path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(name if os.path.isabs(name) else vocabulary(name)).counts
         for part in slices(batches, "_text"):
-            texts = [t or "" for t in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(count(texts), pa.int64())], ["_id", "n_bytes", "n_tokens"]
+                [part.column(0), part.column(1), pa.array(count(part.column(2), chunk))], ["_id", "n_bytes", "n_tokens"]
             )
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -204,3 +204,10 @@ def gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     offsets = np.concatenate([[0], np.cumsum(length)])
     index = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], length)
     return data[index], offsets
+
+
+def distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes of each distinct word, in order of the first; a place where it stands; and for each word which of them it is."""
+    one, index, inverse = np.unique(word_hashes(words), return_index=True, return_inverse=True)
+    data, offsets = gather(words.data, words.start[index], words.end[index])
+    return one, word_hashes(Words(data, offsets[:-1], offsets[1:], np.array([0, len(one)]), offsets), seed=1), index, inverse

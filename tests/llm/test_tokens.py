@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 
 from logtide.llm.tokens import Counter, count_tokens, vocabulary
 
-PARTS = ["a", "é", " ", "  ", "\n", "1", "'s", "<|endoftext|>", " ", " ", "日本", "!", "\t", "\x1c", "\u0085", "can't", " \n ", "word"]
+PARTS = ["a", "é", " ", "  ", "\n", "1", "'s", "<|endoftext|>", " ", " ", "日本", "!", "\t", "\x1c", "\u0085", "\u00a0", "\u2003", "\u3000", "\u1680", "can't", " \n ", "word"]
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,7 @@ def test_pieces_and_splices_equal_the_library(count, seed):
     for _ in range(250):
         text = "".join(rng.choice(PARTS) for _ in range(rng.randrange(80)))
         want = whole(count, text)
-        assert count.counts([text]) == [want], text
+        assert count.counts([text]).tolist() == [want], text
         assert count.spliced(text, chunk=rng.choice([8, 13, 32]), overlap=rng.choice([1, 3, 9])) == want, text
 
 
@@ -31,11 +32,19 @@ def test_overlaps_widen_where_nothing_is_stable(count):
         assert count.spliced(text, chunk=100, overlap=4) == whole(count, text)
 
 
-def test_a_full_memo_starts_again(count, monkeypatch):
+def test_a_full_memo_drops_its_least_used_half(count, monkeypatch):
     monkeypatch.setattr("logtide.llm.tokens.MEMO_ENTRIES", 10)
     texts = [f"word{k} other{k}" for k in range(50)]
     for at in range(0, 50, 5):
-        assert count.counts(texts[at : at + 5]) == [whole(count, t) for t in texts[at : at + 5]]
+        assert count.counts(texts[at : at + 5]).tolist() == [whole(count, t) for t in texts[at : at + 5]]
+        assert (np.diff(count.one.astype(object)) >= 0).all()
+
+
+def test_many_texts_at_once(count):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randrange(40))) for _ in range(300)] + ["", " ", "\u3000", "x" * 500, "a b " * 200]
+    assert count.counts(texts, chunk=300).tolist() == [whole(count, t) for t in texts]
+    assert count.counts([]).tolist() == []
 
 
 def test_rows(spark, count):
