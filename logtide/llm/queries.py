@@ -17,7 +17,7 @@ from logtide.llm.preferences import broken_off, preference_segments
 from logtide.llm.spotsigs import edited_neighbours
 from logtide.llm.superkmers import remove_repeats
 from logtide.llm.textdensity import main_texts
-from logtide.llm.tokens import count_tokens
+from logtide.llm.tokens import WHOLE, count_tokens
 from logtide.llm.warc import read_warc, write_warc
 from logtide.llm.whitening import whiten
 from logtide.llm.words import small_batches
@@ -157,7 +157,7 @@ def op3_preferences(spark, folder):
 
 @query()
 def op10_packing(spark, folder):
-    counted = count_tokens(table(spark, folder, "documents"), "byte_bpe_50k.json")
+    counted = count_tokens(table(spark, folder, "documents"), "byte_bpe_50k.json", chunk=WHOLE)
     return pack(counted, max_tokens=2048, buckets=12, budget=16384, length_col="n_tokens")
 
 

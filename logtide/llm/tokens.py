@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from logtide.llm.words import WHITE, U, Words, bytes_of, distinct, gather, slices, words_in
 
 CHUNK = 32_768
+#: Where texts up to a million characters may be split into pieces too, which is faster; the counts are the same.
+WHOLE = 1 << 20
 OVERLAP = 256
 MEMO_ENTRIES = 1_000_000
 #: White space beyond ASCII's usual, after which a split is not certain, as UTF-8 bytes read as one number.
@@ -46,7 +48,8 @@ def find_pieces(column: pa.Array) -> tuple[Words, np.ndarray]:
     two = (data[np.maximum(ends - 2, 0)].astype(np.int64) << 8) | last
     three = (data[np.maximum(ends - 3, 0)].astype(np.int64) << 16) | two
     odd = np.isin(last, ODD_1) | np.isin(two, ODD_2) | np.isin(three, ODD_3)
-    cuts = np.unique(np.concatenate([offsets, ends[~odd]]))
+    cuts = np.sort(np.concatenate([offsets, ends[~odd]]), kind="stable")  # two sorted runs
+    cuts = cuts[np.concatenate([[True], cuts[1:] > cuts[:-1]])]
     start, end = cuts[:-1], cuts[1:]
     owner = np.searchsorted(offsets, start, "right") - 1
     return Words(data, start, end, np.searchsorted(start, offsets), offsets), owner
@@ -67,12 +70,12 @@ class Counter:
 
     def counts(self, texts: list[str] | pa.Array, chunk: int = CHUNK) -> np.ndarray:
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
-        long = np.flatnonzero(pc.greater(pc.utf8_length(column), chunk).to_numpy(zero_copy_only=False))
+        long = pc.greater(pc.utf8_length(column), chunk).to_numpy(zero_copy_only=False)
         total = np.zeros(len(column), np.int64)
-        total[long] = [self.spliced(column[int(k)].as_py(), chunk) for k in long]
-        short = column.filter(pa.array(~np.isin(np.arange(len(column)), long))) if len(long) else column
+        total[long] = [self.spliced(column[int(k)].as_py(), chunk) for k in np.flatnonzero(long)]
+        short = column.filter(pa.array(~long)) if long.any() else column
         pieces, owner = find_pieces(short)
-        total[np.setdiff1d(np.arange(len(column)), long)] = np.bincount(owner, self._sizes(pieces), len(short)).astype(np.int64)
+        total[~long] = np.bincount(owner, self._sizes(pieces), len(short)).astype(np.int64)
         return total
 
     def _known(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
