@@ -17,6 +17,7 @@ from logtide.llm.linecrf import fit_quality, score_quality
 from logtide.llm.packing import pack
 from logtide.llm.queries import held_out, table
 from logtide.llm.superkmers import remove_repeats
+from logtide.llm.tokens import WHOLE, count_tokens
 from logtide.llm.words import small_batches
 from logtide.scratch import materialize
 
@@ -55,8 +56,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the texts in length buckets and token-budget batches."""
-    return pack(docs, max_tokens=2048, buckets=12, budget=16384)
+    """Pieces of the texts, by their tokens, in length buckets and token-budget batches."""
+    return pack(count_tokens(docs, "byte_bpe_50k.json", chunk=WHOLE), max_tokens=2048, buckets=12, budget=16384, length_col="n_tokens")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

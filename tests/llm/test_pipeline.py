@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
+from logtide.llm.tokens import Counter, vocabulary
 
 import test_benchmark_passages as passages
 import test_near_duplicates as near
@@ -73,7 +74,15 @@ def test_benchmark_passages_go(spark, steps):
 
 def test_packing_takes_all(steps):
     before, after = steps["packing"]
-    assert set(map(tuple, after.collect())) == packing.brute(texts(before), 2048, 12, 16384)
+    count = Counter(vocabulary("byte_bpe_50k.json")).tokenizer
+    sizes = [(k, len(count.encode(text, add_special_tokens=False))) for k, text in texts(before)]
+    # `packing.brute` counts words: as many of them as the text has tokens
+    assert set(map(tuple, after.collect())) == packing.brute([(k, "w " * n) for k, n in sizes], 2048, 12, 16384)
+
+
+def test_no_batch_is_above_its_budget_of_tokens(steps):
+    _, after = steps["packing"]
+    assert after.groupBy("batch").agg(F.sum("bucket").alias("n"), F.max("bucket").alias("most")).where("n > 16384 OR most > 2048").count() == 0
 
 
 def test_run_is_the_stages(spark, steps):
