@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from logtide.operators.dbscan import dbscan
+from logtide.operators.lloyd import best_runs, fit_runs, nearest, squared
 from logtide.operators.scaling import apply_moments, moments, standardize
 from logtide.scratch import materialize
 
@@ -39,8 +39,9 @@ CLUSTER_LABELS = {
 }
 OTHER = "other"
 K_RANGE = range(3, 13)
-FIT_PARTITIONS = 16
 DEFAULT_K = 4
+#: Rows whose Euclidean silhouettes are taken, each against all rows.
+SILHOUETTE_SAMPLE = 1000
 
 
 def _present(features: DataFrame, columns: list[str] | None) -> list[str]:
@@ -52,46 +53,6 @@ def cluster_label(cluster_id: Column) -> Column:
     return F.coalesce(F.try_element_at(names, cluster_id), F.lit(OTHER))
 
 
-def _vectors(scaled: DataFrame, columns: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="_vector").transform(scaled)
-
-
-def _laid_out(scaled: DataFrame, columns: list[str], key: str, partitions: int) -> DataFrame:
-    """Vectors in a fixed number of partitions by key, never in the input's layout, so that a seed means the
-    same on any cluster."""
-    vectors = _vectors(scaled, columns).select(key, "_vector")
-    return vectors.repartition(partitions, key).sortWithinPartitions(key)
-
-
-def best_models(
-    vectors: DataFrame, ks: list[int], restarts: int, seed: int, parallelism: int = 8
-) -> dict[int, KMeansModel]:
-    """For every k the model with the least training cost over ``restarts`` seeds.
-
-    Fits are independent, so their many short jobs share the cluster. Costs are compared as fits finish,
-    in the order of the seeds, and only the best model of each k is kept; ties go to the first seed.
-    """
-
-    def fit(job: tuple[int, int]) -> KMeansModel:
-        k, attempt = job
-        return KMeans(
-            k=k, seed=seed + attempt, maxIter=100, featuresCol="_vector", predictionCol="_raw_id"
-        ).fit(vectors)
-
-    jobs = [(k, attempt) for k in ks for attempt in range(restarts)]
-    best: dict[int, tuple[float, KMeansModel]] = {}
-    vectors.persist()
-    try:
-        with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-            for (k, _), model in zip(jobs, pool.imap(inheritable_thread_target(vectors.sparkSession)(fit), jobs)):
-                cost = model.summary.trainingCost
-                if k not in best or cost < best[k][0]:
-                    best[k] = (cost, model)
-    finally:
-        vectors.unpersist()
-    return {k: model for k, (_, model) in best.items()}
-
-
 def _scores(points: DataFrame, key: str) -> DataFrame:
     """Silhouette of each row of ``points(run, key, label, x)`` within its run, from squared distances.
 
@@ -125,7 +86,55 @@ def _scores(points: DataFrame, key: str) -> DataFrame:
     return scored.select("run", key, "label", F.coalesce(score, F.lit(0.0)).alias("silhouette"))
 
 
-METRICS = ("squared_euclidean",)
+def _sampled_scores(points: DataFrame, key: str, sample: int = SILHOUETTE_SAMPLE) -> DataFrame:
+    """As ``_scores``, by Euclidean distances, for the ``sample`` keys of least hash: each against all rows of its run.
+
+    Every task adds up the distances of its rows to the sampled points, by run and label; only these sums are
+    shuffled, ``sample`` rows for each label of a run.
+    """
+    spark = points.sparkSession
+    digest = F.md5(F.col(key).cast("string"))
+    keys = points.select(key, digest.alias("_h")).distinct().orderBy("_h", key).limit(sample)
+    drawn = points.join(F.broadcast(keys), key).select("run", key, "label", "x").collect()  # `sample` rows a run
+    at: dict[int, list[int]] = {}
+    for i, r in enumerate(drawn):
+        at.setdefault(r["run"], []).append(i)
+    places = {run: np.array([drawn[i]["x"] for i in own], float) for run, own in at.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        sizes: dict[tuple[int, int], int] = {}
+        for batch in batches:
+            runs, labels = (batch.column(k).to_numpy() for k in (0, 1))
+            x = np.array(batch.column(2).to_pylist(), float).reshape(batch.num_rows, -1)
+            for pair in np.unique(np.column_stack([runs, labels]), axis=0).tolist():
+                own = np.flatnonzero((runs == pair[0]) & (labels == pair[1]))
+                for begin in range(0, len(own), 1024):
+                    far = np.sqrt(squared(x[own[begin : begin + 1024]], places[pair[0]])).sum(axis=0)
+                    sums[tuple(pair)] = sums.get(tuple(pair), 0) + far
+                sizes[tuple(pair)] = sizes.get(tuple(pair), 0) + len(own)
+        for (which, label), total in sums.items():
+            n = len(total)
+            yield pa.RecordBatch.from_pydict({
+                "place": pa.array(at[which], pa.int32()), "other": pa.array([label] * n, pa.int32()),
+                "n": pa.array([sizes[which, label]] * n, pa.int64()), "far": pa.array(total),
+            })
+
+    source = points.select(F.col("run").cast("int"), F.col("label").cast("int"), "x")
+    totals = source.mapInArrow(run, "place int, other int, n long, far double")
+    totals = totals.groupBy("place", "other").agg(F.sum("n").alias("n"), F.sum("far").alias("far"))
+    kinds = ", ".join(f"{c} {points.schema[c].dataType.simpleString()}" for c in ("run", key, "label"))
+    own = spark.createDataFrame([(i, r["run"], r[key], r["label"]) for i, r in enumerate(drawn)], f"place int, {kinds}")
+    mine = F.col("other") == F.col("label")
+    each = totals.join(F.broadcast(own), "place").groupBy("place", "run", key, "label").agg(
+        F.max(F.when(mine, F.col("far") / F.nullif(F.col("n") - 1, F.lit(0)))).alias("_inner"),
+        F.min(F.when(~mine, F.col("far") / F.col("n"))).alias("_outer"),
+    )
+    score = (F.col("_outer") - F.col("_inner")) / F.nullif(F.greatest("_outer", "_inner"), F.lit(0.0))
+    return each.select("run", key, "label", F.coalesce(score, F.lit(0.0)).alias("silhouette"))
+
+
+METRICS = {"squared_euclidean": _scores, "euclidean": _sampled_scores}
 
 
 def silhouette_rows(
@@ -135,15 +144,15 @@ def silhouette_rows(
     label: str = "cluster_id",
     metric: str = "squared_euclidean",
 ) -> DataFrame:
-    """Silhouette of every row. ``metric`` names what distances are; squared ones need no pairs of rows.
+    """Silhouette of every row by squared distances, or by Euclidean ones of a sample of ``SILHOUETTE_SAMPLE`` rows.
 
-    The reference's distances are Euclidean: scores differ from its scores, and a k chosen by them may.
+    Squared distances need no pairs of rows; scores differ between the two, and a k chosen by them may.
     """
     if metric not in METRICS:
-        raise ValueError(f"metric must be one of {METRICS}")
+        raise ValueError(f"metric must be one of {sorted(METRICS)}")
     point = F.array(*[F.col(c).cast("double") for c in columns]).alias("x")
     points = labelled.select(F.lit(0).alias("run"), key, F.col(label).alias("label"), point)
-    return _scores(points, key).select(key, F.col("label").alias(label), "silhouette")
+    return METRICS[metric](points, key).select(key, F.col("label").alias(label), "silhouette")
 
 
 def silhouette(
@@ -153,10 +162,10 @@ def silhouette(
     label: str = "cluster_id",
     metric: str = "squared_euclidean",
 ) -> DataFrame:
-    """One row ``silhouette``: the mean over all rows, NULL with one cluster or any noise (-1)."""
+    """One row ``silhouette``: the mean over the scored rows, NULL with one cluster or any noise (-1)."""
     rows = silhouette_rows(labelled, columns, key, label, metric)
-    sound = (F.count_distinct(label) > 1) & (F.min(label) >= 0)
-    return rows.agg(F.when(sound, F.avg("silhouette")).alias("silhouette"))
+    sound = labelled.agg((F.count_distinct(label) > 1) & (F.min(label) >= 0)).scalar()
+    return rows.agg(F.avg("silhouette").alias("s")).select(F.when(sound, F.col("s")).alias("silhouette"))
 
 
 def score_ks(
@@ -166,21 +175,20 @@ def score_ks(
     restarts: int = 5,
     seed: int = 42,
     k_range: range = K_RANGE,
-    partitions: int = FIT_PARTITIONS,
+    metric: str = "squared_euclidean",
 ) -> DataFrame:
-    """``(k, silhouette, chosen)`` for every k below the number of rows, each from one pass over all rows."""
+    """``(k, silhouette, chosen)`` for every k below the number of rows, all fitted together."""
     spark, n = scaled.sparkSession, scaled.count()
     ks = [k for k in k_range if k < n]
     if not ks:
         return spark.createDataFrame([], "k int, silhouette double, chosen boolean")
-    models = best_models(_laid_out(scaled, columns, key, partitions), ks, restarts, seed)
-    labelled = _vectors(scaled, columns)
-    for k, model in models.items():
-        labelled = model.transform(labelled).withColumnRenamed("_raw_id", f"_label{k}")
+    axes = [f"z_{c}" for c in columns]
+    fitted = best_runs(fit_runs(scaled, axes, key, ks, restarts, seed))
+    labelled = scaled.withColumns({f"_label{k}": nearest(axes, fitted[k].centers) for k in ks})
     runs = F.explode(F.array(*[F.struct(F.lit(k).alias("run"), F.col(f"_label{k}").alias("label")) for k in ks]))
     point = F.array(*[F.col(f"z_{c}") for c in columns]).alias("x")
     points = materialize(labelled.select(runs.alias("r"), key, point).select("r.*", key, "x"), "runs")
-    scores = _scores(points, key).groupBy("run").agg(
+    scores = METRICS[metric](points, key).groupBy("run").agg(
         F.avg("silhouette").alias("s"), F.count_distinct("label").alias("labels")
     )
     scores = scores.select(F.col("run").alias("k"), F.when(F.col("labels") > 1, F.col("s")).otherwise(-1.0).alias("silhouette"))
@@ -220,28 +228,27 @@ def cluster_services(
     auto_k: bool = False,
     rank_by: str = "requests_per_hour",
     save_to: str | None = None,
-    partitions: int = FIT_PARTITIONS,
+    metric: str = "squared_euclidean",
 ) -> DataFrame:
     """k-means over standardised columns; adds ``cluster_id`` and ``cluster_label``.
 
-    ``features`` is read twice: pass a stored table. Results follow the seed and ``partitions``, which
-    set how many tasks a fit uses and should not change between runs that are compared. There are no more
-    clusters than distinct points; if all points are equal, all are cluster 0 and no model is stored.
+    ``features`` is read twice: pass a stored table. Results follow the seed alone, under any partitioning. There
+    are no more clusters than distinct points; if all points are equal, all are cluster 0 and no model is stored.
+    ``metric`` is that of the silhouettes which ``auto_k`` compares.
     """
     columns = _present(features, columns)
     scaled = materialize(standardize(features, columns), "scaled")
     wanted = {"columns": columns, "k": k, "auto_k": auto_k, "seed": seed}
     if auto_k:
-        k = best_k(choose_k(scaled, columns, key, seed=seed, partitions=partitions))
-    places = scaled.select(*[f"z_{c}" for c in columns]).distinct().limit(k).count()
-    if places < 2:  # k-means needs two places at least
+        k = best_k(choose_k(scaled, columns, key, seed=seed, metric=metric))
+    axes = [f"z_{c}" for c in columns]
+    fitted = best_runs(fit_runs(scaled, axes, key, [k], restarts, seed))
+    if not fitted or len(fitted[k].centers) < 2:  # one place
         return features.withColumns({"cluster_id": F.lit(0), "cluster_label": cluster_label(F.lit(0))})
-    k = min(k, places)
-    model = best_models(_laid_out(scaled, columns, key, partitions), [k], restarts, seed)[k]
-    assigned = model.transform(_vectors(scaled, columns))
+    assigned = scaled.withColumn("_raw_id", nearest(axes, fitted[k].centers))
     ids = _rank_ids(assigned, rank_by)
     if save_to:
-        save_model(model, moments(features, columns), ids, wanted, save_to)
+        save_model(fitted[k].centers, moments(features, columns), ids, wanted, save_to)
     return _finish(assigned, features.columns, ids)
 
 
@@ -302,7 +309,7 @@ def first_names(
 STORED = "version string, fitted_at timestamp, columns array<string>, k int, auto_k boolean, seed long, ids map<int,int>"
 
 
-def save_model(model: KMeansModel, stats: DataFrame, ids: dict[int, int], wanted: dict, path: str) -> None:
+def save_model(centers: np.ndarray, stats: DataFrame, ids: dict[int, int], wanted: dict, path: str) -> None:
     """Centres, scaling statistics and cluster ids in a folder of their own, for scoring without another fit.
 
     The last write, one row in ``versions``, makes them the model: a run that dies before leaves the one
@@ -310,7 +317,8 @@ def save_model(model: KMeansModel, stats: DataFrame, ids: dict[int, int], wanted
     """
     spark = stats.sparkSession
     version = uuid.uuid4().hex
-    model.write().save(f"{path}/{version}/kmeans")
+    rows = [(j, [float(v) for v in c]) for j, c in enumerate(centers)]
+    spark.createDataFrame(rows, "center int, x array<double>").coalesce(1).write.parquet(f"{path}/{version}/centers")
     stats.coalesce(1).write.parquet(f"{path}/{version}/moments")
     row = {"version": version, **wanted, "ids": ids}
     stamped = spark.createDataFrame([row], STORED.replace("fitted_at timestamp, ", ""))
@@ -345,6 +353,8 @@ def score_stored(spark: SparkSession, features: DataFrame, path: str) -> DataFra
     found = latest_model(spark, path)
     if found is None:
         raise FileNotFoundError(f"no stored model below {path}")
-    model = KMeansModel.load(f"{path}/{found['version']}/kmeans")
-    scaled = apply_moments(features, spark.read.parquet(f"{path}/{found['version']}/moments"), list(found["columns"]))
-    return _finish(model.transform(_vectors(scaled, list(found["columns"]))), features.columns, dict(found["ids"]))
+    columns = list(found["columns"])
+    stored = spark.read.parquet(f"{path}/{found['version']}/centers").orderBy("center").collect()  # k rows
+    scaled = apply_moments(features, spark.read.parquet(f"{path}/{found['version']}/moments"), columns)
+    assigned = scaled.withColumn("_raw_id", nearest([f"z_{c}" for c in columns], np.array([r["x"] for r in stored])))
+    return _finish(assigned, features.columns, dict(found["ids"]))

@@ -523,7 +523,27 @@ SELECT service_name, round(pow(2, -(CASE WHEN error_rate <= 0.15 THEN 1e0 ELSE 2
     "iforest_flags": f"""WITH {CUSTOMERS}
 SELECT service_name, TRUE AS flag_follows_score, TRUE AS in_range FROM customers""",
     "kmeans_nearest": f"""WITH {CUSTOMERS}
-SELECT service_name, TRUE AS nearest FROM customers WHERE total_requests > 3""",
+SELECT service_name, TRUE AS nearest FROM customers""",
+    "kmeans_regions": """
+SELECT c_custkey AS service_name, CAST(4 - n_regionkey AS INTEGER) AS cluster_id,
+  ['high_traffic_stable', 'high_traffic_spiky', 'medium_traffic', 'low_traffic_reliable', 'low_traffic_error_prone'][5 - n_regionkey] AS cluster_label
+FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+    "auto_k_regions": """
+WITH p AS (
+  SELECT c_custkey AS id, n_regionkey AS r, n_regionkey * 50 + (c_custkey % 11) / 11e0 AS x,
+    n_regionkey * 2 % 5 * 50 + (c_custkey % 7) / 7e0 AS y FROM customer JOIN nation ON n_nationkey = c_nationkey),
+z AS (SELECT id, r, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y FROM p),
+d AS (SELECT a.id, a.r, b.r AS o, sum((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS s, count(*) AS n FROM z a, z b GROUP BY ALL),
+m AS (SELECT id, max(CASE WHEN o = r THEN s / (n - 1) END) AS a, min(CASE WHEN o <> r THEN s / n END) AS b FROM d GROUP BY id)
+SELECT 5 AS k, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM m""",
+    "silhouette_euclidean": f"""WITH {CUSTOMERS},
+p AS (SELECT service_name, CASE WHEN total_requests < 8 THEN 0 WHEN total_requests < 12 THEN 1 ELSE 2 END AS l,
+  error_rate AS x, requests_per_hour AS y FROM customers),
+s AS (SELECT * FROM p ORDER BY md5(CAST(service_name AS VARCHAR)), service_name LIMIT 1000),
+d AS (SELECT a.service_name, a.l, b.l AS o, sum(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS f, count(*) AS n
+  FROM s a, p b GROUP BY ALL),
+m AS (SELECT service_name, l, max(CASE WHEN o = l THEN f / nullif(n - 1, 0) END) AS a, min(CASE WHEN o <> l THEN f / n END) AS b FROM d GROUP BY ALL)
+SELECT service_name, l AS cluster_id, round(coalesce((b - a) / nullif(greatest(a, b), 0), 0), 6) AS silhouette FROM m""",
     "chosen_windows": """
 SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS last_run,
   CAST(least(CAST(o_orderdate AS DATE), DATE '1998-01-15') AS VARCHAR) AS start, '1998-01-15' AS end FROM orders""",

@@ -19,6 +19,7 @@ from logtide.operators import forest as fo
 from logtide.operators import normalize as no
 from logtide.operators import report as rp
 from logtide.operators.dbscan import dbscan
+from logtide.operators.lloyd import best_runs, fit_runs, nearest
 from logtide.operators.percentiles import exact_percentiles
 from logtide.operators.scaling import standardize
 from logtide.plans.oracle import ORACLE
@@ -659,18 +660,54 @@ def iforest_flags(spark, folder):
 
 @query
 def kmeans_nearest(spark, folder):
-    """Every row sits at the nearest mean of its clusters' members, up to the last move of the fit."""
-    columns = ["requests_per_hour", "error_rate"]
-    features = materialize(customer_features(spark, folder).where("total_requests > 3"), "customers")
-    found = cl.cluster_services(features, k=3, restarts=2, columns=columns)
-    scaled = materialize(standardize(found, columns), "scaled")
-    sizes = scaled.groupBy("cluster_id").agg(*[F.avg(f"z_{c}").alias(f"m_{c}") for c in columns])
+    """Every customer sits at the nearest mean of the clusters' members: no centre moves any more."""
+    columns = [c for c in cl.CLUSTER_COLUMNS if not c.startswith("unique")]
+    axes = [f"z_{c}" for c in columns]
+    scaled = materialize(standardize(customer_features(spark, folder), columns), "scaled")
+    run = best_runs(fit_runs(scaled, axes, "service_name", [4], 1, 42, most=300, tolerance=0.0))[4]
+    found = materialize(scaled.withColumn("cluster_id", nearest(axes, run.centers)), "found")
+    sizes = found.groupBy("cluster_id").agg(*[F.avg(c).alias(f"m_{c}") for c in axes])
     centers = sizes.agg(F.collect_list(F.struct("*"))).scalar()
-    far = lambda c: sum(((F.col(f"z_{x}") - c[f"m_{x}"]) * (F.col(f"z_{x}") - c[f"m_{x}"]) for x in columns), F.lit(0.0))
+    far = lambda c: sum(((F.col(x) - c[f"m_{x}"]) * (F.col(x) - c[f"m_{x}"]) for x in axes), F.lit(0.0))
     near = F.array_min(F.transform("_centers", far))
     own = F.array_min(F.transform(F.filter("_centers", lambda c: c["cluster_id"] == F.col("cluster_id")), far))
-    placed = scaled.withColumn("_centers", centers)
-    return placed.select("service_name", (own <= near * 1.05 + 1e-3).alias("nearest"))
+    placed = found.withColumn("_centers", centers)
+    return placed.select("service_name", (own <= near + 1e-5).alias("nearest"))  # the grid of the fit is 1e-6
+
+
+def _regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as points near their region's place, so that SQL knows the right clusters."""
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    nations = spark.read.parquet(f"{folder}/nation.parquet").select("n_nationkey", "n_regionkey")
+    region = F.col("n_regionkey").cast("long")
+    return customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("service_name"),
+        (region * 50 + F.pmod("c_custkey", F.lit(11)) / 11.0).alias("requests_per_hour"),
+        (F.pmod(region * 2, F.lit(5)) * 50 + F.pmod("c_custkey", F.lit(7)) / 7.0).alias("error_rate"),
+    )
+
+
+@query
+def kmeans_regions(spark, folder):
+    """k-means finds the five regions; ids follow the mean of the first column."""
+    found = cl.cluster_services(materialize(_regions(spark, folder), "regions"), k=5, columns=["requests_per_hour", "error_rate"])
+    return found.select("service_name", "cluster_id", "cluster_label")
+
+
+@query
+def auto_k_regions(spark, folder):
+    """The number of clusters that silhouettes choose, and its silhouette."""
+    columns = ["requests_per_hour", "error_rate"]
+    scaled = materialize(standardize(_regions(spark, folder), columns), "scaled")
+    return cl.score_ks(scaled, columns).where("chosen").select("k", "silhouette")
+
+
+@query
+def silhouette_euclidean(spark, folder):
+    n = F.col("total_requests")
+    tiers = F.when(n < 8, 0).when(n < 12, 1).otherwise(2)
+    labelled = materialize(customer_features(spark, folder).withColumn("cluster_id", tiers), "labelled")
+    return cl.silhouette_rows(labelled, ["error_rate", "requests_per_hour"], metric="euclidean")
 
 
 @query

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from logtide.operators import clusters as cl
 from logtide.operators import dbscan as db
+from logtide.operators import lloyd as ll
 from logtide.operators.components import connected_components
 from logtide.operators.scaling import moments, standardize
 
@@ -140,8 +141,9 @@ def test_auto_k_prefers_the_real_number_of_groups(spark):
     assert [k for k, _ in cl.choose_k(few, columns, restarts=1)] == [3]
 
 
-def brute_silhouette(x, labels):
+def brute_silhouette(x, labels, root=False):
     d = ((x[:, None] - x[None]) ** 2).sum(-1)
+    d = np.sqrt(d) if root else d
     out = []
     for i, own in enumerate(labels):
         same = labels == own
@@ -164,12 +166,74 @@ def test_silhouette(spark):
     want = brute_silhouette(x, labels)
     assert [r.silhouette for r in got] == pytest.approx(want)
     assert cl.silhouette(df, ["a", "b", "c"]).first()[0] == pytest.approx(np.mean(want))
+    got = cl.silhouette_rows(df, ["a", "b", "c"], metric="euclidean").orderBy("service_name").collect()
+    assert [r.silhouette for r in got] == pytest.approx(brute_silhouette(x, labels, root=True))
     with pytest.raises(ValueError):
-        cl.silhouette_rows(df, ["a"], metric="euclidean")
+        cl.silhouette_rows(df, ["a"], metric="manhattan")
+    for metric in cl.METRICS:
+        assert cl.silhouette(df.withColumn("cluster_id", F.lit(1)), ["a"], metric=metric).first()[0] is None
+        assert cl.silhouette(df.limit(0), ["a"], metric=metric).first()[0] is None
     assert cl.silhouette(df.withColumn("cluster_id", F.lit(1)), ["a"]).first()[0] is None
     assert cl.silhouette(df.withColumn("cluster_id", F.col("cluster_id") - 1), ["a"]).first()[0] is None
 
 
+def test_sampled_silhouettes_are_against_all_rows(spark):
+    rng = np.random.default_rng(8)
+    x, labels = rng.normal(0, 1, (60, 2)), rng.integers(0, 4, 60)
+    rows = [(0, f"s{i}", int(l), list(map(float, p))) for i, (p, l) in enumerate(zip(x, labels))]
+    df = spark.createDataFrame(rows, "run int, k string, label int, x array<double>").repartition(3)
+    got = {r.k: r.silhouette for r in cl._sampled_scores(df, "k", 11).collect()}
+    want = dict(zip((r[1] for r in rows), brute_silhouette(x, labels, root=True)))
+    assert len(got) == 11 and got == pytest.approx({k: want[k] for k in got})
+
+
+def brute_rounds(x, centers, rounds):
+    """Costs before each move, and the final centres."""
+    costs = []
+    for _ in range(rounds):
+        d = ((x[:, None] - centers[None]) ** 2).sum(-1)
+        near = d.argmin(1)
+        costs.append(d.min(1).sum())
+        centers = np.array([x[near == j].mean(0) if (near == j).any() else centers[j] for j in range(len(centers))])
+    return costs, centers
+
+
+def points_table(spark, x, partitions):
+    columns = [f"c{i}" for i in range(x.shape[1])]
+    rows = [(f"s{i}", *map(float, p)) for i, p in enumerate(x)]
+    return spark.createDataFrame(rows, ["k", *columns]).repartition(partitions), columns
+
+
+def test_rounds_equal_brute_force_and_costs_never_rise(spark):
+    x = np.rint(np.random.default_rng(3).normal(0, 1, (200, 3)) * ll.GRID) / ll.GRID
+    df, columns = points_table(spark, x, 5)
+    blocks = ll.point_blocks(df, columns, "k")
+    starts = [x[:4].copy(), x[10:13].copy(), x[50:57].copy()]
+    runs = ll.run_rounds(blocks, [ll.Run(len(s), 0, s) for s in starts], 3, most=6, tolerance=0.0)
+    for run, start in zip(runs, starts):
+        costs, _ = brute_rounds(x, start, len(run.costs))
+        assert run.costs == pytest.approx(costs, rel=1e-5)
+        assert all(a >= b - 1e-3 for a, b in zip(run.costs, run.costs[1:]))
+
+
+def test_runs_are_the_same_under_any_partitioning(spark, monkeypatch):
+    x = np.random.default_rng(4).uniform(0, 1, (300, 2))
+    found = []
+    for partitions, task_rows, block in ((1, 1000, 1000), (7, 20, 16)):
+        monkeypatch.setattr(ll, "TASK_ROWS", task_rows)
+        monkeypatch.setattr(ll, "BLOCK_ROWS", block)
+        df, columns = points_table(spark, x, partitions)
+        found.append([(r.k, r.attempt, r.cost, r.centers.tolist()) for r in ll.fit_runs(df, columns, "k", [3, 5], 2, seed=1)])
+    assert found[0] == found[1] and len(found[0]) == 4
+
+
+def test_fewer_places_than_centres(spark):
+    df, columns = points_table(spark, np.array([[0.0, 0.0]] * 5 + [[1.0, 2.0]] * 3), 2)
+    best = ll.best_runs(ll.fit_runs(df, columns, "k", [2, 4], 2, seed=0))
+    assert {k: (r.cost, sorted(r.centers.tolist())) for k, r in best.items()} == {k: (0.0, [[0.0, 0.0], [1.0, 2.0]]) for k in (2, 4)}
+    assert ll.best_runs(ll.fit_runs(df.limit(0), columns, "k", [2], 2, seed=0)) == {}
+
+
 def test_profiles_and_first_names(spark):
     df = cl.cluster_services_dbscan(features(spark), eps=1.0, min_samples=3)
     got = cl.describe_clusters(df).collect()
