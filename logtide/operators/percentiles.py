@@ -75,7 +75,7 @@ def _count_within(
     """
     near = values.join(wanted.select("_k.*", *slices, "_n", *ranks), [*keys, *slices])
     return near.groupBy("_k", *dict.fromkeys([*slices, by])).agg(
-        F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), *[F.max(r).alias(r) for r in ranks]
+        F.sum("_w").alias("_c"), F.max("_n").alias("_n"), *[F.max(r).alias(r) for r in ranks]
     )
 
 
@@ -91,17 +91,19 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dic
 
 
 def percentiles_by_rank(values: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:
-    """Percentiles of the column ``_v`` per key, for groups of any size."""
+    """Percentiles of the column ``_v`` per key, for groups of any size. ``_w``, if there, says how often a value counts."""
     named = keys or ["_all"]
     values = values.withColumn("_all", F.lit(0))
+    if "_w" not in values.columns:
+        values = values.withColumn("_w", F.lit(1).cast("long"))
     coarse, fine = _slices(F.col("_v"))
     values = values.select(
-        *named, "_v", F.struct(*named).alias("_k"), coarse.alias("_s"), fine.alias("_f")
+        *named, "_v", "_w", F.struct(*named).alias("_k"), coarse.alias("_s"), fine.alias("_f")
     )
     rank_of = _ranks(list(quantiles.values()))
     ranks = list(rank_of)
 
-    first = values.groupBy("_k", "_s").agg(F.count(F.lit(1)).alias("_c"))
+    first = values.groupBy("_k", "_s").agg(F.sum("_w").alias("_c"))
     first = first.withColumn("_n", F.sum("_c").over(Window.partitionBy("_k"))).withColumns(rank_of)
     wanted = _narrow(first, ["_k"], "_s", ranks)
     second = _count_within(values, wanted, named, ["_s"], "_f", ranks)

@@ -32,6 +32,7 @@ from logtide.sources.fixtures import customer_features, raw_access_logs
 from logtide.sources.guarded import ScanLimitExceeded, cached_query, cached_result, guard_scan, scan_size
 from logtide.streaming import ingest as si
 from logtide.streaming import rollup as ro
+from logtide.streaming.partials import add_batch, distinct_users, read_partials
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -842,6 +843,29 @@ def _raw_files_by_time(spark: SparkSession, folder: str) -> tuple[str, T.StructT
     return path, raw.schema
 
 
+def _partials(spark: SparkSession, folder: str) -> str:
+    """A store that got all logs as three batches, so that most hours were brought up to date twice."""
+    store, logs = scratch_path(spark, "partials"), _logs(spark, folder)
+    for batch in range(3):
+        add_batch(logs.where(F.pmod("event_id", F.lit(3)) == batch), store, batch)
+    return store
+
+
+@query
+def rollup_from_counts(spark, folder):
+    """Hourly sums and percentiles after three batches, from stored counts."""
+    return read_partials(spark, _partials(spark, folder)).drop("unique_users")
+
+
+@query
+def rollup_from_bitmaps(spark, folder):
+    """Distinct users of each service, day and hour after three batches, from stored bitmaps."""
+    store = _partials(spark, folder)
+    hourly = distinct_users(spark, store)
+    whole = distinct_users(spark, store, ["service_name"]).withColumn("time_bucket", F.lit(None).cast("timestamp"))
+    return hourly.unionByName(whole)
+
+
 @query
 def streaming_hourly(spark, folder):
     """De-duplicated, then rolled up, over seven batches; windows closed a day before the last row."""
