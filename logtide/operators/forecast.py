@@ -9,13 +9,17 @@ from __future__ import annotations
 
 import itertools
 import logging
+import uuid
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logtide.scratch import materialize
+
 log = logging.getLogger(__name__)
 
 SEASON = 24
@@ -205,6 +209,109 @@ def forecast(
     )
 
 
+def start_states(
+    series: DataFrame, alpha: float, beta: float, gamma: float, phi: float, resid_std: float,
+    key: str = "service_name", bucket: str = "time_bucket", measure: str = "request_count",
+) -> DataFrame:
+    """States with given parameters after the first season of a gap-free hourly series; shorter series have none."""
+    value = F.col(measure).cast("double")
+    first = series.agg(F.min(bucket)).scalar()
+    day = series.where(F.col(bucket) < first + F.expr(f"INTERVAL {SEASON} HOURS"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col(bucket).alias("t"), value.alias("v")))), lambda r: r["v"])
+    held = day.groupBy(key).agg(F.avg(value).alias("level"), ordered.alias("_y"), F.max(F.unix_seconds(bucket)).alias("last_second"))
+    fixed = {"alpha": alpha, "beta": beta, "gamma": gamma, "phi": phi, "resid_std": resid_std}
+    return held.where(F.size("_y") == SEASON).select(
+        key, "level", F.lit(0.0).alias("trend"), F.transform("_y", lambda y: y - F.col("level")).alias("season"), "last_second",
+        F.lit(SEASON).alias("hours"), *[F.lit(float(v)).alias(n) for n, v in fixed.items()], F.lit(FITTED).alias("status"),
+    )
+
+
+def roll_forward(
+    states: DataFrame, series: DataFrame, key: str = "service_name", bucket: str = "time_bucket", measure: str = "request_count"
+) -> DataFrame:
+    """The states after the hours of ``series`` that came since, with the parameters they have: no fit.
+
+    Only those hours are read; each is one step of the recursion, a fold over the service's own new hours, whose
+    number is the time since the fit. ``series`` has no gaps (``dense_grid``); a service that misses hours in it
+    is marked as failed. Without new hours a state stays as it is, and so does one that never was fitted.
+    """
+    last = states.where(F.col("status") == FITTED).select(key, F.col("last_second").alias("_last"))
+    second = F.unix_seconds(F.col(bucket))
+    fresh = series.select(key, second.alias("_t"), F.col(measure).cast("double").alias("_v")).join(last, key).where("_t > _last")
+    steps = fresh.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_t", "_v"))).alias("_new"))
+
+    def step(state: Column, row: Column) -> Column:
+        season, damped = state["season"], F.col("phi") * state["trend"]
+        base = state["level"] + damped
+        level = F.col("alpha") * (row["_v"] - season[0]) + (1 - F.col("alpha")) * base
+        return F.struct(
+            level.alias("level"),
+            (F.col("beta") * (level - state["level"]) + (1 - F.col("beta")) * damped).alias("trend"),
+            F.concat(
+                F.slice(season, 2, SEASON - 1), F.array(F.col("gamma") * (row["_v"] - base) + (1 - F.col("gamma")) * season[0])
+            ).alias("season"),
+        )
+
+    joined = states.join(steps, key, "left").withColumn("_new", F.coalesce("_new", F.array().cast("array<struct<_t:bigint,_v:double>>")))
+    n = F.size("_new")
+    until = F.coalesce(F.element_at("_new", F.when(n > 0, -1))["_t"], F.col("last_second"))
+    # a lambda's state must have one type throughout
+    begin = F.struct(F.col("level").cast("double").alias("level"), F.col("trend").cast("double").alias("trend"), F.col("season").cast("array<double>").alias("season"))
+    rolled = joined.withColumns({"_state": F.aggregate("_new", begin, step), "_until": until})
+    whole = F.coalesce(F.col("_until") - F.col("last_second") == n * 3600, F.lit(True))
+    out = {
+        **{c: F.col(f"_state.{c}") for c in ("level", "trend", "season")},
+        "last_second": F.col("_until"), "hours": (F.col("hours") + n).cast("int"), "status": F.when(whole, F.col("status")).otherwise(FAILED),
+    }
+    return rolled.select(*[out.get(c, F.col(c)).alias(c) for c in states.columns])
+
+
+STORED = "version string, fitted_at timestamp"
+
+
+def store_states(states: DataFrame, path: str) -> None:
+    """Keep fitted states in a folder of their own; the last write, one row in ``versions``, makes them the newest."""
+    spark, version = states.sparkSession, uuid.uuid4().hex
+    states.write.parquet(f"{path}/{version}/states")
+    row = spark.createDataFrame([(version,)], "version string").withColumn("fitted_at", F.current_timestamp())
+    row.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+
+
+def stored_states(spark: SparkSession, path: str, max_age_days: float) -> DataFrame | None:
+    """The newest stored states, unless they are older than ``max_age_days``."""
+    try:
+        versions = spark.read.schema(STORED).parquet(f"{path}/versions")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    age = (F.unix_micros(F.current_timestamp()) - F.unix_micros("fitted_at")) / 86_400_000_000
+    newest = versions.withColumn("age", age).orderBy(F.desc("fitted_at"), "version").first()
+    return spark.read.parquet(f"{path}/{newest['version']}/states") if newest and newest["age"] <= max_age_days else None
+
+
+def current_states(
+    series: DataFrame, path: str | None, top_n: int = 20, max_age_days: float = 7, key: str = "service_name", bucket: str = "time_bucket"
+) -> DataFrame:
+    """States of the ``top_n`` busiest services at the end of ``series``.
+
+    Stored ones that are young enough, and that the series still follows without a gap, are rolled forward; only services
+    without such states are fitted. A run in which all are fitted is stored.
+    """
+    held = stored_states(series.sparkSession, path, max_age_days) if path else None
+    if held is None:
+        states = materialize(fit_forecasts(series, top_n), "states")
+        if path:
+            store_states(states, path)
+        return states
+    chosen = materialize(busiest(series, top_n, key).select(key), "busiest")
+    first = series.agg(F.min(F.unix_seconds(bucket))).scalar()
+    usable = held.join(chosen, key, "left_semi").where((F.col("status") == FITTED) & (F.col("last_second") + 3600 >= first))
+    rolled = materialize(roll_forward(usable, series, key, bucket).where(F.col("status") == FITTED), "rolled")
+    rest = series.join(rolled.select(key), key, "left_anti").join(chosen, key, "left_semi")
+    return rolled.unionByName(materialize(fit_forecasts(rest, top_n), "states"))
+
+
 def _first_largest(row: Column, value: str, time: str = "time_bucket") -> Column:
     """``row`` where ``value`` is largest, the earliest of ties."""
     return F.max_by(row, F.struct(F.col(value), -F.unix_micros(time)))

@@ -122,11 +122,7 @@ zs AS (
 windows AS (
   SELECT service_name, time_bucket, request_count, error_rate, latency_p50, latency_p95,
     round_even(z, 4) AS anomaly_score, round_even(z, 4) > 3.0 AS is_anomaly
-  FROM zs WHERE n >= 24),
-forecasts AS (
-  SELECT service_name, time_bucket + INTERVAL 24 HOUR AS time_bucket, request_count * 1.0e0 AS forecast,
-    greatest(request_count * 0.8e0, 0) AS lower_bound, request_count * 1.2e0 + 0.5e0 AS upper_bound
-  FROM grid WHERE time_bucket > (SELECT max(time_bucket) FROM grid) - INTERVAL 24 HOUR)"""
+  FROM zs WHERE n >= 24)"""
 )
 
 BOTH = FEATURES + SERIES[len(RAW) :]
@@ -237,7 +233,27 @@ SERIES_COLUMNS = """service_name, time_bucket, request_count, round(error_rate,
   round(latency_p50, 6) AS latency_p50, round(latency_p95, 6) AS latency_p95,
   round(bytes_total, 6) AS bytes_total, unique_users"""
 
-PEAKS = """,
+# models of fixed parameters, started on the first day and moved on hour by hour
+ROLLED = """,
+numbered AS (
+  SELECT service_name, time_bucket, request_count * 1e0 AS y, row_number() OVER (PARTITION BY service_name ORDER BY time_bucket) AS k FROM grid),
+day_one AS (SELECT service_name, avg(y) AS level, list(y ORDER BY k) AS ys FROM numbered WHERE k <= 24 GROUP BY ALL),
+rolled AS (
+  SELECT service_name, CAST(24 AS BIGINT) AS k, level, 0e0 AS trend, list_transform(ys, lambda y: y - level) AS season FROM day_one
+  UNION ALL
+  SELECT r.service_name, n.k, 0.3e0 * (n.y - r.season[1]) + 0.7e0 * (r.level + 0.9e0 * r.trend),
+    0.05e0 * (0.3e0 * (n.y - r.season[1]) + 0.7e0 * (r.level + 0.9e0 * r.trend) - r.level) + 0.95e0 * 0.9e0 * r.trend,
+    list_append(r.season[2:], 0.2e0 * (n.y - (r.level + 0.9e0 * r.trend)) + 0.8e0 * r.season[1])
+  FROM rolled r JOIN numbered n ON n.service_name = r.service_name AND n.k = r.k + 1),
+ends AS (SELECT service_name, max(k) AS k FROM rolled GROUP BY ALL),
+ahead AS (
+  SELECT r.service_name, step, greatest(level + 0.9e0 * (1 - pow(0.9e0, step)) / 0.1e0 * trend + season[step], 0) AS m
+  FROM rolled r JOIN ends USING (service_name, k) CROSS JOIN range(1, 25) t(step)),
+forecasts AS (
+  SELECT service_name, (SELECT max(time_bucket) FROM grid) + to_hours(CAST(step AS INTEGER)) AS time_bucket, round_even(m, 2) AS forecast,
+    round_even(greatest(m - 3.92e0, 0), 2) AS lower_bound, round_even(m + 3.92e0, 2) AS upper_bound FROM ahead)"""
+
+PEAKS = ROLLED + """,
 upper_peaks AS (SELECT service_name, max(upper_bound) AS peak_upper,
   arg_min(time_bucket, struct_pack(u := -upper_bound, t := time_bucket)) AS peak_time
   FROM forecasts GROUP BY service_name)"""
@@ -261,7 +277,7 @@ shares AS (
   FROM calendar GROUP BY service_name)"""
 
 COST = (
-    f"WITH {BOTH}{WEEKEND}{PEAKS},\n"
+    f"WITH RECURSIVE {BOTH}{WEEKEND}{PEAKS},\n"
     "idle AS (SELECT * FROM features WHERE requests_per_hour < 1.0),\n"
     "flat AS (SELECT * FROM features WHERE peak_to_avg_ratio < 3.5 AND requests_per_hour < 100),\n"
     "spot AS (SELECT * FROM shares WHERE weekend_share < 0.27\n"
@@ -463,18 +479,20 @@ SELECT service_name, endpoint, request_count, round(get_share, 6) AS get_share,
   round(latency_variation, 6) AS latency_variation FROM g
 WHERE request_count >= 10 AND get_share >= 0.6 AND ok_share >= 0.8 AND latency_variation <= 2""",
     "cost_insights": COST,
-    # capacity, on a forecast that repeats the last day
+    # capacity
     "busiest_services": f"""WITH {RAW}
 SELECT service_name, count(*) AS total FROM logs GROUP BY service_name ORDER BY total DESC, service_name LIMIT 5""",
-    "forecast_peaks": f"""WITH {SERIES}
+    "forecast_rolled_forward": f"""WITH RECURSIVE {SERIES}{ROLLED}
+SELECT * FROM forecasts""",
+    "forecast_peaks": f"""WITH RECURSIVE {SERIES}{ROLLED}
 SELECT service_name, arg_min(time_bucket, struct_pack(u := -forecast, t := time_bucket)) AS peak_time,
   round_even(max(forecast), 1) AS peak_forecast,
   round_even(arg_min(upper_bound, struct_pack(u := -forecast, t := time_bucket)), 1) AS peak_upper_bound
 FROM forecasts GROUP BY service_name""",
-    "forecast_peak_windows": f"""WITH {SERIES}{PEAKS}
+    "forecast_peak_windows": f"""WITH RECURSIVE {SERIES}{PEAKS}
 SELECT service_name, peak_time, round_even(peak_upper, 1) AS peak_rph_upper FROM upper_peaks
 ORDER BY round_even(peak_upper, 1) DESC, service_name LIMIT 20""",
-    "capacity_headroom": f"""WITH {BOTH}{PEAKS},
+    "capacity_headroom": f"""WITH RECURSIVE {BOTH}{PEAKS},
 c AS (SELECT u.service_name, peak_upper AS peak,
   coalesce(CASE WHEN f.error_rate <= 0.2 THEN f.requests_per_hour * 8 END, peak_upper * 1.5) AS current
   FROM upper_peaks u JOIN features f USING (service_name)),
@@ -483,7 +501,7 @@ SELECT service_name, round_even(peak, 1) AS peak_forecast_upper, round_even(curr
   round_even(room, 1) AS headroom_pct,
   CASE WHEN room < 10 THEN 'under_provisioned' WHEN room > 50 THEN 'over_provisioned'
     ELSE 'well_provisioned' END AS status FROM r""",
-    "scale_recommendations": f"""WITH {BOTH}{PEAKS},
+    "scale_recommendations": f"""WITH RECURSIVE {BOTH}{PEAKS},
 s AS (SELECT u.service_name, f.requests_per_hour AS rph, peak_upper, peak_time,
   CASE WHEN f.requests_per_hour > 0 THEN peak_upper / f.requests_per_hour ELSE 1.0 END AS factor
   FROM upper_peaks u JOIN features f USING (service_name))
@@ -493,7 +511,7 @@ SELECT service_name AS service, round_even(rph, 1) AS current_avg_rph,
   'Pre-scale by ' || printf('%.1f', factor) || '× before forecasted peak at '
     || strftime(peak_time, '%Y-%m-%d %H:%M:%S') || '+00:00' AS action
 FROM s WHERE factor > 1.3""",
-    "preemptive_scaling": f"""WITH {BOTH}{PEAKS}
+    "preemptive_scaling": f"""WITH RECURSIVE {BOTH}{PEAKS}
 SELECT u.service_name, round(peak_upper, 6) AS peak_upper, round(requests_per_hour, 6) AS requests_per_hour
 FROM upper_peaks u JOIN features f USING (service_name)
 WHERE requests_per_hour > 0 AND peak_upper > requests_per_hour * 2.5""",

@@ -116,22 +116,11 @@ def _tiers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _repeat_last_day(counts: DataFrame) -> DataFrame:
-    """A forecast-shaped table: the last 24 hours of the grid, a day later, with a fixed band."""
+def _forecasts(counts: DataFrame) -> DataFrame:
+    """The next day by models with fixed parameters, started on the first day and rolled over all hours since."""
     grid = materialize(fe.dense_grid(counts), "grid")
-    last = grid.agg(F.max("time_bucket")).scalar()
-    n = F.col("request_count")
-    return (
-        grid.withColumn("_last", last)
-        .where(F.col("time_bucket") > F.col("_last") - F.expr("INTERVAL 24 HOURS"))
-        .select(
-            "service_name",
-            (F.col("time_bucket") + F.expr("INTERVAL 24 HOURS")).alias("time_bucket"),
-            (n * 1.0).cast("double").alias("forecast"),
-            F.greatest(n.cast("double") * 0.8, F.lit(0.0)).alias("lower_bound"),
-            (n.cast("double") * 1.2 + 0.5).alias("upper_bound"),
-        )
-    )
+    start = fc.start_states(grid, alpha=0.3, beta=0.05, gamma=0.2, phi=0.9, resid_std=2.0)
+    return materialize(fc.forecast(fc.roll_forward(start, grid)), "forecasts")
 
 
 def _store(spark: SparkSession, folder: str, table: DataFrame, time: str = "timestamp") -> str:
@@ -568,7 +557,7 @@ def cacheable_endpoints(spark, folder):
 def cost_insights(spark, folder):
     features, counts = _features_and_counts(spark, folder)
     rules = rp.CostRules(flat_ratio=3.5, spot_share=0.27, reuse_rph=0.05, retire_requests=100_000)
-    return rp.cost_insights(features, fe.calendar_features(counts), _repeat_last_day(counts), rules)
+    return rp.cost_insights(features, fe.calendar_features(counts), _forecasts(counts), rules)
 
 
 # ---------------------------------------------------------------- forecasts and capacity
@@ -757,14 +746,20 @@ def approx_features_error(spark, folder):
     return both.select("service_name", F.col("e.total_requests").alias("total_requests"), users.alias("users_close"), low.alias("median_close"))
 
 
+@query
+def forecast_rolled_forward(spark, folder):
+    """Stored states, rolled over the hours that came after them, and the forecast from there."""
+    return _forecasts(_counts(spark, folder))
+
+
 @query
 def forecast_peaks(spark, folder):
-    return fc.peak_windows(_repeat_last_day(_counts(spark, folder)))
+    return fc.peak_windows(_forecasts(_counts(spark, folder)))
 
 
 @query
 def forecast_peak_windows(spark, folder):
-    return rp.forecast_peak_windows(_repeat_last_day(_counts(spark, folder)))
+    return rp.forecast_peak_windows(_forecasts(_counts(spark, folder)))
 
 
 @query
@@ -773,19 +768,19 @@ def capacity_headroom(spark, folder):
     capacity = features.where(F.col("error_rate") <= 0.2).select(
         "service_name", (F.col("requests_per_hour") * 8).alias("capacity")
     )
-    return fc.capacity_headroom(_repeat_last_day(counts), capacity)
+    return fc.capacity_headroom(_forecasts(counts), capacity)
 
 
 @query
 def scale_recommendations(spark, folder):
     features, counts = _features_and_counts(spark, folder)
-    return rp.scale_recommendations(_repeat_last_day(counts), features)
+    return rp.scale_recommendations(_forecasts(counts), features)
 
 
 @query
 def preemptive_scaling(spark, folder):
     features, counts = _features_and_counts(spark, folder)
-    found = rp.preemptive_scaling(_repeat_last_day(counts), features)
+    found = rp.preemptive_scaling(_forecasts(counts), features)
     return found.select("service_name", "peak_upper", "requests_per_hour")
 
 

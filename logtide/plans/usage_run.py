@@ -20,7 +20,7 @@ from logtide.operators.clusters import (
     silhouette,
 )
 from logtide.operators.features import calendar_features, dense_grid, growth_rates, hourly_traffic, service_features
-from logtide.operators.forecast import fit_forecasts, forecast
+from logtide.operators.forecast import current_states, forecast
 from logtide.operators.forest import fit_forest, service_anomalies_iforest, store_forest, stored_forest
 from logtide.operators.normalize import dedupe, downsample, normalize_rows
 from logtide.operators.report import assemble_report
@@ -119,9 +119,8 @@ def analyse(logs: DataFrame, settings: Settings | None = None) -> Analysis:
     hourly = materialize(hourly_traffic(logs), "hourly")
     series = materialize(calendar_features(dense_grid(hourly)), "series")
     clustered = _clusters(features, s)
-    states = materialize(fit_forecasts(series, s.forecast_top_n), "states")
-    if s.save_models_to:
-        states.write.mode("overwrite").parquet(f"{s.save_models_to}/forecasts")
+    kept = f"{s.save_models_to}/forecasts" if s.save_models_to else None
+    states = current_states(series, kept, s.forecast_top_n, s.retrain_interval_days)
     if s.anomaly_method == "isolation_forest":
         anomalies = service_anomalies_iforest(features, s.contamination, forest=_forest(features, s))
     else:

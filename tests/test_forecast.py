@@ -154,3 +154,66 @@ def test_headroom(spark, capacity, headroom, status):
 def test_headroom_without_capacity(spark):
     got = fc.capacity_headroom(forecasts(spark).where("service_name != 'c'")).collect()
     assert {(r.headroom_pct, r.status) for r in got} == {(33.3, "well_provisioned")}
+
+
+def hourly(spark, values, begin=datetime(2024, 3, 1)):
+    rows = [(name, begin + timedelta(hours=h), int(v)) for name, own in values.items() for h, v in enumerate(own)]
+    return spark.createDataFrame(rows, "service_name string, time_bucket timestamp, request_count long").repartition(3)
+
+
+def brute_roll(y, alpha, beta, gamma, phi):
+    """Level, trend and the next 24 seasonal terms, an hour at a time."""
+    level, trend = float(np.mean(y[:24])), 0.0
+    season = {h: y[h] - level for h in range(24)}
+    for t in range(24, len(y)):
+        base, s, before = level + phi * trend, season[t % 24], level
+        level = alpha * (y[t] - s) + (1 - alpha) * base
+        season[t % 24] = gamma * (y[t] - base) + (1 - gamma) * s
+        trend = beta * (level - before) + (1 - beta) * phi * trend
+    return level, trend, [season[t % 24] for t in range(len(y), len(y) + 24)]
+
+
+def test_states_rolled_forward_equal_the_recursion(spark):
+    rng = np.random.default_rng(6)
+    values = {f"s{k}": rng.integers(0, 40, 24 + n) for k, n in enumerate([0, 1, 23, 24, 25, 90])}
+    parameters = {"alpha": 0.3, "beta": 0.1, "gamma": 0.2, "phi": 0.9}
+    series = hourly(spark, values)
+    start = fc.start_states(series, **parameters, resid_std=1.5)
+    got = {r.service_name: r for r in fc.roll_forward(start, series).collect()}
+    for name, y in values.items():
+        level, trend, season = brute_roll(y, **parameters)
+        r = got[name]
+        assert (r.level, r.trend, r.hours, r.status) == (pytest.approx(level), pytest.approx(trend), len(y), "fitted")
+        assert r.season == pytest.approx(season) and r.last_second % 86400 == 3600 * ((len(y) - 1) % 24)
+    # in two steps as in one, and a second time changes nothing
+    half = series.where("time_bucket < '2024-03-02 12:00:00'")
+    twice = fc.roll_forward(fc.roll_forward(start, half), series)
+    again = fc.roll_forward(twice, series)
+    for table in (twice, again):
+        assert {r.service_name: (r.level, r.last_second) for r in table.collect()} == {
+            k: (pytest.approx(r.level), r.last_second) for k, r in got.items()
+        }
+
+
+def test_gaps_and_unfitted_states(spark):
+    series = hourly(spark, {"whole": range(60), "gap": range(60)}).where("service_name = 'whole' OR time_bucket <> '2024-03-02 20:00:00'")
+    rolled = fc.roll_forward(fc.start_states(series, 0.3, 0.1, 0.2, 0.9, 1.0), series)
+    assert {r.service_name: r.status for r in rolled.collect()} == {"whole": fc.FITTED, "gap": fc.FAILED}
+    short = fc.fit_forecasts(hourly(spark, {"few": range(5)}))
+    assert fc.roll_forward(short, series).collect() == short.collect()
+    assert fc.forecast(rolled).select("service_name").distinct().count() == 1
+
+
+def test_stored_states_are_rolled_until_too_old(spark, tmp_path):
+    path = str(tmp_path / "states")
+    day = [10 + 5 * (h % 24 > 8) for h in range(24)]
+    old, new = hourly(spark, {"a": day * 4, "b": day * 4}), hourly(spark, {"a": day * 6, "b": day * 6, "c": [100] * 144})
+    first = fc.current_states(old, path, top_n=2).collect()
+    assert {r.service_name for r in first} == {"a", "b"} and fc.stored_states(spark, path, 7).count() == 2
+    second = {r.service_name: r for r in fc.current_states(new, path, top_n=2).collect()}
+    assert set(second) == {"a", "c"}  # the busiest two now: one rolled forward, one fitted
+    fitted = {r.service_name: r for r in first}["a"]
+    assert (second["a"].alpha, second["a"].phi) == (fitted.alpha, fitted.phi) and second["a"].last_second == fitted.last_second + 48 * 3600
+    assert fc.stored_states(spark, path, -1) is None and fc.stored_states(spark, str(tmp_path / "none"), 7) is None
+    later = hourly(spark, {"a": day * 3}, datetime(2024, 5, 1))  # a gap since the stored hours: a fit
+    assert fc.current_states(later, path, top_n=1).first().hours == 72

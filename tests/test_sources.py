@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logtide import scratch
-from logtide.operators.forecast import MIN_HOURS
+from logtide.operators.forecast import MIN_HOURS, stored_states
 from logtide.plans.usage_run import Settings, run
 from logtide.sinks import writers
 from logtide.sources import access_logs as src
@@ -196,7 +196,7 @@ def test_a_whole_run(spark, tmp_path):
     assert sum(c["service_count"] for c in report["traffic_summary"]["cluster_breakdown"]) == 12
     assert set(report) == {"metadata", "traffic_summary", "anomaly_alerts", "capacity_plan", "cost_optimization"}
     assert src.last_run_date(spark, state) == "2024-02-02"
-    assert spark.read.parquet(f"{settings.save_models_to}/forecasts").count() == 2
+    assert stored_states(spark, f"{settings.save_models_to}/forecasts", 7).count() == 2
     assert done["rows"] == {"input_rows": 864, "dropped_rows": 0, "duplicate_rows": 0} and -1 <= done["silhouette"] <= 1
     # nothing since the last day of that run: the state stays
     assert run(spark, state, reports, today=date(2024, 2, 3), **args)["status"] == "no_new_data"
