@@ -14,6 +14,8 @@ the like only become candidates, as such names also stand on wrappers of whole p
 * is around the ``article`` or ``main`` element with the most text of its own, or
 * holds (inside that element, if there is one) a greater density sum than all that is no candidate. Comments, adverts and
   consent notices, which can be longer than the article, must be all the text there is.
+* is inside that element, has a name that is no part's of its own (``share-price``, ``related-work``), and half of its text at
+  least is in no link.
 
 The other candidates go, also those inside one that stays.
 
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -36,15 +38,18 @@ from pyspark.sql import functions as F
 from logtide.llm.words import slices
 
 RAW = r"script|style|textarea|title|noscript|template|iframe|noframes|svg|math"
+#: Up to the end of a tag; a new tag's "<" ends it too, so that no broken tag makes the search go on to the end of the page.
+REST = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 TOKEN = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})(?P<rawattrs>(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
-    r"|<[!?/][^>]*>",
+    r"<!--(?:-?>|(?P<comment>.*?)(?:--!?>|\Z))"
+    rf"|<(?P<empty>svg|math)(?=[\s/>]){REST}(?<=/)>"
+    rf"|<(?P<raw>{RAW})(?P<rawattrs>(?=[\s/>]){REST})>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attrs>{REST})>"
+    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/<>]*)(?P<attrs2>[^<>]*)>"
+    r"|<[!?/][^<>]*>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|aria-label|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 #: Fixed values of HTML: elements without content, blocks, and what an opening tag closes.
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -77,7 +82,16 @@ APART = re.compile(
     r"(?:[_-](?:area|banner|bar|box|consent|form|list|message|notice|popup|section|thread))*(?:$|\s)",
     re.I,
 )
-STAYS, CANDIDATE, LAST, GOES = range(4)
+#: Whole names of parts that are no article text either where they stand inside the article; of others its links decide.
+PARTS = re.compile(
+    r"(?:^|\s)(?:side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|site-?header|page-?header|masthead|popup|modal|overlay|widget"
+    r"|toolbar|pagination|pager|skip-?link|complementary|contentinfo)(?:$|\s)",
+    re.I,
+)
+#: Elements that may stand in the head, which anything else ends.
+IN_HEAD = set("base basefont bgsound link meta noscript script style template title".split())
+BARRIER = ("td", "th", "article", "main", "section", "div", "table")
+STAYS, NAMED, CANDIDATE, LAST, GOES = range(5)
 
 
 def _verdict(tag: str, attrs: str, inside_article: bool) -> int:
@@ -91,63 +105,110 @@ def _verdict(tag: str, attrs: str, inside_article: bool) -> int:
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return GOES
         if name in ("class", "id", "role") and BOILERPLATE.search(value):
-            found = max(found, LAST if APART.search(value) else CANDIDATE)
+            found = max(found, LAST if APART.search(value) else CANDIDATE if PARTS.search(value) else NAMED)
         if name == "role" and value.lower() in ("banner", "navigation", "search", "form", "alert", "dialog"):
             found = max(found, CANDIDATE)
     return found
 
 
+class Open:
+    """The open elements, with the places of each tag, so that finding one takes no walk."""
+
+    def __init__(self):
+        self.nodes, self.tags = [0], ["body"]
+        self.at: dict[str, list[int]] = {}
+
+    def __len__(self) -> int:
+        return len(self.nodes)
+
+    def push(self, node: int, tag: str) -> None:
+        self.at.setdefault(tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self.tags.append(tag)
+
+    def cut(self, depth: int) -> None:
+        while len(self.nodes) > depth:
+            self.nodes.pop()
+            self.at[self.tags.pop()].pop()
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The depth of the innermost open element with one of these tags, or 0."""
+        return max((own[-1] for tag in tags if (own := self.at.get(tag))), default=0)
+
+    def close(self, tag: str) -> None:
+        """A stray closing tag of an inline element closes no block around it."""
+        k = self.last((tag,))
+        if k and (tag in BLOCK or k > self.last(BARRIER)):
+            self.cut(k)
+
+    def imply(self, tags: set[str], stop: set[str]) -> None:
+        """Close the innermost of ``tags``, unless one of ``stop`` is nearer."""
+        k = self.last(tags)
+        if k and k > self.last(stop):
+            self.cut(k)
+
+
 class Page:
     """Nodes in page order: parent, tag, own texts; texts also know the block they are in."""
 
     def __init__(self, html: str):
         self.tag, self.parent = ["body"], [-1]
-        self.marks: dict[int, int] = {}  # candidates that are still open: CANDIDATE or LAST
+        self.marks: dict[int, int] = {}  # candidates that are still open: NAMED, CANDIDATE or LAST
         self.texts: list[tuple[int, int, str]] = []  # node, block, text
         self.block = 0
-        stack, skip, at = [0], None, 0  # skip: depth of the stack at which an element left out began
-        in_article = 0
+        stack, skip, at = Open(), None, 0  # skip: depth of the stack at which an element left out began
         for token in TOKEN.finditer(html):
-            if skip is None and token.start() > at:
-                self._text(stack[-1], html[at : token.start()])
+            if token.start() > at:
+                skip = self._head_ends(stack, skip, html[at : token.start()])
+                if skip is None:
+                    self._text(stack.nodes[-1], html[at : token.start()])
             at = token.end()
-            raw = token["raw"]
-            tag, close, attrs = raw or token["tag"] or token["tag2"], token["close"] or token["close2"], token["rawattrs"] or token["attrs"] or token["attrs2"]
-            if not tag or raw and raw.lower() not in ("textarea",) or raw:
+            tag, close, attrs = token["tag"] or token["tag2"], token["close"] or token["close2"], token["attrs"] or token["attrs2"]
+            if not tag:
                 continue
             tag = tag.lower()
+            if not close and tag not in IN_HEAD:
+                skip = self._head_ends(stack, skip, tag)
             if tag in BLOCK:
                 self.block += 1
             if close:
-                self._close(stack, tag)
+                stack.close(tag)
             elif tag in ("html", "body"):
                 continue
             elif tag in VOID:
                 if skip is None:
-                    self._node(tag, stack[-1])
+                    self._node(tag, stack.nodes[-1])
                 continue
             else:
                 if tag in CLOSE_P:
-                    self._imply(stack, {"p"}, P_SCOPE)
+                    stack.imply({"p"}, P_SCOPE)
                 if tag in CLOSES:
-                    self._imply(stack, *CLOSES[tag])
+                    stack.imply(*CLOSES[tag])
                 if skip is not None and len(stack) < skip:
                     skip = None
-                in_article = sum(self.tag[k] in ("article", "main") for k in stack)
-                stack.append(self._node(tag, stack[-1]))
-                verdict = STAYS if skip is not None else _verdict(tag, attrs, in_article > 0)
+                in_article = bool(stack.last(("article", "main")))
+                stack.push(self._node(tag, stack.nodes[-1]), tag)
+                verdict = STAYS if skip is not None else _verdict(tag, attrs, in_article)
                 if verdict == GOES:
                     skip = len(stack)
                 elif verdict:
-                    self.marks[stack[-1]] = verdict
+                    self.marks[stack.nodes[-1]] = verdict
             if skip is not None and len(stack) < skip:
                 skip = None
-        if skip is None and at < len(html):
-            self._text(stack[-1], html[at:])
-        self.gone = self._within(CANDIDATE) if self.marks else [False] * len(self.tag)
+        if at < len(html) and self._head_ends(stack, skip, html[at:]) is None:
+            self._text(stack.nodes[-1], html[at:])
+        self.gone = self._within(NAMED) if self.marks else [False] * len(self.tag)
         if self.marks:
             self._spare()
 
+    @staticmethod
+    def _head_ends(stack: Open, skip: int | None, what: str) -> int | None:
+        """Text, or an element that no head can hold, ends a head whose closing tag is missing; what is still left out then."""
+        if stack.tags[-1] != "head" or not what.strip():
+            return skip
+        stack.cut(len(stack) - 1)
+        return None if skip is not None and len(stack) < skip else skip
+
     def _within(self, least: int) -> list[bool]:
         """Nodes in candidates of at least this kind."""
         gone = [False] * len(self.tag)
@@ -186,8 +247,13 @@ class Page:
         inside = [root == 0] * len(self.tag)
         for k in range(max(root, 1), len(inside)):
             inside[k] = inside[k] or k == root or inside[self.parent[k]]
+        if root:
+            chars, _, link_chars, _ = self._counts([False] * len(self.tag))
+            for k in [k for k, kind in self.marks.items() if kind == NAMED and inside[k]]:
+                if 2 * link_chars[k] < chars[k]:  # a name alone takes nothing out of the article
+                    del self.marks[k]
         while True:
-            self.gone = self._within(CANDIDATE)
+            self.gone = self._within(NAMED)
             if not any(inside[k] for k in self.marks):
                 return
 
@@ -212,25 +278,24 @@ class Page:
     def _text(self, node: int, text: str) -> None:
         self.texts.append((node, self.block, unescape(text)))
 
-    def _close(self, stack: list[int], tag: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == tag:
-                del stack[k:]
-                return
-            if tag not in BLOCK and self.tag[stack[k]] in ("td", "th", "article", "main", "section", "div", "table"):
-                return  # a stray closing tag of an inline element closes no block around it
-
-    def _imply(self, stack: list[int], tags: set[str], stop: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] in tags:
-                del stack[k:]
-                return
-            if self.tag[stack[k]] in stop:
-                return
-
     def densities(self, gone: list[bool]) -> tuple[list[float], list[float]]:
         """Composite text density of each node, and the sum over its children, without the text of nodes that are gone."""
         n = len(self.tag)
+        chars, tags, link_chars, link_tags = self._counts(gone)
+        ratio = link_chars[0] / max(chars[0], 1)
+        density, total = [0.0] * n, [0.0] * n
+        for k in range(n - 1, -1, -1):
+            if chars[k]:
+                base = math.log(chars[k] / max(chars[k] - link_chars[k], 1) * link_chars[k] + ratio * chars[k] + math.e)
+                value = chars[k] / max(link_chars[k], 1) * max(tags[k], 1) / max(link_tags[k], 1)
+                density[k] = chars[k] / max(tags[k], 1) * max(math.log(value), 0) / base
+            if k:
+                total[self.parent[k]] += density[k]
+        return density, total
+
+    def _counts(self, gone: list[bool]) -> tuple[list[int], list[int], list[int], list[int]]:
+        """Characters and tags of each subtree, all and those in links."""
+        n = len(self.tag)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         in_link = [False] * n
         for k in range(1, n):
@@ -246,16 +311,7 @@ class Page:
             counts = not (gone[k] and self.tag[k] in VOID)
             tags[up] += tags[k] + counts
             link_tags[up] += link_tags[k] + (in_link[k] and counts)
-        ratio = link_chars[0] / max(chars[0], 1)
-        density, total = [0.0] * n, [0.0] * n
-        for k in range(n - 1, -1, -1):
-            if chars[k]:
-                base = math.log(chars[k] / max(chars[k] - link_chars[k], 1) * link_chars[k] + ratio * chars[k] + math.e)
-                value = chars[k] / max(link_chars[k], 1) * max(tags[k], 1) / max(link_tags[k], 1)
-                density[k] = chars[k] / max(tags[k], 1) * max(math.log(value), 0) / base
-            if k:
-                total[self.parent[k]] += density[k]
-        return density, total
+        return chars, tags, link_chars, link_tags
 
     def main_text(self) -> str:
         self.texts = [t for t in self.texts if not self.gone[t[0]]]
@@ -266,7 +322,12 @@ class Page:
         end = list(range(1, n + 1))  # nodes are in page order: a subtree is a range
         for k in range(n - 1, 0, -1):
             end[self.parent[k]] = max(end[self.parent[k]], end[k])
-        best = max(range(n), key=lambda k: (total[k], -k))
+        top = list(range(n))  # the node of the greatest sum in each subtree, the first of equal ones
+        for k in range(n - 1, 0, -1):
+            up = self.parent[k]
+            if (total[top[k]], -top[k]) > (total[top[up]], -top[up]):
+                top[up] = top[k]
+        best = top[0]
         path, k = [], best
         while k >= 0:
             path.append(density[k])
@@ -274,16 +335,14 @@ class Page:
         least = min(path)
         content = [False] * n
 
+        outermost = [0] * n  # the outermost article or main element around each node
+        for k in range(1, n):
+            outermost[k] = outermost[self.parent[k]] or (k if self.tag[k] in ("article", "main") else 0)
+
         def mark(root: int) -> None:
-            k = root
-            while k > 0 and self.tag[k] not in ("article", "main"):
-                k = self.parent[k]
-            if k > 0:  # the outermost article around it
-                root, up = k, self.parent[k]
-                while up > 0:
-                    root = up if self.tag[up] in ("article", "main") else root
-                    up = self.parent[up]
-            content[root : end[root]] = [True] * (end[root] - root)
+            root = outermost[root] or root
+            if not content[root]:
+                content[root : end[root]] = [True] * (end[root] - root)
 
         mark(best)
         around, k = set(), best
@@ -298,8 +357,7 @@ class Page:
             if content[k] or density[k] < least or not density[k]:
                 k = end[k] if not content[k] else k + 1
                 continue
-            top = max(range(k, end[k]), key=lambda j: (total[j], -j))
-            mark(top if total[top] > 0 else k)
+            mark(top[k] if total[top[k]] > 0 else k)
             k += 1
         blocks: dict[int, list[str]] = {}
         for node, block, text in self.texts:
