@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from logtide.functions.text import hash_below, normalize_endpoint, strip_space
 from logtide.functions.times import to_instant
+from logtide.operators.numbering import numbered
 
 # The canonical record and the vendor names of its fields.
 CANONICAL = [
@@ -235,6 +236,43 @@ def downsample(
     return logs.where(hash_below(rate, F.lit(str(seed)), *parts))
 
 
+SLOT_BITS = 16
+
+
+def downsample_exact(
+    logs: DataFrame, rate: float = 1.0, seed: int = 42, keys: list[str] | None = None
+) -> DataFrame:
+    """Keep exactly ``round(rate * n)`` rows, those whose key has the least hash; 1 or more keeps all.
+
+    The last kept hash is found by counting: rows by the first 16 bits, then those of one slot by the next 16, then the
+    few hashes that share these. So nothing is sorted, and the rows are filtered once. Rows of one key share a
+    hash; where the cut goes through them, which of them stay is not defined. ``logs`` is read four times: pass a stored table.
+    """
+    if rate >= 1.0:
+        return logs
+    parts = [
+        F.unix_micros(c).cast("string") if logs.schema[k].dataType == T.TimestampType() else c.cast("string")
+        for k in (keys or DEDUPE_KEYS)
+        for c in [F.col(k)]
+    ]
+    hashed = logs.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)))
+    digits, left, prefix = SLOT_BITS // 4, round(max(rate, 0.0) * logs.count()), ""
+    if not left:
+        return logs.limit(0)
+    inside = hashed
+    for length in (digits, 2 * digits, 32):
+        slot = F.substring("_h", 1, length)
+        counts = sorted(tuple(r) for r in inside.where(F.startswith("_h", F.lit(prefix))).groupBy(slot).agg(F.count(F.lit(1))).collect())
+        for prefix, n in counts:  # at most 65,536 slots, or the hashes that agree in 32 bits
+            if n >= left:
+                break
+            left -= n
+    below, last = hashed.where(F.col("_h") < prefix), hashed.where(F.col("_h") == prefix)
+    if n > left:
+        last = numbered(last, "_place").where(F.col("_place") < left).drop("_place")
+    return below.unionByName(last).drop("_h")
+
+
 def to_canonical(raw: DataFrame, time_unit: str = "ns") -> DataFrame:
     """Mapping, defaults and types: a projection."""
     return coerce_types(add_missing(check_required(map_columns(raw))), time_unit)

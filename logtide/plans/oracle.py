@@ -337,6 +337,10 @@ SELECT page_id, regexp_replace(regexp_replace(split_part(url, '?', 1),
 SELECT {LOG_COLUMNS} FROM logs
 WHERE substr(md5('42|' || CAST(epoch_us("timestamp") AS VARCHAR) || '|' || service_name || '|' || endpoint
   || '|' || instance_id), 1, 8) < '40000000'""",
+    "downsample_exact": f"""WITH {RAW}
+SELECT * EXCLUDE (k, n) FROM (
+  SELECT {LOG_COLUMNS}, count(*) OVER () AS n, row_number() OVER (ORDER BY md5('42|' || CAST(epoch_us("timestamp") AS VARCHAR) || '|'
+    || service_name || '|' || endpoint || '|' || instance_id)) AS k FROM logs) WHERE k <= round_even(0.25e0 * n, 0)""",
     # sources
     "scan_date_range": f"""WITH {RAW} SELECT {LOG_COLUMNS} FROM logs
 WHERE CAST("timestamp" AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-15'""",
@@ -419,6 +423,10 @@ ORDER BY growth_rate_pct, service_name LIMIT 10""",
     "standardized_features": f"""WITH {FEATURES}, {_z(CLUSTER_COLUMNS, "features")}
 SELECT id AS service_name, {", ".join(f"round(x{i}, 6) AS z_{c}" for i, c in enumerate(CLUSTER_COLUMNS))}
 FROM pts""",
+    "window_anomalies_incremental": f"""WITH {SERIES}
+SELECT service_name, time_bucket, request_count, round(error_rate, 6) AS error_rate, round(latency_p50, 6) AS latency_p50,
+  round(latency_p95, 6) AS latency_p95, anomaly_score, is_anomaly FROM windows
+WHERE CAST(time_bucket AS DATE) = (SELECT CAST(max(time_bucket) AS DATE) FROM windows)""",
     "window_anomalies": f"""WITH {SERIES}
 SELECT service_name, time_bucket, anomaly_score, is_anomaly FROM windows""",
     "top_window_anomalies": f"""WITH {SERIES}

@@ -21,6 +21,7 @@ from logtide.operators import report as rp
 from logtide.operators.dbscan import dbscan
 from logtide.operators.lloyd import best_runs, fit_runs, nearest
 from logtide.operators.percentiles import exact_percentiles
+from logtide.operators.running import new_window_anomalies, store_days
 from logtide.operators.scaling import standardize
 from logtide.plans.oracle import ORACLE
 from logtide.plans.usage_run import Settings, analyse, report_of
@@ -172,6 +173,11 @@ def downsample_logs(spark, folder):
     return no.downsample(_normalized(spark, folder).select(*LOG_COLUMNS), 0.25)
 
 
+@query
+def downsample_exact(spark, folder):
+    return no.downsample_exact(_logs(spark, folder), 0.25)
+
+
 @query
 def convert_json_logs(spark, folder):
     raw, path = raw_access_logs(spark, folder), scratch_path(spark, "raw-json")
@@ -430,6 +436,16 @@ def window_alerts(spark, folder):
     return rp.window_alerts(_scored_windows(spark, folder))
 
 
+@query
+def window_anomalies_incremental(spark, folder):
+    """Scores of the last day from stored moments of the days before."""
+    hourly, store = _hourly(spark, folder), scratch_path(spark, "moments")
+    last = hourly.agg(F.max(F.to_date("time_bucket"))).scalar()
+    marked = hourly.withColumn("_last", last)
+    store_days(marked.where(F.to_date("time_bucket") < F.col("_last")), store)
+    return new_window_anomalies(marked.where(F.to_date("time_bucket") == F.col("_last")).drop("_last"), store)
+
+
 @query
 def service_anomalies_zscore(spark, folder):
     scored = an.service_anomalies_zscore(_features(spark, folder))

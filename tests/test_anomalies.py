@@ -2,9 +2,12 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logtide.operators import anomalies as an
 from logtide.operators import forest as fo
+from logtide.operators.features import dense_grid
+from logtide.operators.running import new_window_anomalies, store_days
 from logtide.operators.scaling import scale_scores
 
 T0 = datetime(2024, 1, 1)
@@ -132,3 +135,23 @@ def test_each_tree_scales_by_its_own_rows(spark):
 def test_the_least_number_of_rows_is_an_argument(spark):
     few = services(spark, [[1, 1, 1, 1]] * 4 + [[99, 99, 99, 99]])
     assert max(r.anomaly_score for r in fo.service_anomalies_iforest(few, min_rows=5).collect()) == 1.0
+
+
+def test_new_hours_score_as_in_the_whole_series(spark, tmp_path):
+    rng, rows = np.random.default_rng(5), []
+    for s, begin in (("a", 0), ("b", 0), ("late", 50)):  # one service comes later
+        for h in range(begin, 96):
+            if rng.random() < 0.7 or h in (0, 95):
+                rows.append((s, datetime(2024, 1, 1) + timedelta(hours=h), int(rng.integers(1, 50)) + 300 * (h == 90), float(rng.random()), None if h % 5 == 0 else float(rng.random()), 5.0))
+    hourly = spark.createDataFrame(rows, "service_name string, time_bucket timestamp, request_count long, error_rate double, latency_p50 double, latency_p95 double")
+    store, day = str(tmp_path / "moments"), F.to_date("time_bucket")
+    for d in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        store_days(hourly.where(day == d), store)
+    store_days(hourly.where(day == "2024-01-02"), store)  # a replay
+    last = hourly.where(day == "2024-01-04")
+    want = an.window_anomalies(dense_grid(hourly)).where(day == "2024-01-04").where(F.col("time_bucket") >= last.agg(F.min("time_bucket")).first()[0])
+    read = lambda df: {(r.service_name, r.time_bucket): (r.request_count, r.anomaly_score, r.is_anomaly) for r in df.collect()}
+    got = read(new_window_anomalies(last, store))
+    assert got == read(want) and any(flag for *_, flag in got.values())
+    assert read(new_window_anomalies(last, store)) == got
+    assert new_window_anomalies(hourly.where(day == "2024-01-01").limit(3), str(tmp_path / "few")).count() == 0

@@ -1,3 +1,4 @@
+import hashlib
 from datetime import datetime
 
 import pytest
@@ -252,3 +253,20 @@ def test_types_of_the_canonical_record(spark):
     assert types["timestamp"] == T.TimestampType() and types["status_code"] == T.IntegerType()
     assert types["latency_ms"] == types["bytes_response"] == T.DoubleType()
     assert types["user_id"] == T.StringType()
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.001, 0.25, 0.5, 0.999, 1.0, 2.0])
+def test_exact_sample_has_its_size_and_follows_the_hash(spark, rate):
+    rows = [(k // 3, f"v{k}") for k in range(600)]  # three rows of each key
+    df = spark.createDataFrame(rows, "k long, v string")
+    got = [tuple(r) for r in no.downsample_exact(df.repartition(5), rate, keys=["k"]).collect()]
+    assert len(got) == len(set(got)) == round(min(rate, 1.0) * 600) and set(got) <= set(rows)
+    order = sorted(rows, key=lambda r: hashlib.md5(f"42|{r[0]}".encode()).hexdigest())
+    cut = hashlib.md5(f"42|{order[max(len(got) - 1, 0)][0]}".encode()).hexdigest()
+    assert {r for r in rows if hashlib.md5(f"42|{r[0]}".encode()).hexdigest() < cut} <= set(got) or not got
+
+
+def test_exact_sample_of_one_hot_key(spark):
+    df = spark.range(1000).select(F.lit(7).alias("k"), "id")
+    assert no.downsample_exact(df, 0.3, keys=["k"]).count() == 300
+    assert no.downsample_exact(df.limit(0), 0.3, keys=["k"]).count() == 0
