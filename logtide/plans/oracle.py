@@ -383,6 +383,7 @@ SELECT l_suppkey, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50,
 FROM lineitem GROUP BY l_suppkey""",
     "hourly_traffic": HOURLY,
     "incremental_rollup": HOURLY,
+    "incremental_dedupe": NORMALIZED,
     "rollup_from_counts": f"SELECT * EXCLUDE (unique_users) FROM ({HOURLY})",
     "rollup_from_bitmaps": f"""SELECT service_name, time_bucket, unique_users FROM ({HOURLY})
 UNION ALL SELECT service_name, NULL, unique_users FROM (WITH {FEATURES} SELECT service_name, unique_users FROM features)""",

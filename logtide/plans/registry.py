@@ -29,10 +29,11 @@ from logtide.scratch import materialize, scratch_path
 from logtide.session import use_utc
 from logtide.sinks.writers import convert_raw, write_logs, write_report
 from logtide.sources import access_logs as src
-from logtide.sources.fixtures import customer_features, raw_access_logs
+from logtide.sources.fixtures import COPY_OFFSET, customer_features, raw_access_logs
 from logtide.sources.guarded import ScanLimitExceeded, cached_query, cached_result, guard_scan, scan_size
 from logtide.streaming import ingest as si
 from logtide.streaming import rollup as ro
+from logtide.streaming.once import add_once, read_store
 from logtide.streaming.partials import add_batch, distinct_users, read_partials
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -854,6 +855,19 @@ def _raw_files_by_time(spark: SparkSession, folder: str) -> tuple[str, T.StructT
     return path, raw.schema
 
 
+@query
+def incremental_dedupe(spark, folder):
+    """Three runs that bring repeats of each other's records: the store holds the first of each."""
+    rows = materialize(no.normalize_rows(raw_access_logs(spark, folder)).select(*LOG_COLUMNS), "rows")
+    store, filters = scratch_path(spark, "store"), scratch_path(spark, "filters")
+    half = rows.where(F.col("event_id") < COPY_OFFSET).agg(F.avg("event_id")).scalar()
+    run = F.when(F.col("event_id") >= COPY_OFFSET, 2).when(F.col("event_id") > half, 1).otherwise(0)
+    marked = rows.withColumn("_run", run)
+    for batch in range(3):  # copies come last, as records of other ids at the same time
+        add_once(marked.where(F.col("_run") == batch).drop("_run"), batch, store, filters, order=ORDER)
+    return read_store(spark, store, rows.schema).select(*LOG_COLUMNS)
+
+
 def _partials(spark: SparkSession, folder: str) -> str:
     """A store that got all logs as three batches, so that most hours were brought up to date twice."""
     store, logs = scratch_path(spark, "partials"), _logs(spark, folder)
