@@ -142,7 +142,7 @@ class Phrases:
         self.vocabulary, number = np.unique(hashes, return_inverse=True)
         self.words, self.first = number.astype(np.int64) + 1, found.first
         self.lengths = np.diff(self.first)
-        self.items = sorted({item for _, item in rows})
+        self.items = sorted({item for _, item in rows}, key=lambda i: (i is None, i or ""))
         numbered = {item: k for k, item in enumerate(self.items)}
         pairs = np.array(sorted({(place[t], numbered[i]) for t, i in rows}), np.int64).reshape(-1, 2)
         self.item_of = pairs[:, 1]
@@ -289,9 +289,9 @@ def _windows(window: int):
 
 
 def phrase_blocks(items: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[list[tuple[str, str]]]:
-    """Distinct (phrase, item) rows, at most ``PHRASES`` at a time."""
+    """Distinct (phrase, item) rows, at most ``PHRASES`` at a time; items without an id are one, under null."""
     source = items.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    rows = source.where("_id IS NOT NULL").mapInArrow(_windows(window), "phrase string, item string").distinct()
+    rows = source.mapInArrow(_windows(window), "phrase string, item string").distinct()
     block: list[tuple[str, str]] = []
     for row in rows.sort("phrase", "item").toLocalIterator():
         block.append((row["phrase"], row["item"]))

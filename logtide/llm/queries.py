@@ -178,7 +178,7 @@ FROM d JOIN f USING (payload_digest)
 def op8_warc(spark, folder):
     path = scratch_path(spark, "warc")
     write_warc(table(spark, folder, "pages"), path, least_bytes=0)
-    records, _ = read_warc(spark, path)
+    records, _ = read_warc(spark, path, strict=True)  # a page must not be lost without a word
     return records.select(
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),

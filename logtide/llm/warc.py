@@ -24,6 +24,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,6 +107,10 @@ def write_warc(
     made.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", per_file).text(path)
 
 
+#: The longest header of a record, so that a false version line is not searched for its end far and wide.
+HEADER_BYTES = 1 << 16
+
+
 class Damage(Exception):
     """Why the bytes at a place are no sound record."""
 
@@ -114,9 +119,9 @@ def parse_record(data: bytes, place: int = 0) -> tuple[dict[str, str], bytes, in
     """Header, block and end of the record at ``place``."""
     if not data.startswith(b"WARC/1.", place):
         raise Damage("no version line")
-    end = data.find(b"\r\n\r\n", place)
+    end = data.find(b"\r\n\r\n", place, place + HEADER_BYTES)
     if end < 0:
-        raise Damage("header without end")
+        raise Damage(f"header without end within {HEADER_BYTES} bytes")
     head = {}
     for line in data[place:end].decode("utf-8", "replace").split("\r\n")[1:]:
         key, colon, value = line.partition(":")
@@ -149,6 +154,9 @@ def _member(data: memoryview) -> tuple[bytes, int]:
 def _at(data: bytes, place: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
     """Sound records at ``place`` and where they end."""
     if data[place : place + 3] == b"\x1f\x8b\x08":
+        head = data[place : place + 10]
+        if len(head) == 10 and (head[3] & 0xE0 or head[8] not in (0, 2, 4) or 13 < head[9] < 255):
+            raise Damage("gzip: no member has such a header")
         # a member is rarely long: give the inflater a little first
         window = 1 << 16
         while True:
@@ -172,14 +180,18 @@ def _at(data: bytes, place: int) -> tuple[list[tuple[dict[str, str], bytes]], in
 def salvage(data: bytes) -> Iterator[tuple[int, dict[str, str] | None, bytes, int, str]]:
     """(offset, header, block, 0, "") for sound records; (offset, None, b"", length, reason) for gaps."""
     place, gap, reason = 0, None, ""
+    marks = {b"\x1f\x8b\x08": -1, b"WARC/1.": -1}  # the next place of each, found anew only once it is passed
     while place < len(data):
         try:
             found, end = _at(data, place)
         except Damage as problem:
             if gap is None:
                 gap, reason = place, str(problem)
-            nearest = [p for p in (data.find(b"\x1f\x8b\x08", place + 1), data.find(b"WARC/1.", place + 1)) if p >= 0]
-            place = min(nearest, default=len(data))
+            for mark, at in marks.items():
+                if at <= place:
+                    found_at = data.find(mark, place + 1)
+                    marks[mark] = len(data) if found_at < 0 else found_at
+            place = min(marks.values())
             continue
         if not found and gap is not None:
             place = end  # an empty member proves nothing
@@ -219,7 +231,7 @@ def _row(archive: str, found) -> dict:
     }
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], strict: bool = False) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([
         ("archive", pa.string()), ("offset", pa.int64()), ("gap_bytes", pa.int64()), ("reason", pa.string()),
         ("record_type", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()), ("url", pa.string()),
@@ -230,6 +242,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             archive, data = batch.column(0)[k].as_py(), batch.column(1)[k].as_buffer().to_pybytes()
             rows, size = [], 0
             for found in salvage(data):
+                if strict and found[1] is None:
+                    raise ValueError(f"{archive}: {found[3]} damaged bytes at {found[0]}: {found[4]}")
                 rows.append(_row(archive, found))
                 size += len(found[2])
                 if size >= 2 << 20:
@@ -239,9 +253,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
 
-def read_warc(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Records and quarantined gaps of all archives below ``path``."""
+def read_warc(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Records and quarantined gaps of all archives below ``path``; with ``strict``, a gap is an error."""
     archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    found = archives.mapInArrow(_read, READ)
+    found = archives.mapInArrow(partial(_read, strict=strict), READ)
     records = found.where("gap_bytes IS NULL").drop("gap_bytes", "reason")
     return records, found.where("gap_bytes IS NOT NULL").select("archive", "offset", "gap_bytes", "reason")

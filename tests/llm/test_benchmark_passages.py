@@ -17,9 +17,9 @@ def brute(docs, items, window):
     phrases = {}
     for name, text in items:
         own = [w for w in words_of(text) if w]
-        if name is not None and own:
+        if own:
             for i in range(max(1, len(own) - window + 1)):
-                phrases.setdefault(tuple(own[i : i + window]), set()).add(str(name))
+                phrases.setdefault(tuple(own[i : i + window]), set()).add(name if name is None else str(name))
     out = {}
     for k, text in docs:
         own = [w for w in words_of(text) if w]
@@ -29,7 +29,7 @@ def brute(docs, items, window):
                 if names := phrases.get(tuple(own[i : i + size])):
                     hit.update(range(i, i + size))
                     found |= names
-        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        digest = hashlib.sha256(",".join(sorted(f for f in found if f is not None)).encode()).hexdigest()
         out[k] = (len(own), len(hit), len(found), digest, bool(hit))
     return out
 

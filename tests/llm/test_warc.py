@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import os
+import time
 import random
 
 import pytest
@@ -80,6 +81,22 @@ def test_salvage_of_plain_records():
     assert list(salvage(b"")) == [] and [f[3] for f in salvage(b"rubbish")] == [7]
 
 
+@pytest.mark.parametrize("noise", [
+    b"\x1f\x8b\x08" * 200_000, b"WARC/1.0\r\n" * 100_000, b"WARC/1.0\r\nContent-Length: 5\r\n\r\n" * 20_000, b"\x1f\x8b\x08\0\0\0\0\0\0\x03" * 60_000, bytes(2_000_000),
+], ids=len)
+def test_salvage_takes_time_in_proportion(noise):
+    begin = time.process_time()
+    found = list(salvage(member(1) + noise + member(2)))
+    assert [f[1]["x-page-id"] for f in found if f[1]] == ["1", "2"] and sum(f[3] for f in found) == len(noise)
+    assert time.process_time() - begin < 5
+
+
+def test_strict_reading_stops_at_a_gap(spark, tmp_path):
+    (tmp_path / "a.warc.gz").write_bytes(member(1) + b"noise" + member(2))
+    with pytest.raises(Exception, match="5 damaged bytes"):
+        read_warc(spark, str(tmp_path), strict=True)[0].collect()
+
+
 def test_gaps_are_reported_by_archive(spark, tmp_path):
     good, bad = member(1), bytearray(member(2))
     bad[30] ^= 0xFF
