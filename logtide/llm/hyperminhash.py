@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import U, bytes_of, chain, find_words, give_back, mix, slices, word_hashes
+from logtide.llm.words import U, bytes_of, chain, find_words, give_back, mix, slices, whole_id, word_hashes
 from logtide.operators.components import connected_components
 from logtide.scratch import materialize
 
@@ -290,7 +290,7 @@ def near_duplicates(
 
     A component is named by its smallest id; a row without an id is named by null and kept.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    texts = docs.select(whole_id(docs, id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     sketches = materialize(texts.mapInArrow(_sketch(shingle), SKETCH), "sketches")
     known = sketches.where("n_shingles > 0 AND _id IS NOT NULL")
     firsts = known.groupBy("set_a", "set_b", "n_shingles").agg(F.min("_id").alias("first"))

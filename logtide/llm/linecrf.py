@@ -10,7 +10,8 @@ of the id, so it is bounded whatever the corpus; scoring sees every text as a wh
 ever scored: no label, language, source or id is an input.
 
 Null and empty texts, and texts of white space only, have no lines and score 0. Rows that repeat an id and a text
-give repeated rows; a text whose id has several labels is left out of the fit. Columns besides id and
+give repeated rows; a text whose id has several labels is left out of the fit; of several texts with one id, the fit
+sees that of the least MD5. Ids that are no whole numbers are refused. Columns besides id and
 text keep their names and values (``score`` and ``n_lines`` are replaced). Without labelled texts of both
 kinds there is nothing to learn: every text with a line scores near 0 if all labels say bad, else near 1.
 """
@@ -22,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from logtide.llm.words import LOWER, U, WHITE, bytes_of, chain, mix, slices, word_hashes, words_in
+from logtide.llm.words import LOWER, U, WHITE, bytes_of, chain, mix, slices, whole_id, word_hashes, words_in
 
 SAMPLE_CHARS = 50_000
 SURE = 20.0
@@ -195,7 +196,8 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "_text"):
         features, _, first = line_features(part.column(2))
         rows = [features[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:])]
-        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(rows, pa.binary())], ["_id", "label", "features"])
+        names = ["_id", "label", "mark", "features"]
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(rows, pa.binary())], names)
 
 
 def fit_quality(
@@ -204,15 +206,19 @@ def fit_quality(
     sample_chars: int = SAMPLE_CHARS,
 ) -> LineCRF:
     """Fit on at most ``sample`` rows of ``labels`` for which ``learn`` holds; texts above ``sample_chars`` characters are left out of them."""
-    known = labels.where(learn).select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("label"))
+    known = labels.where(learn).select(whole_id(labels, id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("_id IS NOT NULL AND label IN (0, 1)").groupBy("_id").agg(
         F.min("label").alias("label"), F.max("label").alias("most")
     ).where("label = most").drop("most")
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    texts = docs.select(whole_id(docs, id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)  # ids and labels only: at most `sample` rows are sent
     rows = texts.where(F.length("_text") <= sample_chars).join(F.broadcast(chosen), "_id")
-    got = rows.select("_id", "label", "_text").mapInArrow(_features_of, "_id long, label int, features binary")
-    seen = {r["_id"]: r for r in got.toLocalIterator()}  # one text for each id
+    rows = rows.select("_id", "label", "_text", F.md5("_text").alias("_mark"))
+    got = rows.mapInArrow(_features_of, "_id long, label int, mark string, features binary")
+    seen: dict[int, Row] = {}
+    for r in got.toLocalIterator():  # one text for each id, whichever comes first
+        if r["_id"] not in seen or r["mark"] < seen[r["_id"]]["mark"]:
+            seen[r["_id"]] = r
     order = sorted(seen)
     parts = [np.frombuffer(bytes(seen[k]["features"]), np.float32).reshape(-1, 3 * OWN) for k in order]
     target = np.array([seen[k]["label"] for k in order], int)

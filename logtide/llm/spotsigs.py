@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import ALNUM, U, bytes_of, chain as chained, find_words, slices, word_hashes
+from logtide.llm.words import ALNUM, U, bytes_of, chain as chained, find_words, slices, whole_id, word_hashes
 from logtide.operators.components import connected_components
 from logtide.scratch import materialize
 
@@ -191,7 +191,7 @@ def edited_neighbours(
 ) -> DataFrame:
     """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` for each row."""
     texts = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
+        F.coalesce(whole_id(docs, id_col), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
     )
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     buckets = min(max(1, -(-size // bucket_bytes)), MOST_BUCKETS)
@@ -238,7 +238,7 @@ def near_matches(docs: DataFrame, least: float = 0.5, chain: int = CHAIN, id_col
     """
     if not 0 < least <= 1:
         raise ValueError("least must be above 0 and at most 1: without a least likeness nothing can be pruned")
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    texts = docs.select(whole_id(docs, id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     rows = materialize(texts.mapInArrow(_spots(chain), "_id long, key string, spots array<long>"), "spots")
     sets = materialize(rows.groupBy("key").agg(F.first("spots").alias("spots")).withColumn("n", F.size("spots")), "spot-sets")
 

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import U, WHITE, bytes_of, chain, find_words, gather, give_back, mix, runs, slices, word_hashes, words_in
+from logtide.llm.words import U, WHITE, bytes_of, chain, find_words, gather, give_back, mix, runs, slices, whole_id, word_hashes, words_in
 from logtide.scratch import materialize
 
 GROUP = 3
@@ -324,7 +324,7 @@ def cut_text(raw: np.ndarray, start: np.ndarray, gone: np.ndarray) -> str:
 def _with_ranges(docs: DataFrame, window: int, id_col: str, text_col: str, bucket_bytes: int) -> DataFrame:
     """Texts with their ranges; the mark tells rows apart that share an id."""
     texts = docs.select(
-        F.col(id_col).cast("long").alias("_id"), F.hash(F.col(text_col)).alias("_mark"), F.col(text_col).cast("string").alias("_text")
+        whole_id(docs, id_col).alias("_id"), F.hash(F.col(text_col)).alias("_mark"), F.col(text_col).cast("string").alias("_text")
     )
     found = materialize(repeated_ranges(texts, window, bucket_bytes), "ranges")
     return found.groupBy("_id", "_mark").agg(F.collect_list(F.struct("start", "words")).alias("_spans"))
@@ -344,7 +344,7 @@ def remove_repeats(
     ``n_words`` and ``n_removed`` (columns of ``docs`` with these names are replaced).
     """
     spans = _with_ranges(docs, window, id_col, text_col, bucket_bytes)
-    own = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    own = F.coalesce(whole_id(docs, id_col), F.lit(NO_ID))
     rest = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed")] if not digest else [id_col]
     left = docs.select(
         F.col(text_col).cast("string").alias("_text"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest)],

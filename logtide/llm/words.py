@@ -13,7 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -30,6 +32,14 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def whole_id(table: DataFrame, column: str) -> Column:
+    """An id column as a long. Other types are refused: a cast would end in an error or in nulls far from here."""
+    kind = table.schema[column].dataType
+    if not isinstance(kind, (T.IntegralType, T.NullType)):
+        raise TypeError(f"{column} must be a whole number, not {kind.simpleString()}")
+    return F.col(column).cast("long")
+
+
 def _table(separators: bytes) -> np.ndarray:
     out = np.ones(256, dtype=bool)
     out[list(separators)] = False

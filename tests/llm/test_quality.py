@@ -96,3 +96,18 @@ def test_the_longest_text_of_a_fit_is_an_argument(spark):
     highest = lambda **more: max(r.score for r in score_quality(bad, fit_quality(docs, labels, F.lit(True), **more)).collect())
     assert highest() > 0.7  # only good texts are short enough
     assert highest(sample_chars=10_000_000) < 0.3
+
+
+def test_text_ids_are_refused_and_repeated_ids_defined(spark):
+    from logtide.llm.hyperminhash import near_duplicates
+    from logtide.llm.spotsigs import edited_neighbours, near_matches
+    from logtide.llm.superkmers import remove_repeats
+
+    named = spark.createDataFrame([("a", "some text")], "doc_id string, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    for call in (near_duplicates, edited_neighbours, near_matches, remove_repeats, lambda d: fit_quality(d, labels, F.lit(True))):
+        with pytest.raises(TypeError):
+            call(named)
+    rows = [(1, "A good line of words."), (1, "### 1 1 1 ###"), (2, "$$$ 9 9 9 $$$")]
+    fits = [fit_quality(spark.createDataFrame(order, "doc_id long, text string"), labels, F.lit(True)) for order in (rows, rows[::-1])]
+    assert np.array_equal(fits[0].weights, fits[1].weights)
