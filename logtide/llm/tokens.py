@@ -32,7 +32,7 @@ CHUNK = 32_768
 #: Where texts up to a million characters may be split into pieces too, which is faster; the counts are the same.
 WHOLE = 1 << 20
 OVERLAP = 256
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 400_000
 #: White space beyond ASCII's usual, after which a split is not certain, as UTF-8 bytes read as one number.
 ODD_1 = np.arange(0x1C, 0x20)
 ODD_2 = np.array([0xC285, 0xC2A0])
