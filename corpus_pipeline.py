@@ -57,7 +57,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the texts, by their tokens, in length buckets and token-budget batches."""
-    return pack(count_tokens(docs, "byte_bpe_50k.json", chunk=WHOLE), max_tokens=2048, buckets=12, budget=16384, length_col="n_tokens")
+    counted = count_tokens(docs, "byte_bpe_50k.json", chunk=WHOLE, keep=False)
+    return pack(counted, max_tokens=2048, buckets=12, budget=16384, length_col="n_tokens")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import WHITE, U, Words, bytes_of, distinct, gather, slices, words_in
+from logtide.llm.words import WHITE, U, Words, bytes_of, distinct, gather, give_back, slices, words_in
 
 CHUNK = 32_768
 #: Where texts up to a million characters may be split into pieces too, which is faster; the counts are the same.
@@ -173,16 +173,26 @@ def vocabulary(name: str) -> str:
 
 
 def count_tokens(
-    docs: DataFrame, name: str = "byte_bpe_50k.json", limit: int = 512, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK
-) -> DataFrame:
-    """``(doc_id, n_bytes, n_tokens, over_limit)`` for each row; ``name`` is a byte-level vocabulary file's name or path."""
+    docs: DataFrame, name: str = "byte_bpe_50k.json", limit: int = 512, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK,
+    keep: bool = True,
+) -> DataFrame:
+    """``(doc_id, n_bytes, n_tokens, over_limit)`` for each row; ``name`` is a byte-level vocabulary file's name or path.
+
+    A worker keeps the vocabulary and its memo for its next task, unless ``keep`` is false: where other steps follow in the
+    same workers, their memory counts for more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(name if os.path.isabs(name) else vocabulary(name)).counts
+        path = name if os.path.isabs(name) else vocabulary(name)
+        count = counter(path).counts
         for part in slices(batches, "_text"):
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(count(part.column(2), chunk))], ["_id", "n_bytes", "n_tokens"]
             )
+        if not keep:
+            del count
+            _COUNTERS.pop(path, None)
+            give_back()
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).alias("_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("_text"))
