@@ -720,10 +720,8 @@ def silhouette_euclidean(spark, folder):
 @query
 def chosen_windows(spark, folder):
     """The first and last day of a run for each day of orders as the last run, seen from a fixed day."""
-    days = spark.read.parquet(f"{folder}/orders.parquet").select(F.to_date("o_orderdate").alias("d")).distinct()
-    today = date(1998, 1, 15)
-    rows = [(str(r["d"]), *src.choose_window(str(r["d"]), today=today)) for r in days.collect()]  # calendar days
-    return spark.createDataFrame(rows, "last_run string, start string, end string")
+    days = spark.read.parquet(f"{folder}/orders.parquet").select(F.to_date("o_orderdate").cast("string").alias("last_run")).distinct()
+    return days.select("last_run", src.run_windows(F.col("last_run"), F.lit(date(1998, 1, 15))).alias("w")).select("last_run", "w.*")
 
 
 @query

@@ -139,6 +139,16 @@ def choose_window(
     return str(today - timedelta(days=lookback_days)), str(today)
 
 
+def run_windows(
+    last_run: Column, today: Column, lookback_days: int = 30, incremental: bool = True, force: bool = False
+) -> Column:
+    """As ``choose_window``, for a table of runs: a struct of the first and last day as texts."""
+    back = F.date_sub(today, lookback_days)
+    last = F.substring(last_run, 1, 10).cast("date")
+    start = F.when(last.isNotNull(), F.least(last, today)).otherwise(back) if incremental and not force else back
+    return F.struct(start.cast("string").alias("start"), today.cast("string").alias("end"))
+
+
 RUN_STATE = "last_run_date string, last_run_at timestamp"
 
 

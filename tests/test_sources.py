@@ -223,3 +223,11 @@ def test_a_run_over_a_table_keeps_every_request(spark, tmp_path):
     small = Settings(n_clusters=2, max_scan_mb=1e-6)
     with pytest.raises(guarded.ScanLimitExceeded):
         run(spark, str(tmp_path / "s2"), reports, table=name, settings=small, today=date(2024, 2, 1))
+
+
+@pytest.mark.parametrize("options", [{}, {"lookback_days": 3}, {"incremental": False}, {"force": True}])
+def test_windows_of_many_runs_are_those_of_one(spark, options):
+    today, runs = date(2024, 3, 1), [None, "2024-02-28", "2024-03-01T05:00:00", "2024-04-09", "2023-12-31"]
+    df = spark.createDataFrame([(r,) for r in runs], "r string")
+    got = {row.r: tuple(row.w) for row in df.select("r", src.run_windows(F.col("r"), F.lit(today), **options).alias("w")).collect()}
+    assert got == {r: src.choose_window(r, today=today, **options) for r in runs}
