@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -45,13 +45,15 @@ def _tree_rows(table: DataFrame, key: str, columns: list[str], trees: int, sampl
     """
     n = max(table.count(), 1)
     odds = min(1.0, (sample + 10 * math.sqrt(sample)) / n)
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("tree")), F.lit(2**31)) / float(2**31)
-    drawn = (
-        table.withColumn("x", F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns]))
-        .select(key, "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-        .withColumn("draw", draw)
-        .where(F.col("draw") < odds)
-    )
+
+    def draw(tree: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), F.col(key), tree), F.lit(2**31)) / float(2**31)
+
+    # a row's trees are drawn inside its array, so the generator makes the drawn rows only
+    all_trees = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), draw(t).alias("draw")))
+    own = F.filter(all_trees, lambda t: t["draw"] < odds)
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns])
+    drawn = table.select(key, x.alias("x"), F.inline(own))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("draw", key))
     return drawn.withColumn("r", rank).where(F.col("r") <= sample).drop("r")
 
