@@ -310,6 +310,20 @@ FROM features"""
 NORMALIZED = f"WITH {RAW} SELECT {LOG_COLUMNS} FROM logs"
 HOURLY = f"WITH {SERIES} SELECT {SERIES_COLUMNS} FROM hourly"
 
+#: Hours that a stream has closed when its last row is a day ahead; percentiles are values of the hour.
+CLOSED_HOURS = """hours AS (SELECT service_name, date_trunc('hour', "timestamp") AS time_bucket, count(*) AS request_count,
+  avg(CASE WHEN status_code >= 400 THEN 1e0 ELSE 0e0 END) AS error_rate,
+  coalesce(quantile_disc(latency_ms, 0.5), 0) AS latency_p50, coalesce(quantile_disc(latency_ms, 0.95), 0) AS latency_p95,
+  coalesce(sum(bytes_response), 0) AS bytes_total, count(DISTINCT user_id) AS unique_users
+  FROM logs GROUP BY ALL),
+closed AS (SELECT * FROM hours WHERE time_bucket + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM valid) - INTERVAL 1 DAY)"""
+BEFORE_SCORES = "greatest({})".format(
+    ", ".join(
+        f"coalesce(abs({c} - avg({c}) OVER w) / nullif(stddev_pop({c}) OVER w, 0), 0)"
+        for c in ("request_count", "error_rate", "latency_p50", "latency_p95")
+    )
+)
+
 ORACLE: dict[str, str] = {
     # records
     "normalize_logs": NORMALIZED,
@@ -367,6 +381,7 @@ FROM logs GROUP BY service_name""",
     "cached_query": """
 SELECT event_type, count(*) AS n, round(avg(value), 6) AS avg_value FROM events GROUP BY event_type""",
     "incremental_ingest": f"""WITH {RAW} SELECT {LOG_COLUMNS} FROM valid""",
+    "compacted_store": f"""WITH {RAW} SELECT {LOG_COLUMNS} FROM valid""",
     # features
     "service_features": f"WITH {FEATURES}{FEATURE_COLUMNS}",
     "request_span": f"""WITH {FEATURES} SELECT service_name, total_requests,
@@ -525,14 +540,14 @@ SELECT u.service_name, round(peak_upper, 6) AS peak_upper, round(requests_per_ho
 FROM upper_peaks u JOIN features f USING (service_name)
 WHERE requests_per_hour > 0 AND peak_upper > requests_per_hour * 2.5""",
     # streams
-    "streaming_hourly": f"""WITH {RAW},
-h AS (SELECT service_name, date_trunc('hour', "timestamp") AS time_bucket, count(*) AS request_count,
-  avg(CASE WHEN status_code >= 400 THEN 1e0 ELSE 0e0 END) AS error_rate,
-  coalesce(sum(bytes_response), 0) AS bytes_total
-  FROM logs GROUP BY ALL)
-SELECT service_name, time_bucket, request_count, round(error_rate, 6) AS error_rate,
-  round(bytes_total, 6) AS bytes_total
-FROM h WHERE time_bucket + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM valid) - INTERVAL 1 DAY""",
+    "streaming_hourly": f"""WITH {RAW}, {CLOSED_HOURS}
+SELECT service_name, time_bucket, request_count, round(error_rate, 6) AS error_rate, round(latency_p50, 6) AS latency_p50,
+  round(latency_p95, 6) AS latency_p95, round(bytes_total, 6) AS bytes_total, unique_users FROM closed""",
+    "streaming_window_alerts": f"""WITH {RAW}, {CLOSED_HOURS},
+z AS (SELECT service_name, time_bucket, count(*) OVER w AS hours_before, {BEFORE_SCORES} AS score FROM closed
+  WINDOW w AS (PARTITION BY service_name ORDER BY time_bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT service_name, time_bucket, hours_before, round_even(score, 4) AS anomaly_score, round_even(score, 4) > 3 AS is_anomaly
+FROM z WHERE hours_before >= 24""",
     "streaming_dedupe": f"""WITH {RAW}
 SELECT "timestamp", service_name, endpoint, instance_id FROM logs""",
     # fitted models: what holds of any right fit

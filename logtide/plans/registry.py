@@ -33,6 +33,8 @@ from logtide.sources.fixtures import COPY_OFFSET, customer_features, raw_access_
 from logtide.sources.guarded import ScanLimitExceeded, cached_query, cached_result, guard_scan, scan_size
 from logtide.streaming import ingest as si
 from logtide.streaming import rollup as ro
+from logtide.streaming.alerts import keyed_state, stream_window_scores
+from logtide.streaming.compaction import compact, read_compacted
 from logtide.streaming.once import add_once, read_store
 from logtide.streaming.partials import add_batch, distinct_users, read_partials
 
@@ -316,6 +318,19 @@ def incremental_ingest(spark, folder):
     return spark.read.parquet(store).select(*LOG_COLUMNS)
 
 
+@query
+def compacted_store(spark, folder):
+    """Six batches with a compaction after the second, fourth and fifth; the last is read as it was written."""
+    path, schema = _raw_files(spark, folder)
+    store, compacted = scratch_path(spark, "store"), scratch_path(spark, "compacted")
+    rows = materialize(no.normalize_rows(spark.read.schema(schema).parquet(path)).select(*LOG_COLUMNS), "rows")
+    for batch in range(6):
+        si.write_batch(rows.where(F.pmod("event_id", F.lit(6)) == batch), batch, store)
+        if batch in (1, 3, 4):
+            compact(spark, store, compacted, rows.schema)
+    return read_compacted(spark, store, compacted, rows.schema).select(*LOG_COLUMNS)
+
+
 # ---------------------------------------------------------------- features
 
 
@@ -894,8 +909,18 @@ def streaming_hourly(spark, folder):
     """De-duplicated, then rolled up, over seven batches; windows closed a day before the last row."""
     path, schema = _raw_files_by_time(spark, folder)
     rows = no.normalize_rows(si.read_new_files(spark, path, schema, max_files_per_batch=1))
-    hourly = si.stream_hourly(si.stream_dedupe(rows, delay="1 day"), delay=None)
-    return _stream_to_table(hourly).select("service_name", "time_bucket", "request_count", "error_rate", "bytes_total")
+    return _stream_to_table(si.stream_hourly(si.stream_dedupe(rows, delay="1 day"), delay=None))
+
+
+@query
+def streaming_window_alerts(spark, folder):
+    """Each closed hour of a stream against its service's hours before it."""
+    path, schema = _raw_files_by_time(spark, folder)
+    rows = no.normalize_rows(si.read_new_files(spark, path, schema, max_files_per_batch=1))
+    hours = si.stream_closed_hours(si.stream_dedupe(rows, delay="1 day"), delay=None)
+    with keyed_state(spark):
+        scored = _stream_to_table(stream_window_scores(hours))
+    return scored.select("service_name", "time_bucket", "hours_before", "anomaly_score", "is_anomaly")
 
 
 @query
