@@ -10,7 +10,8 @@ How groups of any size stay cheap and whole:
 
 * Texts with equal shingle sets are one class, which its smallest id stands for.
 * Buckets with the same members are one bucket.
-* Every member is first compared with the smallest member of its bucket. Confirmed links make components.
+* Every member is first compared with the smallest member of its bucket. The members of a large bucket are dealt over slices of
+  about ``STAR_ROWS``, and each slice gets a copy of that one member. Confirmed links make components.
   Only members of buckets of three or more that are not yet of one component are compared across
   components, block by block, and nothing but confirmed links leaves the task.
 * Candidates pass the collision-corrected Jaccard estimate with five standard errors to spare; what passes is
@@ -40,6 +41,7 @@ MANTISSA_BITS = 10
 BAND_ROWS = 5
 BANDS = REGISTERS // BAND_ROWS
 BLOCK_ROWS = 2048
+STAR_ROWS = 1000
 BLOCK_BYTES = 16 << 20
 ERRORS_TO_SPARE = 5.0
 
@@ -188,7 +190,7 @@ def _estimate_pairs(threshold: float):
                 side(2), side(3), batch.column(4).to_numpy(False), batch.column(5).to_numpy(False), threshold
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k).filter(pa.array(keep)) for k in (0, 1)], ["a", "b"]
+                [batch.column(k).filter(pa.array(keep)) for k in (0, 1, 6)], ["a", "b", "slice"]
             )
 
     return run
@@ -256,6 +258,11 @@ def _components(links: DataFrame) -> DataFrame:
     return materialize(found.withColumnRenamed("node", "_id"), "groups")
 
 
+def _centers(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The row of each centre ``a``, once for every slice of its star."""
+    return pairs.select("a", "slice").distinct().join(rows, "a")
+
+
 def _left_over(members: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across components in buckets that confirmed stars have not made one component.
 
@@ -305,17 +312,20 @@ def near_duplicates(
     live = live.groupBy("members", "center", "x", "s").agg(F.min("key").alias("key")).drop("x", "s")
     members = materialize(rows.join(live, "key"), "buckets")
 
-    stars = members.where("_id != center").select(F.col("center").alias("a"), F.col("_id").alias("b")).distinct()
+    stars = members.where("_id != center").groupBy(F.col("center").alias("a"), F.col("_id").alias("b")).agg(F.max("members").alias("m"))
+    slices = F.ceil(F.col("m") / STAR_ROWS).cast("int")
+    stars = materialize(stars.select("a", "b", F.pmod(F.xxhash64("b"), slices).cast("int").alias("slice")), "stars")
     side = lambda k: reps.select(F.col("_id").alias(k), F.col("registers").alias(f"r{k}"), F.col("n_shingles").alias(f"n{k}"))
-    sketched = stars.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ra", "rb", "na", "nb")
-    pairs = materialize(sketched.mapInArrow(_estimate_pairs(percent / 100), "a long, b long"), "candidates")
+    sketched = stars.join(side("b"), "b").join(_centers(stars, side("a")), ["a", "slice"])
+    sketched = sketched.select("a", "b", "ra", "rb", "na", "nb", "slice")
+    pairs = materialize(sketched.mapInArrow(_estimate_pairs(percent / 100), "a long, b long, slice int"), "candidates")
 
     ends = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id")))
     wanted = ends.union(members.where("members > 2").select("_id")).distinct()
     sets = texts.join(wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(_sets(shingle), "_id long, shingles binary")
     sets = materialize(sets, "sets")
     full = lambda k: sets.select(F.col("_id").alias(k), F.col("shingles").alias(f"s{k}"))
-    joined = pairs.join(full("b"), "b").join(full("a"), "a").select("a", "b", "sa", "sb")
+    joined = pairs.join(full("b"), "b").join(_centers(pairs, full("a")), ["a", "slice"]).select("a", "b", "sa", "sb")
     links = materialize(joined.mapInArrow(_confirm(percent), "a long, b long"), "links")
     groups = _components(links)
     more = materialize(_left_over(members, groups, reps, sets, percent), "links")

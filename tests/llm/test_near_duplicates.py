@@ -66,6 +66,14 @@ def test_blocks_do_not_change_the_links(spark, monkeypatch):
     test_a_large_group_of_near_copies_with_members_off_the_star(spark)
 
 
+def test_stars_in_slices_keep_every_link(spark, monkeypatch):
+    monkeypatch.setattr(hm, "STAR_ROWS", 7)
+    test_a_large_group_of_near_copies_with_members_off_the_star(spark)
+    rows = spark.createDataFrame([(b, 1, b % 3) for b in range(2, 40)], "b long, a long, slice int")
+    centers = hm._centers(rows, spark.createDataFrame([(1, "x"), (2, "y")], "a long, ra string"))
+    assert sorted(map(tuple, centers.collect())) == [(1, s, "x") for s in range(3)]
+
+
 def test_odd_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert hm.near_duplicates(empty).count() == 0
