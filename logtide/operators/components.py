@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.scratch import materialize
+from logtide.scratch import materialize, shuffled
 
 
 def _hook(edges: DataFrame) -> DataFrame:
     """Smallest neighbour of each node, joined back to the node's edges."""
     smallest = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return edges.join(smallest, "u")
+    return edges.join(shuffled(smallest), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from logtide.operators.components import connected_components
-from logtide.scratch import materialize
+from logtide.scratch import materialize, shuffled
 
 NOISE = -1
 SLICE_ROWS = 10_000
@@ -107,7 +107,7 @@ def _near_cells(cells: DataFrame, dims: range, eps: float) -> DataFrame:
     blocks = [F.col(f"a.k{i}") == F.col(f"b.k{i}") for i in dims]
     return (
         look.alias("a")
-        .join(cells.alias("b"), blocks)
+        .join(shuffled(cells).alias("b"), blocks)
         .where((F.col("a.cell") != F.col("b.cell")) & (least <= eps * eps))
         .select(
             F.col("a.cell").alias("cell"),
@@ -121,7 +121,7 @@ def _near_cells(cells: DataFrame, dims: range, eps: float) -> DataFrame:
 
 def _sliced(points: DataFrame, cells: DataFrame) -> DataFrame:
     """Points with the slice of their cell they belong to."""
-    return points.join(cells.select("cell", "slices"), "cell").withColumn(
+    return points.join(shuffled(cells.select("cell", "slices")), "cell").withColumn(
         "slice", F.pmod(F.xxhash64("pid"), F.col("slices")).cast("int")
     )
 
@@ -134,7 +134,7 @@ def _to_slices(asking: DataFrame) -> DataFrame:
 def _meet(asking: DataFrame, points: DataFrame, dims: range, eps: float) -> DataFrame:
     """Asking points joined to the points within ``eps`` of them in the cell they look into."""
     return _to_slices(asking).alias("a").join(
-        points.alias("b"),
+        shuffled(points).alias("b"),
         (F.col("a.other") == F.col("b.cell"))
         & (F.col("a.slice") == F.col("b.slice"))
         & (_distance2("a", "b", dims) <= eps * eps),
@@ -144,20 +144,20 @@ def _meet(asking: DataFrame, points: DataFrame, dims: range, eps: float) -> Data
 def _core_points(points, cells, near, dims, eps, min_samples):
     """Positions with at least ``min_samples`` points within ``eps``, themselves included."""
     full = near.where("full").groupBy("cell").agg(F.sum("other_w").alias("full_w"))
-    sure = cells.join(full, "cell", "left").select(
+    sure = cells.join(shuffled(full), "cell", "left").select(
         "cell", (F.col("w") + F.coalesce("full_w", F.lit(0))).alias("sure_w")
     )
-    weighed = points.join(sure, "cell")
+    weighed = points.join(shuffled(sure), "cell")
     settled = weighed.where(F.col("sure_w") >= min_samples)
     open_points = weighed.where(F.col("sure_w") < min_samples)
-    asking = open_points.join(near.where(~F.col("full")), "cell")
+    asking = open_points.join(shuffled(near.where(~F.col("full"))), "cell")
     found = (
         _meet(asking.drop("slice", "slices"), points, dims, eps)
         .groupBy(F.col("a.pid").alias("pid"))
         .agg(F.sum("b.w").alias("found_w"))
     )
     proven = (
-        open_points.join(found, "pid", "left")
+        open_points.join(shuffled(found), "pid", "left")
         .where(F.col("sure_w") + F.coalesce("found_w", F.lit(0)) >= min_samples)
         .select(settled.columns)
     )
@@ -176,8 +176,8 @@ def _linked_cells(core, near, dims, eps) -> DataFrame:
     pairs = (
         near.where(F.col("cell") < F.col("other"))
         .alias("n")
-        .join(boxes.alias("a"), F.col("n.cell") == F.col("a.cell"))
-        .join(boxes.alias("b"), F.col("n.other") == F.col("b.cell"))
+        .join(shuffled(boxes).alias("a"), F.col("n.cell") == F.col("a.cell"))
+        .join(shuffled(boxes).alias("b"), F.col("n.other") == F.col("b.cell"))
         .where(least <= eps * eps)
         .select(
             F.col("n.cell").alias("u"),
@@ -190,8 +190,8 @@ def _linked_cells(core, near, dims, eps) -> DataFrame:
     # point tests only between cells that are still apart
     apart = (
         pairs.where(~F.col("full"))
-        .join(groups.select(F.col("cell").alias("u"), F.col("component").alias("cu")), "u")
-        .join(groups.select(F.col("cell").alias("v"), F.col("component").alias("cv")), "v")
+        .join(shuffled(groups.select(F.col("cell").alias("u"), F.col("component").alias("cu"))), "u")
+        .join(shuffled(groups.select(F.col("cell").alias("v"), F.col("component").alias("cv"))), "v")
         .where(F.col("cu") != F.col("cv"))
         .select("u", "v", "cu", "cv")
     )
@@ -199,14 +199,14 @@ def _linked_cells(core, near, dims, eps) -> DataFrame:
     if apart.isEmpty():
         return groups
     # the second graph has one node per group found so far
-    met = apart.join(_touching(core, boxes, apart, dims, eps), ["u", "v"])
+    met = apart.join(shuffled(_touching(core, boxes, apart, dims, eps)), ["u", "v"])
     joined = _label(
         groups.select(F.col("component").alias("cell")).distinct(),
         met.select(F.col("cu").alias("u"), F.col("cv").alias("v")),
     )
     return materialize(
         groups.withColumnRenamed("component", "group")
-        .join(joined.select(F.col("cell").alias("group"), "component"), "group")
+        .join(shuffled(joined.select(F.col("cell").alias("group"), "component")), "group")
         .select("cell", "component"),
         "components",
     )
@@ -216,7 +216,7 @@ def _label(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """Component of every node; a node without links is its own."""
     found = connected_components(links).withColumnRenamed("node", "cell")
     return materialize(
-        nodes.join(found, "cell", "left").select("cell", F.coalesce("component", "cell").alias("component")),
+        nodes.join(shuffled(found), "cell", "left").select("cell", F.coalesce("component", "cell").alias("component")),
         "components",
     )
 
@@ -238,11 +238,12 @@ def _touching(core, boxes, apart, dims, eps) -> DataFrame:
     )
     asking = (
         core.drop("slice", "slices")
-        .join(apart.select(F.col("u").alias("cell"), F.col("v").alias("other")), "cell")
-        .join(box, "other")
+        .join(shuffled(apart.select(F.col("u").alias("cell"), F.col("v").alias("other"))), "cell")
+        .join(shuffled(box), "other")
         .where(to_box <= eps * eps)
     )
-    slices = core.join(box.select(F.col("other").alias("cell"), "other_slices"), "cell").withColumn(
+    own = shuffled(box.select(F.col("other").alias("cell"), "other_slices"))
+    slices = core.join(own, "cell").withColumn(
         "slice", F.pmod(F.xxhash64("pid"), F.col("other_slices")).cast("int")
     )
     return (
@@ -254,13 +255,12 @@ def _touching(core, boxes, apart, dims, eps) -> DataFrame:
 
 def _border_points(points, core, labels, near, dims, eps) -> DataFrame:
     """Non-core positions near a core point, with the smallest cluster among those."""
-    loose = points.join(core.select("pid"), "pid", "left_anti")
+    loose = points.join(shuffled(core.select("pid")), "pid", "left_anti")
     # inside one cell everything is within eps
-    own = loose.join(labels, "cell").select("pid", "cluster_id")
-    asking = loose.drop("slice", "slices").join(near, "cell")
-    seen = asking.join(
-        labels.select(F.col("cell").alias("other"), F.col("cluster_id").alias("other_id")), "other"
-    )
+    own = loose.join(shuffled(labels), "cell").select("pid", "cluster_id")
+    asking = loose.drop("slice", "slices").join(shuffled(near), "cell")
+    others = labels.select(F.col("cell").alias("other"), F.col("cluster_id").alias("other_id"))
+    seen = asking.join(shuffled(others), "other")
     by_box = seen.where("full").select("pid", F.col("other_id").alias("cluster_id"))
     by_point = _meet(seen.where(~F.col("full")), core, dims, eps).select(
         F.col("a.pid").alias("pid"), F.col("a.other_id").alias("cluster_id")
@@ -288,15 +288,16 @@ def dbscan(
     sliced = _sliced(merged, cells)
     core = materialize(_core_points(sliced, cells, near, dims, eps, min_samples), "core")
     linked = _linked_cells(core, near, dims, eps)
-    first = core.join(linked, "cell").groupBy("component").agg(F.min("least_key").alias("first_key"))
-    labels = linked.join(_rank_in_order(first, "first_key"), "component").select("cell", "cluster_id")
+    first = core.join(shuffled(linked), "cell").groupBy("component").agg(F.min("least_key").alias("first_key"))
+    ranks = shuffled(_rank_in_order(first, "first_key"))
+    labels = linked.join(ranks, "component").select("cell", "cluster_id")
     labels = materialize(labels, "labels")
-    found = core.select("pid", "cell").join(labels, "cell").select("pid", "cluster_id").unionByName(
+    found = core.select("pid", "cell").join(shuffled(labels), "cell").select("pid", "cluster_id").unionByName(
         _border_points(sliced, core, labels, near, dims, eps)
     )
     return (
         points.withColumn("pid", _position([F.col(c).cast("double") for c in columns]))
-        .join(found, "pid", "left")
+        .join(shuffled(found), "pid", "left")
         .withColumn("cluster_id", F.coalesce("cluster_id", F.lit(NOISE)))
         .drop("pid")
     )

@@ -55,3 +55,12 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that never sends it whole to the driver and every executor.
+
+    The size of a written table is that of its files, where repeated names and numbers take little room;
+    in a broadcast they take many times as much, all of it on the driver first.
+    """
+    return df.hint("merge")

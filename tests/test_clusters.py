@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logtide.operators import clusters as cl
+from logtide.operators import components
 from logtide.operators import dbscan as db
 from logtide.operators import lloyd as ll
 from logtide.operators.components import connected_components
@@ -68,6 +69,22 @@ def test_dbscan_with_crowded_cells_in_slices(spark, monkeypatch):
     assert run_dbscan(spark, x, eps, min_samples).tolist() == brute_dbscan(x, eps, min_samples).tolist()
 
 
+def test_no_join_of_written_tables_goes_through_the_driver(spark):
+    dims = range(2)
+    rows = [(f"s{i:05d}", i % 40 / 10, i // 40 / 10) for i in range(800)]
+    points = spark.createDataFrame(rows, ["service_name", "c0", "c1"])
+    merged = db.materialize(db._merge_points(points, "service_name", ["c0", "c1"], 0.5), "points")
+    cells = db.materialize(db._cells(merged, dims, 0.5), "cells")
+    near = db._near_cells(cells, dims, 0.5)
+    sliced = db._sliced(merged, cells)
+    core = db._core_points(sliced, cells, db.materialize(near, "near"), dims, 0.5, 5)
+    hooked = components._hook(db.materialize(cells.select(F.col("cell").alias("u"), F.col("cell").alias("v")), "edges"))
+    whole = db.dbscan(points, ["c0", "c1"], eps=0.5, min_samples=5)
+    for made in (near, sliced, core, hooked, whole):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     pairs = [(i, i + 1) for i in range(0, 60)] + [(int(a) + 100, int(b) + 100) for a, b in rng.integers(0, 80, (60, 2))]
