@@ -59,13 +59,31 @@ def lay_out(ids: np.ndarray, first: np.ndarray, lanes: int) -> tuple[np.ndarray,
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return F32(0.5) * (np.tanh(F32(0.5) * x) + F32(1))
+    """In place."""
+    x *= F32(0.5)
+    np.tanh(x, out=x)
+    x += F32(1)
+    x *= F32(0.5)
+    return x
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    """In place. Output weights and biases are bounded (``BOUND``, ``OFF``), so nothing overflows."""
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _stable_order(small: np.ndarray) -> np.ndarray:
+    """Of class or token numbers; numpy sorts 16 bits by counting."""
+    return np.argsort(small.astype(np.int16) if small.size and int(small.max()) < 1 << 15 else small, kind="stable")
+
+
+def _shares(x: np.ndarray, row: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities of the chosen columns under a softmax, and the sums to divide ``x`` by, which becomes its exponentials.
+
+    Output weights and biases are bounded (``BOUND``, ``OFF``), so nothing overflows."""
+    own = x[row, chosen]
+    np.exp(x, out=x)
+    whole = x @ np.ones(x.shape[1], F32)
+    return own - np.log(whole), whole
+
+
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    return np.ones(len(x), F32) @ x
 
 
 @dataclass
@@ -105,47 +123,61 @@ class GatedModel:
             at += v.size
         return GatedModel(self.classes, self.members, self.end, p)
 
-    def _step(self, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One step for all lanes: update and reset gates, candidate, and the new state."""
-        n = h.shape[1]
-        a = h @ self.p["u"]
-        zr = _sigmoid(gates[:, : 2 * n] + a[:, : 2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(gates[:, 2 * n :] + r * a[:, 2 * n :])
-        return z, r, c, a[:, 2 * n :], h + z * (c - h)
+    def _step(self, gates: np.ndarray, h: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, ...]:
+        """One step for all lanes: update and reset gates, candidate, and the new state. Lanes lie along the rows of all
+        arrays, so that each gate is one stretch of memory; ``across`` is ``u`` transposed."""
+        n = len(h)
+        a = across @ h
+        zr = _sigmoid(gates[: 2 * n] + a[: 2 * n])
+        z, r = zr[:n], zr[n:]
+        c = r * a[2 * n :]
+        c += gates[2 * n :]
+        np.tanh(c, out=c)
+        new = c - h
+        new *= z
+        new += h
+        return z, r, c, a[2 * n :], new
+
+    def _gates(self) -> np.ndarray:
+        """What each token adds to the gates, a column each."""
+        return np.ascontiguousarray((self.p["embed"] @ self.p["wx"] + self.p["bx"]).T)
 
     def _outputs(self, h: np.ndarray, ids: np.ndarray, grad: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probabilities of ``ids`` after states ``h``; with ``grad``, weight gradients are added and those of h returned."""
         kind = ids // self.members
-        order = np.argsort(kind, kind="stable")
-        h, kind, ids = h[order], kind[order], ids[order]
+        order = _stable_order(kind)
+        h, kind, ids = h.take(order, axis=0), kind[order], ids[order]
         row = np.arange(len(ids))
-        logs = log_softmax(h @ self.p["wc"] + self.p["bc"])
-        out = logs[row, kind]
+        d = h @ self.p["wc"]
+        d += self.p["bc"]
+        out, whole = _shares(d, row, kind)
         back = None
         if grad is not None:
-            d = np.exp(logs)
+            d /= whole[:, None]
             d[row, kind] -= 1
             grad["wc"] += h.T @ d
-            grad["bc"] += d.sum(axis=0)
+            grad["bc"] += _column_sums(d)
             back = d @ self.p["wc"].T
-        edges = np.searchsorted(kind, np.arange(self.classes + 1))
-        for k in range(self.classes):
-            a, b = edges[k], edges[k + 1]
-            if a == b:
-                continue
-            member = ids[a:b] - k * self.members
-            inner = log_softmax(h[a:b] @ self.p["wm"][k] + self.p["bm"][k])
-            out[a:b] += inner[row[: b - a], member]
-            if grad is not None:
-                d = np.exp(inner)
-                d[row[: b - a], member] -= 1
-                grad["wm"][k] += h[a:b].T @ d
-                grad["bm"][k] += d.sum(axis=0)
-                back[a:b] += d @ self.p["wm"][k].T
+        edges = np.searchsorted(kind, np.arange(self.classes + 1)).tolist()
+        known = edges[-1]  # the class of all other words comes last
+        classes = [(k, a, b) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+        inner = np.empty((known, self.members), F32)
+        for k, a, b in classes:
+            np.matmul(h[a:b], self.p["wm"][k], out=inner[a:b])
+            inner[a:b] += self.p["bm"][k]
+        inside, member = row[:known], ids[:known] - kind[:known] * self.members
+        logs, whole = _shares(inner, inside, member)
+        out[:known] += logs
+        if grad is not None:
+            inner /= whole[:, None]
+            inner[inside, member] -= 1
+            for k, a, b in classes:
+                grad["wm"][k] += h[a:b].T @ inner[a:b]
+                grad["bm"][k] += _column_sums(inner[a:b])
+                back[a:b] += inner[a:b] @ self.p["wm"][k].T
         place = np.empty_like(order)
         place[order] = row
-        return out[place], None if back is None else back[place]
+        return out[place], None if back is None else back.take(place, axis=0)
 
     def score(self, ids: np.ndarray, first: np.ndarray, least: int = 32, most: int = 512, batch: int = 16_384) -> np.ndarray:
         """Natural log-probability of each text ``ids[first[t]:first[t + 1]]``, as a sum of doubles."""
@@ -155,77 +187,85 @@ class GatedModel:
             return total
         lanes = int(np.clip(len(ids) // max(int(lengths.max()), 1), least, most))
         tokens, owner = lay_out(ids, first, lanes)
-        table = self.p["embed"] @ self.p["wx"] + self.p["bx"]
+        table, across = self._gates(), np.ascontiguousarray(self.p["u"].T)
         live = (tokens >= 0).sum(axis=1)
-        h = np.zeros((tokens.shape[1], self.p["u"].shape[0]), F32)
+        h = np.zeros((self.p["u"].shape[0], tokens.shape[1]), F32)
         window = max(WINDOW, batch // tokens.shape[1])
         for at in range(0, len(tokens), window):
             part = tokens[at : at + window]
             states = []
             for t, row in enumerate(part):
                 n = live[at + t]  # lanes run dry from the last on
-                h = h[:n]
-                states.append(h)
-                h = self._step(table[row[:n]], h)[-1]
-                h[row[:n] == self.end] = 0
+                h = h[:, :n]
+                states.append(h.T)
+                h = self._step(table.take(row[:n], axis=1), h, across)[-1]
+                h[:, np.flatnonzero(row[:n] == self.end)] = 0
             fine = part >= 0
             logs, _ = self._outputs(np.concatenate(states), part[fine])
             total += np.bincount(owner[at : at + window][fine], weights=logs, minlength=len(total))
         return total
 
-    def _backward(self, part: np.ndarray, kept: list[tuple[np.ndarray, ...]], back: np.ndarray, grad: dict[str, np.ndarray], carry: np.ndarray) -> None:
+    def _backward(self, part: np.ndarray, kept: list[tuple[np.ndarray, ...]], states: np.ndarray, back: np.ndarray, grad: dict[str, np.ndarray]) -> None:
         """Gradients of a window's steps, from those of its states; nothing flows into the window before."""
         n = self.p["u"].shape[0]
-        x = self.p["embed"][part]
+        x = self.p["embed"].take(part, axis=0)
         d_gates, d_state = np.empty((*part.shape, 3 * n), F32), np.empty((*part.shape, 3 * n), F32)
+        carry = np.zeros((n, part.shape[1]), F32)
+        own, inner = np.empty((3 * n, part.shape[1]), F32), np.empty((3 * n, part.shape[1]), F32)
         for t in range(len(part) - 1, -1, -1):
             z, r, c, a, h = kept[t]
-            carry[part[t] == self.end] = 0  # the state after an end token is zero whatever came before
-            own, inner, moved = d_gates[t], d_state[t], carry * z
-            rest = carry - moved
-            own[:, :n] = moved * (c - h) * (1 - z)
-            own[:, 2 * n :] = dc = moved * (1 - c * c)
-            own[:, n : 2 * n] = dc * a * r * (1 - r)
-            inner[:, : 2 * n], inner[:, 2 * n :] = own[:, : 2 * n], dc * r
-            carry = rest + inner @ self.p["u"].T + back[t]
+            carry[:, np.flatnonzero(part[t] == self.end)] = 0  # the state after an end token is zero whatever came before
+            moved = carry * z
+            carry -= moved
+            own[:n] = moved * (c - h) * (1 - z)
+            own[2 * n :] = dc = moved * (1 - c * c)
+            own[n : 2 * n] = dc * a * r * (1 - r)
+            inner[: 2 * n] = own[: 2 * n]
+            np.multiply(dc, r, out=inner[2 * n :])
+            d_gates[t], d_state[t] = own.T, inner.T
+            carry += self.p["u"] @ inner
+            carry += back[t].T
         flat = d_gates.reshape(-1, 3 * n)
-        grad["u"] += np.concatenate([k[-1] for k in kept]).T @ d_state.reshape(-1, 3 * n)
+        grad["u"] += states.reshape(-1, n).T @ d_state.reshape(-1, 3 * n)
         grad["wx"] += x.reshape(-1, n).T @ flat
-        grad["bx"] += flat.sum(axis=0)
+        grad["bx"] += _column_sums(flat)
         dx = flat @ self.p["wx"].T
         ids = part.ravel()
-        order = np.argsort(ids, kind="stable")
+        order = _stable_order(ids)
         own = ids[order]
         begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        grad["embed"][own[begin]] += np.add.reduceat(dx[order], begin, axis=0)
+        grad["embed"][own[begin]] += np.add.reduceat(dx.take(order, axis=0), begin, axis=0)
 
     def train(self, ids: np.ndarray, first: np.ndarray, past: dict[str, np.ndarray], rate: float, lanes: int, window: int = WINDOW) -> float:
         """One pass over the texts, an update (Adagrad) for each window. Returns the summed log-probability before each update."""
         tokens, _ = lay_out(ids, first, lanes)
         n = self.p["u"].shape[0]
-        h = np.zeros((tokens.shape[1], n), F32)
+        h = np.zeros((n, tokens.shape[1]), F32)
         live = (tokens >= 0).sum(axis=1)
         total = 0.0
         for at in range(0, len(tokens), window):
             part = tokens[at : at + window]
             width = live[at]
-            part, h = part[:, :width], h[:width]
+            part, h = part[:, :width], h[:, :width]
             kept, states = [], np.empty((len(part), width, n), F32)
-            table = self.p["wx"]
-            gates = (self.p["embed"][part].reshape(-1, n) @ table + self.p["bx"]).reshape(*part.shape, 3 * n)
+            table, across = self._gates(), np.ascontiguousarray(self.p["u"].T)
             for t, row in enumerate(part):  # dry lanes take part, without targets
-                states[t] = h
-                *parts, new = self._step(gates[t], h)
+                states[t] = h.T
+                *parts, new = self._step(table.take(row, axis=1), h, across)
                 kept.append((*parts, h))
-                new[row == self.end] = 0
+                new[:, np.flatnonzero(row == self.end)] = 0
                 h = new
-            fine = part >= 0
+            fine = np.flatnonzero(part.ravel() >= 0)
+            flat = states.reshape(-1, n)
+            whole = len(fine) == len(flat)
             grad = {name: np.zeros_like(v) for name, v in self.p.items()}
-            logs, d = self._outputs(states[fine], part[fine], grad)
+            logs, d = self._outputs(flat if whole else flat.take(fine, axis=0), part.ravel()[fine], grad)
             total += float(logs.sum())
-            back = np.zeros_like(states)
-            back[fine] = d
-            self._backward(part, kept, back, grad, np.zeros((width, n), F32))
+            if not whole:
+                d, some = np.zeros_like(flat), d
+                d[fine] = some
+            back = d.reshape(states.shape)
+            self._backward(part, kept, states, back, grad)
             count = F32(len(logs))
             for name, g in grad.items():
                 g /= count

@@ -158,3 +158,28 @@ def test_lanes_hold_each_text_in_one_piece():
         lane = owner == t
         assert tokens_.T[lane.T].tolist() == list(range(first[t], first[t + 1])) and (lane.any(axis=0).sum() <= 1)
     assert (tokens_ >= 0).sum() == 20
+
+
+def test_training_takes_one_exponential_for_each_output(monkeypatch):
+    from logtide.llm import recurrent
+
+    class Counted:
+        taken = 0
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, x, **more):
+            Counted.taken += x.size
+            return np.exp(x, **more)
+
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 16, 900).astype(np.int32)
+    first = np.arange(0, 901, 30)
+    ids[first[1:] - 1] = 0
+    model = recurrent.GatedModel.start(np.bincount(ids, minlength=16), 0, 4, 4, 0, 8)
+    past = model.with_flat(np.full_like(model.flat(), 1e-6)).p
+    monkeypatch.setattr(recurrent, "np", Counted())
+    before = model.train(ids, first, past, 0.1, 8)
+    assert Counted.taken <= len(ids) * (4 + 1 + 4)
+    assert model.train(ids, first, past, 0.1, 8) > before
