@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 
 F32 = np.float32
+HALF, ONE = F32(0.5), F32(1)
 WINDOW = 16
 #: Least output bias, and the most that a state can add to an output.
 OFF, BOUND = F32(-30.0), F32(48.0)
@@ -58,32 +59,82 @@ def lay_out(ids: np.ndarray, first: np.ndarray, lanes: int) -> tuple[np.ndarray,
     return tokens, owner
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    x *= F32(0.5)
-    np.tanh(x, out=x)
-    x += F32(1)
-    x *= F32(0.5)
-    return x
-
-
 def _stable_order(small: np.ndarray) -> np.ndarray:
     """Of class or token numbers; numpy sorts 16 bits by counting."""
     return np.argsort(small.astype(np.int16) if small.size and int(small.max()) < 1 << 15 else small, kind="stable")
 
 
-def _shares(x: np.ndarray, row: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probabilities of the chosen columns under a softmax, and the sums to divide ``x`` by, which becomes its exponentials.
+def _shares(x: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities of the chosen entries (places in the flat array) under a softmax of each row, and the sums to divide
+    ``x`` by, which becomes its exponentials.
 
     Output weights and biases are bounded (``BOUND``, ``OFF``), so nothing overflows."""
-    own = x[row, chosen]
+    own = x.ravel().take(chosen)
     np.exp(x, out=x)
     whole = x @ np.ones(x.shape[1], F32)
     return own - np.log(whole), whole
 
 
-def _column_sums(x: np.ndarray) -> np.ndarray:
-    return np.ones(len(x), F32) @ x
+def _three(x: np.ndarray) -> np.ndarray:
+    """Update gate, reset gate and candidate one after another, each a stretch of memory, instead of side by side."""
+    return np.ascontiguousarray(x.reshape(-1, 3, x.shape[-1] // 3).swapaxes(0, 1))
+
+
+def _halved(x: np.ndarray) -> np.ndarray:
+    """In place: half of what goes into the two gates, for ``_step``."""
+    x[:2] *= HALF
+    return x
+
+
+def _step(gates: np.ndarray, h: np.ndarray, u: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """The new state of all lanes. ``gates`` has what the tokens add (``_halved``, as is ``u``) and becomes update gate, reset
+    gate and candidate; ``room[2]`` becomes what the state adds to the candidate."""
+    np.matmul(h, u, out=room)
+    both, c, more = gates[:2], gates[2], room[2]
+    both += room[:2]
+    np.tanh(both, out=both)
+    both += ONE
+    both *= HALF
+    more *= both[1]
+    c += more
+    np.tanh(c, out=c)
+    new = c - h
+    new *= both[0]
+    new += h
+    return new
+
+
+def _ends(part: np.ndarray, end: int) -> list[np.ndarray]:
+    """For each step the lanes whose text ends there."""
+    step, lane = np.nonzero(part == end)
+    edges = np.searchsorted(step, np.arange(len(part) + 1)).tolist()
+    return [lane[a:b] for a, b in zip(edges, edges[1:])]
+
+
+class Weights:
+    """All parameters of a model in one vector, with views of its parts, laid out as products take them: gates one after
+    another, and the biases of outputs as a further row of their weights, met by a further 1 in each state."""
+
+    def __init__(self, p: dict[str, np.ndarray]):
+        (tokens, n), (classes, _, members) = p["embed"].shape, p["wm"].shape
+        shapes = {"embed": (tokens, n), "wx": (3, n, n), "bx": (3, 1, n), "u": (3, n, n), "wc": (n + 1, classes + 1), "wm": (classes, n + 1, members)}
+        sizes = [int(np.prod(shape)) for shape in shapes.values()]
+        self.all = np.zeros(sum(sizes), F32)
+        self.part = {name: v.reshape(shape) for (name, shape), v in zip(shapes.items(), np.split(self.all, np.cumsum(sizes)[:-1]))}
+        self.own = p
+        for v, name in self._pairs():
+            v[...] = p[name] if v.ndim == p[name].ndim else _three(p[name])
+
+    def _pairs(self) -> list[tuple[np.ndarray, str]]:
+        q = self.part
+        return [
+            (q["embed"], "embed"), (q["wx"], "wx"), (q["bx"], "bx"), (q["u"], "u"), (q["wc"][:-1], "wc"), (q["wc"][-1], "bc"),
+            (q["wm"][:, :-1], "wm"), (q["wm"][:, -1], "bm"),
+        ]
+
+    def put_back(self) -> None:
+        for v, name in self._pairs():
+            self.own[name][...] = v if v.ndim == self.own[name].ndim else v.swapaxes(0, 1).reshape(self.own[name].shape)
 
 
 @dataclass
@@ -123,61 +174,38 @@ class GatedModel:
             at += v.size
         return GatedModel(self.classes, self.members, self.end, p)
 
-    def _step(self, gates: np.ndarray, h: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One step for all lanes: update and reset gates, candidate, and the new state. Lanes lie along the rows of all
-        arrays, so that each gate is one stretch of memory; ``across`` is ``u`` transposed."""
-        n = len(h)
-        a = across @ h
-        zr = _sigmoid(gates[: 2 * n] + a[: 2 * n])
-        z, r = zr[:n], zr[n:]
-        c = r * a[2 * n :]
-        c += gates[2 * n :]
-        np.tanh(c, out=c)
-        new = c - h
-        new *= z
-        new += h
-        return z, r, c, a[2 * n :], new
-
-    def _gates(self) -> np.ndarray:
-        """What each token adds to the gates, a column each."""
-        return np.ascontiguousarray((self.p["embed"] @ self.p["wx"] + self.p["bx"]).T)
-
-    def _outputs(self, h: np.ndarray, ids: np.ndarray, grad: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log-probabilities of ``ids`` after states ``h``; with ``grad``, weight gradients are added and those of h returned."""
+    def _outputs(self, h: np.ndarray, ids: np.ndarray, w: dict[str, np.ndarray], grad: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+        """Natural log-probabilities of ``ids``, which ascend, after states ``h`` (with their 1); with ``grad``, the gradients of
+        output weights are set and those of h returned."""
         kind = ids // self.members
-        order = _stable_order(kind)
-        h, kind, ids = h.take(order, axis=0), kind[order], ids[order]
         row = np.arange(len(ids))
-        d = h @ self.p["wc"]
-        d += self.p["bc"]
-        out, whole = _shares(d, row, kind)
-        back = None
-        if grad is not None:
-            d /= whole[:, None]
-            d[row, kind] -= 1
-            grad["wc"] += h.T @ d
-            grad["bc"] += _column_sums(d)
-            back = d @ self.p["wc"].T
         edges = np.searchsorted(kind, np.arange(self.classes + 1)).tolist()
         known = edges[-1]  # the class of all other words comes last
         classes = [(k, a, b) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+        d = h @ w["wc"]
+        chosen = row * d.shape[1] + kind
+        out, whole = _shares(d, chosen)
+        back = None
+        if grad is not None:
+            d /= whole[:, None]
+            d.ravel()[chosen] -= 1
+            np.matmul(h.T, d, out=grad["wc"])
+            back = d @ w["wc"][:-1].T
         inner = np.empty((known, self.members), F32)
         for k, a, b in classes:
-            np.matmul(h[a:b], self.p["wm"][k], out=inner[a:b])
-            inner[a:b] += self.p["bm"][k]
-        inside, member = row[:known], ids[:known] - kind[:known] * self.members
-        logs, whole = _shares(inner, inside, member)
+            np.matmul(h[a:b], w["wm"][k], out=inner[a:b])
+        chosen = row[:known] * self.members + (ids[:known] - kind[:known] * self.members)
+        logs, whole = _shares(inner, chosen)
         out[:known] += logs
         if grad is not None:
             inner /= whole[:, None]
-            inner[inside, member] -= 1
+            inner.ravel()[chosen] -= 1
+            more = np.empty((known, h.shape[1] - 1), F32)
             for k, a, b in classes:
-                grad["wm"][k] += h[a:b].T @ inner[a:b]
-                grad["bm"][k] += _column_sums(inner[a:b])
-                back[a:b] += inner[a:b] @ self.p["wm"][k].T
-        place = np.empty_like(order)
-        place[order] = row
-        return out[place], None if back is None else back.take(place, axis=0)
+                np.matmul(h[a:b].T, inner[a:b], out=grad["wm"][k])
+                np.matmul(inner[a:b], w["wm"][k, :-1].T, out=more[a:b])
+            back[:known] += more
+        return out, back
 
     def score(self, ids: np.ndarray, first: np.ndarray, least: int = 32, most: int = 512, batch: int = 16_384) -> np.ndarray:
         """Natural log-probability of each text ``ids[first[t]:first[t + 1]]``, as a sum of doubles."""
@@ -187,91 +215,118 @@ class GatedModel:
             return total
         lanes = int(np.clip(len(ids) // max(int(lengths.max()), 1), least, most))
         tokens, owner = lay_out(ids, first, lanes)
-        table, across = self._gates(), np.ascontiguousarray(self.p["u"].T)
+        w = Weights(self.p).part
+        n = len(w["u"][0])
+        table, u = _halved(w["embed"] @ w["wx"] + w["bx"]), _halved(w["u"])
         live = (tokens >= 0).sum(axis=1)
-        h = np.zeros((self.p["u"].shape[0], tokens.shape[1]), F32)
+        h = np.zeros((tokens.shape[1], n), F32)
+        room = np.empty((3, *h.shape), F32)
         window = max(WINDOW, batch // tokens.shape[1])
         for at in range(0, len(tokens), window):
             part = tokens[at : at + window]
-            states = []
-            for t, row in enumerate(part):
-                n = live[at + t]  # lanes run dry from the last on
-                h = h[:, :n]
-                states.append(h.T)
-                h = self._step(table.take(row[:n], axis=1), h, across)[-1]
-                h[:, np.flatnonzero(row[:n] == self.end)] = 0
-            fine = part >= 0
-            logs, _ = self._outputs(np.concatenate(states), part[fine])
-            total += np.bincount(owner[at : at + window][fine], weights=logs, minlength=len(total))
+            states = np.ones((*part.shape, n + 1), F32)
+            for t, (row, over) in enumerate(zip(part, _ends(part, self.end))):
+                k = live[at + t]  # lanes run dry from the last on
+                h = h[:k]
+                states[t, :k, :-1] = h
+                h = _step(table.take(row[:k], axis=1), h, u, room[:, :k])
+                h[over] = 0
+            flat = part.ravel()
+            order = _stable_order(flat)[np.count_nonzero(flat < 0) :]
+            logs, _ = self._outputs(states.reshape(-1, n + 1).take(order, axis=0), flat[order], w)
+            total += np.bincount(owner[at : at + window].ravel()[order], weights=logs, minlength=len(total))
         return total
 
-    def _backward(self, part: np.ndarray, kept: list[tuple[np.ndarray, ...]], states: np.ndarray, back: np.ndarray, grad: dict[str, np.ndarray]) -> None:
-        """Gradients of a window's steps, from those of its states; nothing flows into the window before."""
-        n = self.p["u"].shape[0]
-        x = self.p["embed"].take(part, axis=0)
-        d_gates, d_state = np.empty((*part.shape, 3 * n), F32), np.empty((*part.shape, 3 * n), F32)
-        carry = np.zeros((n, part.shape[1]), F32)
-        own, inner = np.empty((3 * n, part.shape[1]), F32), np.empty((3 * n, part.shape[1]), F32)
-        for t in range(len(part) - 1, -1, -1):
-            z, r, c, a, h = kept[t]
-            carry[:, np.flatnonzero(part[t] == self.end)] = 0  # the state after an end token is zero whatever came before
-            moved = carry * z
-            carry -= moved
-            own[:n] = moved * (c - h) * (1 - z)
-            own[2 * n :] = dc = moved * (1 - c * c)
-            own[n : 2 * n] = dc * a * r * (1 - r)
-            inner[: 2 * n] = own[: 2 * n]
-            np.multiply(dc, r, out=inner[2 * n :])
-            d_gates[t], d_state[t] = own.T, inner.T
-            carry += self.p["u"] @ inner
-            carry += back[t].T
-        flat = d_gates.reshape(-1, 3 * n)
-        grad["u"] += states.reshape(-1, n).T @ d_state.reshape(-1, 3 * n)
-        grad["wx"] += x.reshape(-1, n).T @ flat
-        grad["bx"] += _column_sums(flat)
-        dx = flat @ self.p["wx"].T
-        ids = part.ravel()
-        order = _stable_order(ids)
-        own = ids[order]
-        begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        grad["embed"][own[begin]] += np.add.reduceat(dx.take(order, axis=0), begin, axis=0)
+    @staticmethod
+    def _backward(w: dict[str, np.ndarray], steps: tuple[np.ndarray, ...], over: list[np.ndarray], back: np.ndarray, grad: dict[str, np.ndarray]) -> np.ndarray:
+        """Gradients of a window's tokens at the gates and the candidate, from those of its states, and that of ``u``, which is set;
+        nothing flows into the window before. ``steps``: gates and candidate, what the state added to the candidate, and states."""
+        (z, r, c), inner, states = steps
+        n = states.shape[-1]
+        kept = 1 - z
+        # what a new state's gradient is multiplied by, for both gates, for what u adds to the candidate, and for the candidate
+        d = np.empty((4, *states.shape), F32)
+        np.multiply(z, 1 - c * c, out=d[3])
+        np.multiply(d[3], r, out=d[2])
+        np.multiply(d[3], inner * (1 - r), out=d[1])
+        np.multiply(c - states, z * kept, out=d[0])
+        u = np.ascontiguousarray(w["u"].swapaxes(1, 2))
+        carry, room = np.zeros(states.shape[1:], F32), np.empty((3, *states.shape[1:]), F32)
+        for t in range(len(states) - 1, -1, -1):
+            if len(over[t]):
+                carry[over[t]] = 0  # the state after an end token is zero whatever came before
+            d[:, t] *= carry
+            np.matmul(d[:3, t], u, out=room)
+            carry *= kept[t]
+            carry += room[0]
+            carry += room[1]
+            carry += room[2]
+            carry += back[t]
+        d = d.reshape(4, -1, n)
+        np.matmul(states.reshape(-1, n).T, d[:3], out=grad["u"])
+        d[2] = d[3]
+        return d[:3]
 
     def train(self, ids: np.ndarray, first: np.ndarray, past: dict[str, np.ndarray], rate: float, lanes: int, window: int = WINDOW) -> float:
         """One pass over the texts, an update (Adagrad) for each window. Returns the summed log-probability before each update."""
         tokens, _ = lay_out(ids, first, lanes)
-        n = self.p["u"].shape[0]
-        h = np.zeros((n, tokens.shape[1]), F32)
+        weights, seen, grads = Weights(self.p), Weights(past), Weights(past)
+        w, grad, g, step = weights.part, grads.part, grads.all, np.empty_like(grads.all)
+        bounds = [(w["wc"][:-1], True), (w["wm"][:, :-1], True), (w["wc"][-1], False), (w["wm"][:, -1], False)]
+        n = len(w["u"][0])
+        h = np.zeros((tokens.shape[1], n), F32)
         live = (tokens >= 0).sum(axis=1)
         total = 0.0
         for at in range(0, len(tokens), window):
-            part = tokens[at : at + window]
-            width = live[at]
-            part, h = part[:, :width], h[:, :width]
-            kept, states = [], np.empty((len(part), width, n), F32)
-            table, across = self._gates(), np.ascontiguousarray(self.p["u"].T)
-            for t, row in enumerate(part):  # dry lanes take part, without targets
-                states[t] = h.T
-                *parts, new = self._step(table.take(row, axis=1), h, across)
-                kept.append((*parts, h))
-                new[:, np.flatnonzero(row == self.end)] = 0
-                h = new
-            fine = np.flatnonzero(part.ravel() >= 0)
-            flat = states.reshape(-1, n)
-            whole = len(fine) == len(flat)
-            grad = {name: np.zeros_like(v) for name, v in self.p.items()}
-            logs, d = self._outputs(flat if whole else flat.take(fine, axis=0), part.ravel()[fine], grad)
-            total += float(logs.sum())
-            if not whole:
-                d, some = np.zeros_like(flat), d
-                d[fine] = some
-            back = d.reshape(states.shape)
-            self._backward(part, kept, states, back, grad)
-            count = F32(len(logs))
-            for name, g in grad.items():
-                g /= count
-                past[name] += g * g
-                self.p[name] -= F32(rate) * g / (np.sqrt(past[name]) + F32(1e-6))
-            for name in ("wc", "wm", "bc", "bm"):
-                limit = BOUND / n if name[0] == "w" else -OFF
-                np.clip(self.p[name], -limit, limit, out=self.p[name])
+            part = tokens[at : at + window, : live[at]]
+            h = np.ascontiguousarray(h[: live[at]])
+            flat = part.ravel()
+            order = _stable_order(flat)  # dry lanes, which take part without targets, come first
+            own = flat[order]
+            dry = np.searchsorted(own, 0)
+            new = np.concatenate([[True], own[1:] != own[:-1]])
+            begin, place = np.flatnonzero(new), np.empty_like(order)
+            place[order] = np.cumsum(new) - 1
+            over = _ends(part, self.end)
+
+            embed = w["embed"].take(own[begin], axis=0)
+            gates = _halved(embed @ w["wx"] + w["bx"]).take(place.reshape(part.shape), axis=1)
+            u = _halved(w["u"].copy())
+            states, inner = np.empty((*part.shape, n), F32), np.empty((*part.shape, n), F32)
+            room = np.empty((3, *h.shape), F32)
+            for t in range(len(part)):
+                states[t] = h
+                h = _step(gates[:, t], h, u, room)
+                inner[t] = room[2]
+                if len(over[t]):
+                    h[over[t]] = 0
+
+            g.fill(0)
+            sorted_states = np.ones((len(own) - dry, n + 1), F32)
+            sorted_states[:, :-1] = states.reshape(-1, n).take(order[dry:], axis=0)
+            logs, some = self._outputs(sorted_states, own[dry:], w, grad)
+            total += float(logs.sum(dtype=float))
+            back = np.zeros(states.shape, F32) if dry else np.empty(states.shape, F32)
+            back.reshape(-1, n)[order[dry:]] = some
+            d = self._backward(w, (gates, inner, states), over, back, grad)
+            np.matmul(embed.take(place, axis=0).T, d, out=grad["wx"])
+            np.matmul(np.ones((1, len(own)), F32), d, out=grad["bx"])
+            dx = np.matmul(d, w["wx"].swapaxes(1, 2))
+            dx[0] += dx[1]
+            dx[0] += dx[2]
+            sums, named = np.add.reduceat(dx[0].take(order, axis=0), begin, axis=0), own[begin] >= 0
+            grad["embed"][own[begin][named]] = sums[named]
+
+            g /= F32(len(logs))
+            seen.all += np.multiply(g, g, out=step)
+            np.sqrt(seen.all, out=step)
+            step += F32(1e-6)
+            g *= F32(rate)
+            g /= step
+            weights.all -= g
+            for v, weight in bounds:
+                limit = BOUND / n if weight else -OFF
+                np.clip(v, -limit, limit, out=v)
+        weights.put_back()
+        seen.put_back()
         return total

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -183,3 +184,33 @@ def test_training_takes_one_exponential_for_each_output(monkeypatch):
     before = model.train(ids, first, past, 0.1, 8)
     assert Counted.taken <= len(ids) * (4 + 1 + 4)
     assert model.train(ids, first, past, 0.1, 8) > before
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 50])
+def test_training_reads_whole_texts_whatever_the_lanes(lanes):
+    """Without updates a pass tells what a plain reading tells, while lanes run dry one after another, and changes nothing."""
+    m = model(2)
+    ids, first, own = texts(np.random.default_rng(5), m, 12, 90)
+    before = {k: v.copy() for k, v in m.p.items()}
+    past = {k: np.zeros_like(v) for k, v in m.p.items()}
+    assert math.isclose(m.train(ids, first, past, rate=0.0, lanes=lanes, window=4), sum(plain(m, t) for t in own), rel_tol=1e-4)
+    assert all((m.p[k] == v).all() for k, v in before.items()) and all(v.any() for v in past.values())
+
+
+def test_a_training_step_is_a_few_array_operations():
+    """Gathers, masks and transposes are made for a window, not for each of its steps."""
+    steps, window, calls = 3000, 100, 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    m = model()
+    ids = np.random.default_rng(7).integers(0, 12, steps).astype(np.int32)
+    past = {k: np.full_like(v, 1e-6) for k, v in m.p.items()}
+    sys.setprofile(count)
+    try:
+        m.train(ids, np.array([0, steps]), past, rate=0.1, lanes=1, window=window)
+    finally:
+        sys.setprofile(None)
+    assert calls < 2 * steps + 60 * steps / window
