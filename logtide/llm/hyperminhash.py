@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from logtide.llm.words import U, bytes_of, chain, find_words, give_back, mix, slices, whole_id, word_hashes
 from logtide.operators.components import connected_components
-from logtide.scratch import materialize
+from logtide.scratch import materialize, shuffled
 
 REGISTERS = 256
 REGISTER_BITS = 8
@@ -209,7 +209,7 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _across(percent: int):
-    """Confirmed links between different components, of two blocks of one group."""
+    """Pairs of different components that a confirmed link joins, of two blocks of one group."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, one, other = key
@@ -224,8 +224,8 @@ def _across(percent: int):
                 own = np.broadcast_to(np.frombuffer(own, np.int16), (len(near), REGISTERS))
                 near = near[_allowed(own, reg_r[near], np.full(len(near), n), n_r[near], percent / 100)]
                 mine = np.frombuffer(mine, U)
-                found += [(min(name, id_r[k]), max(name, id_r[k])) for k in near if _linked(mine, set_r[k], percent)]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                found += [(min(comp, comp_r[k]), max(comp, comp_r[k])) for k in near if _linked(mine, set_r[k], percent)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64").drop_duplicates()
 
     return run
 
@@ -264,10 +264,11 @@ def _centers(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _left_over(members: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links across components in buckets that confirmed stars have not made one component.
+    """Components linked with each other, by members of buckets that confirmed stars have not made one component.
 
     Members of such buckets that hang together make one group. Each pair of a group's blocks is one
-    task's work: registers and sizes rule pairs out, full sets confirm the rest, and only links leave the task.
+    task's work: registers and sizes rule pairs out, full sets confirm the rest, and only the names of linked components
+    leave the task.
     """
     named = members.where("members > 2").join(groups, "_id", "left")
     named = materialize(named.withColumn("component", F.coalesce("component", "_id")), "named")
@@ -329,12 +330,14 @@ def near_duplicates(
     links = materialize(joined.mapInArrow(_confirm(percent), "a long, b long"), "links")
     groups = _components(links)
     more = materialize(_left_over(members, groups, reps, sets, percent), "links")
-    if not more.isEmpty():
-        groups = _components(links.unionByName(more))
 
     classes = firsts.join(groups.withColumnRenamed("_id", "first"), "first", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "first").alias("component_id")
     )
+    if not more.isEmpty():  # a component's links are known: only its name goes on
+        merged = _components(more).withColumnRenamed("_id", "component_id")
+        last = F.coalesce("component", "component_id").alias("component_id")
+        classes = classes.join(shuffled(merged), "component_id", "left").select("set_a", "set_b", "n_shingles", last)
     own = sketches.select("_id", "n_shingles", "set_a", "set_b").where("n_shingles > 0 AND _id IS NOT NULL")
     linked = own.join(classes, ["set_a", "set_b", "n_shingles"])
     alone = sketches.where("n_shingles = 0 OR _id IS NULL").select("_id", "n_shingles", F.col("_id").alias("component_id"))

@@ -74,6 +74,17 @@ def test_stars_in_slices_keep_every_link(spark, monkeypatch):
     assert sorted(map(tuple, centers.collect())) == [(1, s, "x") for s in range(3)]
 
 
+def test_links_past_the_star_join_names_of_components(spark, monkeypatch):
+    """What confirmed stars have joined isn't joined again, link by link."""
+    calls, keep = [], hm._components
+    monkeypatch.setattr(hm, "_components", lambda links: calls.append(links) or keep(links))
+    test_a_large_group_of_near_copies_with_members_off_the_star(spark)
+    stars, _, last = calls
+    known = {r._id: r.component for r in keep(stars).collect()}
+    ends = {x for r in last.collect() for x in r}
+    assert ends and all(known.get(x, x) == x for x in ends)
+
+
 def test_odd_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert hm.near_duplicates(empty).count() == 0

@@ -105,6 +105,25 @@ def test_components(spark):
     assert connected_components(df.limit(0)).count() == 0
 
 
+def test_rounds_of_components_are_few_and_small(spark, monkeypatch):
+    """The driver's memory follows the stages and tasks of the rounds, however small their edges are."""
+    written = []
+    keep = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: written.append(keep(df, name)) or written[-1])
+    stars = spark.createDataFrame([(k, k % 3) for k in range(40)], "u long, v long")
+    assert {r.node: r.component for r in connected_components(stars).collect()} == {k: k % 3 for k in range(40)}
+    assert len(written) == 1  # no round changes a star
+    path = spark.createDataFrame([(1, 2), (2, 3)], "u long, v long")
+    assert {r.node: r.component for r in connected_components(path).collect()} == {1: 1, 2: 1, 3: 1}
+    assert len(written) == 3  # one round, and none to see that it was the last
+
+    moved = components._small_star(components._large_star(written[0]))
+    plan = moved.distinct()._jdf.queryExecution().executedPlan().toString()
+    # each star: edges once for the aggregation and once for the join; the first star is read by both of the second
+    assert plan.count("SortMergeJoin") == 3 and plan.count("Exchange hashpartitioning") == 7
+    assert moved.count() <= written[0].count()
+
+
 def features(spark, n=60):
     rng = np.random.default_rng(1)
     rows = []
